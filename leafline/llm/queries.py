@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from leafline.llm import op1_tokens, op5_simhash, op7_packing
+from leafline.llm import op1_tokens, op3_pii, op5_simhash, op7_packing, op9_media
 
 QUERIES = {
     "op1_token_counts": op1_tokens.query,
+    "op3_pii": op3_pii.query,
     "op5_simhash": op5_simhash.query,
     "op7_packing": op7_packing.query,
+    "op9_media": op9_media.query,
 }
 
 ORACLES: dict[str, str] = {}

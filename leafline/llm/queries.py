@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from leafline.llm import op1_tokens, op3_pii, op5_simhash, op7_packing, op9_media
+from leafline.llm import op1_tokens, op3_pii, op5_simhash, op7_packing, op8_rules, op9_media, op10_licenses
 
 QUERIES = {
     "op1_token_counts": op1_tokens.query,
     "op3_pii": op3_pii.query,
     "op5_simhash": op5_simhash.query,
     "op7_packing": op7_packing.query,
+    "op8_quality_rules": op8_rules.query,
     "op9_media": op9_media.query,
+    "op10_licenses": op10_licenses.query,
 }
 
 ORACLES: dict[str, str] = {}

@@ -57,5 +57,5 @@ def rows(batch: pa.RecordBatch, step: int = 512):
         yield from zip(part.column("doc_id").to_pylist(), texts.to_pylist(), strict=True)
 
 
-def arrow_batch(columns: dict[str, tuple[list | np.ndarray, pa.DataType]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns.values()], names=list(columns))
+def arrow_batch(columns: dict[str, tuple[list | np.ndarray | pa.Array, pa.DataType]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in columns.values()], names=list(columns))

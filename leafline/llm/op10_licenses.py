@@ -49,8 +49,9 @@ MANDATORY = {
     "unlicense": ["free and unencumbered software"],
 }
 
-#: Rarest words of each template that are looked up in a text.
-LOOKED_UP = 4
+#: Of a template's rarest words, the share of all its different words that may be looked up, and how many
+#: of them that a text holds are.
+RARE, LOOKED_UP = 0.5, 4
 #: Looked-up words that must agree on a template's place.
 AGREE = 2
 #: Score of a text with a base phrase and no verified template.
@@ -92,20 +93,18 @@ def _places(phrase: str) -> Column:
     return F.when(holds, F.filter(F.transform("w", here), lambda i: i.isNotNull())).otherwise(F.array().cast("array<bigint>"))
 
 
-def _lookup(name: str, idf: dict[str, float]):
-    """The rarest words of a template that a text holds, and a function of them: the places, in order,
-    where each of their positions in the text would have the template begin."""
-    postings: dict[str, list[int]] = {}
-    for at, w in enumerate(NOTICES[name].split()):
-        postings.setdefault(w, []).append(at)
-    rare = sorted(postings, key=lambda w: (-idf[w], w))
-    table = F.create_map(*[x for w in rare for x in (F.lit(w), F.array(*[F.lit(p) for p in postings[w]]))])
+def _rare(name: str, idf: dict[str, float]) -> list[str]:
+    """The rarer words of a template, rarest first."""
+    words = set(NOTICES[name].split())
+    return sorted(words, key=lambda w: (-idf[w], w))[: math.ceil(RARE * len(words))]
 
-    def starts(looked: Column) -> Column:
-        hits = F.filter(F.transform("w", lambda x, i: F.when(F.array_contains(looked, x), F.struct(x.alias("x"), i.alias("i")))), lambda h: h.isNotNull())
-        return F.sort_array(F.flatten(F.transform(hits, lambda h: F.transform(table[h["x"]], lambda p: h["i"] - p))))
 
-    return F.slice(F.array_intersect(_strings(rare), F.col("w")), 1, LOOKED_UP), starts
+def _starts(name: str, rare: list[str], looked: Column) -> Column:
+    """The places, in order, where each position of a looked-up word in the text would have the template begin."""
+    notice = NOTICES[name].split()
+    table = F.create_map(*[x for w in rare for x in (F.lit(w), F.array(*[F.lit(k) for k, v in enumerate(notice) if v == w]))])
+    hits = F.filter(F.transform("w", lambda x, i: F.when(F.array_contains(looked, x), F.struct(x.alias("x"), i.alias("i")))), lambda h: h.isNotNull())
+    return F.sort_array(F.flatten(F.transform(hits, lambda h: F.transform(table[h["x"]], lambda p: h["i"] - p))))
 
 
 def _agreed(starts: Column) -> Column:
@@ -135,9 +134,12 @@ def scan(docs: DataFrame) -> DataFrame:
     idf = inverse_frequencies(docs)
     df = _words(docs)
     df = df.withColumns({f"_p{k}": _places(p) for k, p in enumerate(PHRASES)})
+    rare = {name: _rare(name, idf) for name in NOTICES}
+    # Most texts hold fewer rare words than must agree, and nothing more is tried on them.
+    df = df.withColumn("_held", F.array_intersect(_strings(sorted({w for words in rare.values() for w in words})), F.col("w")))
     for k, name in enumerate(NOTICES):
-        chosen, starts = _lookup(name, idf)
-        df = df.withColumn(f"_c{k}", chosen).withColumn(f"_v{k}", F.when(F.size(f"_c{k}") >= AGREE, starts(F.col(f"_c{k}"))))
+        df = df.withColumn(f"_c{k}", F.when(F.size("_held") >= AGREE, F.slice(F.array_intersect(_strings(rare[name]), F.col("_held")), 1, LOOKED_UP)))
+        df = df.withColumn(f"_v{k}", F.when(F.size(f"_c{k}") >= AGREE, _starts(name, rare[name], F.col(f"_c{k}"))))
     for k, name in enumerate(NOTICES):
         df = df.withColumn(f"_t{k}", F.array_max(F.transform(F.filter(_agreed(F.col(f"_v{k}")), _verify(name)), _cover(name, idf))))
     places = F.concat(*[F.col(f"_p{k}") for k in range(len(PHRASES))])

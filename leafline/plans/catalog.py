@@ -1,6 +1,310 @@
-"""Queries of the extraction operators and SQL that gives the same rows."""
+"""Queries of the extraction operators and SQL that gives the same rows without parsing a page."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from leafline.functions.scalars import constituency_suffix, page_argument, require
+from leafline.operators import expand, extract, grid
+from leafline.operators.paginate import follow, leaf_status
+from leafline.plans import render
+from leafline.plans.crawl import combined, crawl, leaves_of
+from leafline.plans.specs import NUMBER_LABEL, OFFICES, SELECT_IDS, STATUS_LABEL, TAIL, ResumeSpec
+from leafline.sources import csv
+from leafline.sources.replay import Replay
+from leafline.sources.storage import materialize, new_path
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+
+START_POST = "BUILDING"
+
+
+def query(sql: str | None = None):
+    def put(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return put
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+@query("SELECT c_custkey, 'event_validation-' || c_name AS event_validation, 'view_state-' || c_name AS view_state, 'view_state_generator-' || c_name AS view_state_generator FROM customer")
+def form_state(spark, sf_dir):
+    """Hidden fields of a page for each customer."""
+    pages = _table(spark, sf_dir, "customer").select("c_custkey", render.page(F.lit("<p>text"), F.col("c_name")).alias("html"))
+    return pages.select("c_custkey", extract.parse("html").alias("page")).select("c_custkey", extract.form_state().alias("s")).select("c_custkey", "s.*")
+
+
+@query(
+    """
+    WITH nav AS (SELECT page_id, regexp_extract(html, '<nav><ul>(.*?)</ul></nav>', 1) AS items FROM pages),
+    links AS (SELECT page_id, regexp_extract_all(items, '<a href="([^"]*)">[^<]*</a>', 1) AS hrefs, regexp_extract_all(items, '<a href="[^"]*">([^<]*)</a>', 1) AS names FROM nav),
+    each AS (SELECT page_id, unnest(hrefs) AS value, unnest(names) AS name, generate_subscripts(hrefs, 1) AS k FROM links)
+    SELECT page_id, CAST(k - 2 AS INTEGER) AS pos, value, name FROM each WHERE k > 1
+    """
+)
+def option_list(spark, sf_dir):
+    """Navigation links of raw pages, read like a dropdown: the first is left out."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", extract.parse("html").alias("page"))
+    return extract.explode_options(pages.select("page_id", extract.without_first(F.col("page.nav")).alias("nav")), F.col("nav")).select("page_id", "pos", "value", "name")
+
+
+@query("SELECT n_regionkey, CAST(row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS INTEGER) AS pos, 'n' || CAST(n_nationkey AS STRING) AS value, lpad(CAST(n_nationkey AS STRING), 3, '0') || ' - ' || n_name AS name FROM nation")
+def option_list_rendered(spark, sf_dir):
+    """Nations of each region as a dropdown."""
+    value, name, order = (F.expr(x) for x in render.NODES["nation"])
+    lists = _table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.sort_array(F.collect_list(F.struct(order.alias("order"), value.alias("value"), name.alias("name")))).alias("c"))
+    pages = lists.select("n_regionkey", render.page(render.select(SELECT_IDS["block"], F.col("c")), F.lit("x")).alias("html"))
+    parsed = pages.select("n_regionkey", extract.parse("html").alias("page"))
+    return extract.explode_options(parsed, extract.options(SELECT_IDS["block"])).select("n_regionkey", "pos", "value", "name")
+
+
+@query("SELECT c_custkey, c_custkey % 2 = 0 AS has_block, c_custkey % 3 = 0 AS has_ward FROM customer")
+def select_presence(spark, sf_dir):
+    """Which dropdowns a page has."""
+    none = F.array().cast("array<struct<value:string,name:string>>")
+    body = F.concat(F.when(F.expr("c_custkey % 2 = 0"), render.select(SELECT_IDS["block"], none)).otherwise(""), F.when(F.expr("c_custkey % 3 = 0"), render.select(SELECT_IDS["ward"], none)).otherwise("<p>"))
+    pages = _table(spark, sf_dir, "customer").select("c_custkey", extract.parse(render.page(body, F.lit("x"))).alias("page"))
+    return pages.select("c_custkey", extract.has_select(SELECT_IDS["block"]).alias("has_block"), extract.has_select(SELECT_IDS["ward"]).alias("has_ward"))
+
+
+_NUMBER, _STATUS = render.LABELS["customer"]
+
+
+@query(f"SELECT c_custkey, coalesce({_NUMBER}, '') AS number, coalesce({_STATUS}, '') AS reservation_status FROM customer")
+def label_optional(spark, sf_dir):
+    """Two labels, each empty where the page has none."""
+    body = F.concat(render.span(NUMBER_LABEL, F.expr(_NUMBER)), render.span(STATUS_LABEL, F.expr(_STATUS)))
+    pages = _table(spark, sf_dir, "customer").select("c_custkey", extract.parse(render.page(body, F.lit("x"))).alias("page"))
+    return pages.select("c_custkey", extract.label(NUMBER_LABEL).alias("number"), extract.label(STATUS_LABEL).alias("reservation_status"))
+
+
+@query("SELECT page_id, replace(replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS heading FROM pages")
+def label_required(spark, sf_dir):
+    """The heading that every raw page must have."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", extract.parse("html").alias("page"))
+    return pages.select("page_id", require(F.col("page.h1"), "h1").alias("heading"))
+
+
+def _leaf_pages(spark: SparkSession, sf_dir: str, office: str) -> DataFrame:
+    """Parsed grid pages of an office: values, page_no, status, page."""
+    return render.site(spark, sf_dir, office).where("page_no > 0").withColumn("page", extract.parse("html")).drop("html")
+
+
+@query("SELECT 'c' || CAST(o_custkey AS STRING) AS leaf, CAST((rn - 1) // 10 + 1 AS INTEGER) AS page_no, CAST((rn - 1) % 10 + 1 AS INTEGER) AS row_ord, 'O' || CAST(o_orderkey AS STRING) AS candidate_name FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders JOIN customer ON c_custkey = o_custkey)")
+def grid_rows(spark, sf_dir):
+    """Data rows of the grids of customers' orders."""
+    rows = grid.rows(_leaf_pages(spark, sf_dir, "mu")).where("kind = 'data'")
+    return rows.select(F.try_element_at("values", F.lit(-1)).alias("leaf"), "page_no", F.col("row.row_ord").alias("row_ord"), F.get("row.cells", F.lit(1)).alias("candidate_name"))
+
+
+@query(
+    """
+    WITH n AS (SELECT o_custkey, count(*) AS orders_ FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1)
+    SELECT 'data' AS kind, CAST(sum(orders_) AS BIGINT) AS n FROM n
+    UNION ALL SELECT 'pager', count(*) FROM n WHERE orders_ > 10
+    UNION ALL SELECT 'ignored', CAST(sum(CAST(ceil(orders_ / 10.0) AS BIGINT) - 1) AS BIGINT) FROM n WHERE orders_ > 10
+    """
+)
+def grid_row_kinds(spark, sf_dir):
+    """Rows by kind: a pager counts on the first page only."""
+    return grid.rows(_leaf_pages(spark, sf_dir, "mu")).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+_LINES, _LINE_CELLS = render.LEAF_ROWS["order"]
+
+
+@query(f"SELECT 'o' || CAST(o_orderkey AS STRING) AS leaf, {', '.join(f'coalesce({c}, {chr(39) * 2}) AS {n}' for n, c in zip(TAIL, _LINE_CELLS))} FROM {_LINES}")
+def grid_cells(spark, sf_dir):
+    """All twelve cells of the grids of orders' lines; entities are decoded, an empty e-mail is ''."""
+    rows = grid.rows(_leaf_pages(spark, sf_dir, "pa")).where("kind = 'data'")
+    return rows.withColumns(grid.cells()).select(F.try_element_at("values", F.lit(-1)).alias("leaf"), *TAIL)
+
+
+@query("SELECT 'c' || CAST(o_custkey AS STRING) AS leaf, CAST(ceil(count(*) / 10.0) AS INTEGER) AS pages FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY o_custkey")
+def pager_count(spark, sf_dir):
+    """Page count that the first page's pager shows."""
+    return _leaf_pages(spark, sf_dir, "mu").where("page_no = 1").select(F.try_element_at("values", F.lit(-1)).alias("leaf"), grid.pages_of().alias("pages"))
+
+
+QUERIES["page_count"], ORACLES["page_count"] = QUERIES.pop("pager_count"), ORACLES.pop("pager_count")
+
+
+@query("SELECT 'c' || CAST(o_custkey AS STRING) AS leaf, CAST((rn - 1) // 10 + 1 AS INTEGER) AS page_no, count(*) AS n FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders JOIN customer ON c_custkey = o_custkey) GROUP BY 1, 2")
+def paginate(spark, sf_dir):
+    """Pages that a run follows from each leaf's first one, with their data rows."""
+    pages = materialize(render.site(spark, sf_dir, "mu").where("page_no > 0"), "site")
+    leaves = pages.where("page_no = 1").select("values")
+    rows = grid.rows(follow(leaves, pages).drop("html")).where("kind = 'data'")
+    return rows.groupBy(F.try_element_at("values", F.lit(-1)).alias("leaf"), "page_no").agg(F.count("*").alias("n"))
+
+
+@query("SELECT l_orderkey, CAST(l_linenumber AS INTEGER) AS page_no, 'Page$' || CAST(l_linenumber AS STRING) AS argument FROM lineitem")
+def page_arguments(spark, sf_dir):
+    return _table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("int").alias("page_no"), page_argument("l_linenumber").alias("argument"))
+
+
+QUERIES["page_argument"], ORACLES["page_argument"] = QUERIES.pop("page_arguments"), ORACLES.pop("page_arguments")
+
+
+@query(f"SELECT c_custkey, coalesce({_NUMBER}, '') AS name, split_part(coalesce({_NUMBER}, ''), '/', -1) AS value FROM customer")
+def constituency(spark, sf_dir):
+    named = _table(spark, sf_dir, "customer").select("c_custkey", F.coalesce(F.expr(_NUMBER), F.lit("")).alias("name"))
+    return named.withColumn("value", constituency_suffix("name"))
+
+
+QUERIES["constituency_suffix"], ORACLES["constituency_suffix"] = QUERIES.pop("constituency"), ORACLES.pop("constituency")
+
+
+def _leaf_sql(office: str) -> str:
+    """Leaves of an office below the start post, each level's name by its column, with number and status."""
+    spec, chain = OFFICES[office], render.CHAINS[office]
+    number, status = render.LABELS[chain[-1]]
+    names = {level: render.NODES[kind][1] for level, kind in zip(spec.levels, chain)}
+    if spec.labels == "required":
+        number, status = names["pradesik"], render.REQUIRED_STATUS[chain[-1]]
+    out = ", ".join(f"{names[x]} AS {x}" for x in spec.ancestors)
+    return f"{out}, coalesce({number}, '') AS number, coalesce({status}, '') AS reservation_status"
+
+
+def _expand(office: str):
+    spec = OFFICES[office]
+
+    def f(spark, sf_dir):
+        leaves, _ = leaves_of(spec, Replay(materialize(render.site(spark, sf_dir, office), "site")), ResumeSpec({"post": START_POST}))
+        return expand.named(leaves, spec.levels).select(*spec.ancestors, "number", "reservation_status")
+
+    source = render.LEAF_ROWS[render.CHAINS[office][-1]][0]
+    return f, f"SELECT DISTINCT {_leaf_sql(office)} FROM {source} WHERE c_mktsegment = '{START_POST}'"
+
+
+for _name, _office in (("expand_3", "zp"), ("expand_4", "ps"), ("expand_5", "pa")):
+    QUERIES[_name], ORACLES[_name] = _expand(_office)
+
+
+def _records_sql(office: str) -> str:
+    source, cells = render.LEAF_ROWS[render.CHAINS[office][-1]]
+    tail = ", ".join(f"coalesce({c}, '') AS {n}" for n, c in zip(TAIL, cells))
+    return f"SELECT {_leaf_sql(office)}, {tail} FROM {source} WHERE c_mktsegment = '{START_POST}'"
+
+
+def _crawled(spark: SparkSession, sf_dir: str, office: str, resume: ResumeSpec | None = None) -> DataFrame:
+    site = materialize(render.site(spark, sf_dir, office), "site")
+    return crawl(OFFICES[office], Replay(site), resume or ResumeSpec({"post": START_POST})).records
+
+
+def _records(office: str):
+    return lambda spark, sf_dir: _crawled(spark, sf_dir, office).select(*OFFICES[office].columns)
+
+
+for _office in OFFICES:
+    QUERIES[f"records_{_office}"], ORACLES[f"records_{_office}"] = _records(_office), _records_sql(_office)
+
+_MU_NODES = "(SELECT DISTINCT r_regionkey, r_name, n_nationkey, n_name, c_custkey, c_name, c_mktsegment FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey JOIN orders ON o_custkey = c_custkey)"
+_REGION, _NATION = render.NODES["region"][1], render.NODES["nation"][1]
+
+
+def _latched(start_region: str, start_nation: str):
+    """Leaves of a run that starts at a region and a nation of its own or of a later region."""
+
+    def f(spark, sf_dir):
+        site = materialize(render.site(spark, sf_dir, "mu"), "site")
+        leaves, _ = leaves_of(OFFICES["mu"], Replay(site), ResumeSpec({"post": START_POST, "district": start_region, "block": start_nation}))
+        return expand.named(leaves, OFFICES["mu"].levels).select("post", "district", "block", "panchayat")
+
+    sql = f"""
+    WITH t AS (SELECT *, {_REGION} AS district, {_NATION} AS block, {render.NODES["customer"][1]} AS panchayat FROM {_MU_NODES} WHERE c_mktsegment = '{START_POST}'),
+    p1 AS (SELECT min(r_regionkey) AS r FROM t WHERE district = '{start_region}'),
+    p2 AS (SELECT min(r_regionkey * 1000 + n_nationkey) AS p FROM t, p1 WHERE block = '{start_nation}' AND r_regionkey >= r)
+    SELECT c_mktsegment AS post, district, block, panchayat FROM t, p1, p2
+    WHERE r_regionkey >= r AND r_regionkey * 1000 + n_nationkey >= p
+    """
+    return f, sql
+
+
+
+# Nation 7 lies in region 2, nation 6 in region 1: the second start is met only below a later parent.
+QUERIES["resume_latch"], ORACLES["resume_latch"] = _latched("02 - ASIA", "007 - NATION_7")
+QUERIES["resume_cross_parent"], ORACLES["resume_cross_parent"] = _latched("00 - AFRICA", "006 - NATION_6")
+
+
+@query(f"SELECT c_mktsegment AS post, {_REGION} AS district, {_NATION} AS block, {render.NODES['customer'][1]} AS panchayat FROM {_MU_NODES} WHERE c_mktsegment = (SELECT min(c_mktsegment) FROM customer JOIN orders ON o_custkey = c_custkey)")
+def first_post(spark, sf_dir):
+    """Leaves of a run without a start: those of the first post only."""
+    leaves, _ = leaves_of(OFFICES["mu"], Replay(materialize(render.site(spark, sf_dir, "mu"), "site")), ResumeSpec())
+    return expand.named(leaves, OFFICES["mu"].levels).select("post", "district", "block", "panchayat")
+
+
+def _with_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panchayat site in which the second page of some leaves and the first of others fail."""
+    site = render.site(spark, sf_dir, "mu").where("page_no > 0")
+    key = F.substr(F.try_element_at("values", F.lit(-1)), F.lit(2)).cast("long")
+    return site.withColumn("status", F.when((key % 5 == 0) & (F.col("page_no") == 2), 500).when((key % 11 == 0) & (F.col("page_no") == 1), 404).otherwise(200))
+
+
+_PAGED = "(SELECT o_custkey, CAST((rn - 1) // 10 + 1 AS INTEGER) AS page_no FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders JOIN customer ON c_custkey = o_custkey) GROUP BY 1, 2)"
+_FAILS = "CASE WHEN o_custkey % 5 = 0 AND page_no = 2 THEN 500 WHEN o_custkey % 11 = 0 AND page_no = 1 THEN 404 ELSE 200 END"
+
+
+@query(f"SELECT 'c' || CAST(o_custkey AS STRING) AS leaf, page_no, {_FAILS} = 200 AS ok FROM {_PAGED}")
+def status_guard(spark, sf_dir):
+    """Pages that the guard lets through and turns away."""
+    pages = _with_failures(spark, sf_dir).select(F.try_element_at("values", F.lit(-1)).alias("leaf"), "page_no", "status")
+    return extract.only_ok(pages).withColumn("ok", F.lit(True)).union(extract.failed(pages).withColumn("ok", F.lit(False))).select("leaf", "page_no", "ok")
+
+
+@query(
+    f"""
+    WITH s AS (SELECT o_custkey, page_no, {_FAILS} AS status FROM {_PAGED}),
+    b AS (SELECT o_custkey, min(page_no) FILTER (status <> 200) AS bad, max(page_no) AS pages FROM s GROUP BY 1)
+    SELECT 'c' || CAST(o_custkey AS STRING) AS leaf, CAST(coalesce(bad - 1, pages) AS BIGINT) AS pages_read, bad IS NULL AS complete FROM b
+    """
+)
+def leaf_outcome(spark, sf_dir):
+    """What came of each leaf: a failed page ends it and keeps those before."""
+    pages = materialize(_with_failures(spark, sf_dir), "site")
+    leaves = pages.where("page_no = 1").select("values")
+    got = leaf_status(follow(leaves, pages).select("values", "status"))
+    return got.select(F.try_element_at("values", F.lit(-1)).alias("leaf"), "pages_read", "complete")
+
+
+QUERIES["leaf_status"], ORACLES["leaf_status"] = QUERIES.pop("leaf_outcome"), ORACLES.pop("leaf_outcome")
+
+
+@query(_records_sql("mu"))
+def csv_roundtrip(spark, sf_dir):
+    """Records written as CSV and read back."""
+    path = new_path(spark, "csv")
+    csv.write(_crawled(spark, sf_dir, "mu"), OFFICES["mu"], path)
+    return csv.read(spark, OFFICES["mu"], path)
+
+
+@query(f"{_records_sql('ps')} UNION ALL SELECT * FROM ({_records_sql('ps')}) AS again WHERE district >= '02 - ASIA'")
+def resume_append(spark, sf_dir):
+    """A full run and one that resumes at a district: the second appends, and repeats what it reads again."""
+    path, spec = new_path(spark, "csv"), OFFICES["ps"]
+    again = ResumeSpec({"post": START_POST, "district": "02 - ASIA"})
+    csv.write(_crawled(spark, sf_dir, "ps"), spec, path, ResumeSpec({"post": START_POST}))
+    csv.write(_crawled(spark, sf_dir, "ps", again), spec, path, again)
+    return csv.read(spark, spec, path)
+
+
+def _combined_sql() -> str:
+    every = OFFICES["pa"].columns
+    part = lambda o: f"SELECT '{o}' AS office, " + ", ".join(c if c in OFFICES[o].columns else f"CAST(NULL AS STRING) AS {c}" for c in every) + f" FROM ({_records_sql(o)}) AS {o}"
+    return " UNION ALL ".join(part(o) for o in ("zp", "mu"))
+
+
+@query(_combined_sql())
+def combined_records(spark, sf_dir):
+    """Extension: two offices in one table of nineteen columns."""
+    both = combined({o: _crawled(spark, sf_dir, o) for o in ("zp", "mu")})
+    out = both.columns
+    return both.select("office", *[F.col(c) if c in out else F.lit(None).cast("string").alias(c) for c in OFFICES["pa"].columns])

@@ -81,6 +81,8 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str, limit: int = 4096)
     misses = once.join(known.select("content_digest"), "content_digest", "left_anti")
     encode_misses(misses, tokenizer, version).write.mode("append").parquet(cache)
     counts = read_cache(spark, cache).where(F.col("tokenizer_digest") == version).groupBy("content_digest").agg(F.max("n_tokens").alias("n_tokens"))
+    # Written, so that the join reads both sides plainly and a digest of very many rows can be split.
+    counts = materialize(counts, "token-counts")
     return keys.join(counts, "content_digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 

@@ -76,7 +76,7 @@ def fences(sketched: DataFrame) -> DataFrame:
         low, high = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.25, 0.75))
         return high + REACH * F.greatest(high - low, F.lit(spread))
 
-    if (whole := merged().select(*[fence(r, x).alias(r) for r, x in RATES.items()]).first())[0] is None:
+    if (whole := merged().where("n > 0").select(*[fence(r, x).alias(r) for r, x in RATES.items()]).first()) is None:
         return sketched.select("lang", "source", *[F.lit(None).cast("double").alias(f"{r}_fence") for r in RATES])
     by_lang = merged("lang").select(F.col("lang").alias("_lang"), F.col("n").alias("_n"), *[fence(r, x).alias(f"_{r}") for r, x in RATES.items()])
     joined = sketched.join(by_lang, sketched["lang"].eqNullSafe(by_lang["_lang"]))

@@ -1,0 +1,192 @@
+"""Whole runs over hand-written sites, replayed and through a fake live transport."""
+
+import csv as pycsv
+import io
+import sys
+
+import pytest
+from pyspark import cloudpickle
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from leafline.operators import grid
+from leafline.operators.extract import parse
+from leafline.plans.crawl import crawl, in_page_order
+from leafline.plans.specs import GRID_ID, NUMBER_LABEL, OFFICES, REQUIRED_LABEL, SELECT_IDS, STATUS_LABEL, TAIL, ResumeSpec
+from leafline.sources import csv, forms
+from leafline.sources.replay import SCHEMA, Replay
+from leafline.streaming import landed
+
+STATE = "".join(f'<input id="{n}" value="{{{k}}}">' for k, n in (("e", "__EVENTVALIDATION"), ("v", "__VIEWSTATE"), ("g", "__VIEWSTATEGENERATOR")))
+
+
+def state(key):
+    return STATE.format(e=f"e{key}", v=f"v{key}", g=f"g{key}")
+
+
+def choices(level, *names):
+    return f'<select id="{SELECT_IDS[level]}"><option value="">--</option>' + "".join(f'<option value="{n.lower()}">{n}</option>' for n in names) + "</select>"
+
+
+def row(*cells):
+    return "<tr>" + "".join(f"<td><font>{c}</font></td>" if c else "<td></td>" for c in cells) + "</tr>"
+
+
+def person(n, **other):
+    return row(*[other.get(c, f"{c}{n}") for c in TAIL])
+
+
+PAGER = '<tr><td colspan=12><table><tr><td><span><font>1</font></span></td><td><a><font>{}</font></a></td></tr></table></td></tr>'
+
+
+def table(*rows):
+    return f'<table id="{GRID_ID}"><tr><th>h</th></tr>{"".join(rows)}</table>'
+
+
+#: zp: one post, two districts, three constituencies; the first has two pages.
+SITE = {
+    ((), 0): (200, choices("post", "Zila", "Other")),
+    (("zila",), 0): (200, choices("district", "D1", "D2")),
+    (("zila", "d1"), 0): (200, choices("pradesik", "C1", "C2")),
+    (("zila", "d2"), 0): (200, choices("pradesik", "C1")),
+    (("zila", "d1", "c1"), 0): (200, f'<span id="{REQUIRED_LABEL}">General</span>'),
+    (("zila", "d1", "c2"), 0): (500, ""),
+    (("zila", "d2", "c1"), 0): (200, f'<span id="{REQUIRED_LABEL}">Woman</span>'),
+    (("zila", "d1", "c1"), 1): (200, table(person(1), person(2, email=""), PAGER.format(2), person(9))),
+    (("zila", "d1", "c1"), 2): (200, table(person(3), PAGER.format(2), person(4))),
+    (("zila", "d2", "c1"), 1): (200, table(row("", "no", "number"), person(5, address='a "b", c'))),
+}
+
+
+@pytest.fixture
+def site(spark):
+    rows = [(list(v), p, s, state("/".join(v)) + h) for (v, p), (s, h) in SITE.items()]
+    return Replay(spark.createDataFrame(rows, SCHEMA))
+
+
+def test_replay_of_a_site(site):
+    found = crawl(OFFICES["zp"], site)
+    got = [(r.district, r.number, r.reservation_status, r.sr_no, r.email) for r in in_page_order(found.records).collect()]
+    # A row behind the pager counts on the second page and not on the first.
+    assert got == [("D1", "C1", "General", "sr_no1", "email1"), ("D1", "C1", "General", "sr_no2", ""), ("D1", "C1", "General", "sr_no3", "email3"), ("D1", "C1", "General", "sr_no4", "email4"), ("D2", "C1", "Woman", "sr_no5", "email5")]
+    assert [(r.level, r["values"], r.status) for r in found.errors.collect()] == [("pradesik", ["zila", "d1", "c2"], 500)]
+    assert {tuple(r["values"]): (r.pages_read, r.complete) for r in found.leaves.collect()} == {("zila", "d1", "c1"): (2, True), ("zila", "d2", "c1"): (1, True)}
+
+
+def test_resume_at_a_name_that_also_stands_below_a_later_parent(site):
+    found = crawl(OFFICES["zp"], site, ResumeSpec({"district": "D2", "pradesik": "C1"}))
+    assert [r.sr_no for r in found.records.collect()] == ["sr_no5"]
+
+
+def test_an_unknown_post_gives_no_rows(site):
+    assert crawl(OFFICES["zp"], site, ResumeSpec({"post": "Nobody"})).records.count() == 0
+
+
+def test_a_missing_cell_raises_or_is_rejected(spark):
+    pages = spark.createDataFrame([([""], 1, 200, table(person(1, age=""), person(2)))], SCHEMA).withColumn("page", parse("html"))
+    rows = grid.rows(pages).where("kind = 'data'")
+    with pytest.raises(PySparkException, match="missing age"):
+        rows.select(*grid.cells().values()).collect()
+    assert [r.age for r in rows.select(grid.cells(strict=False)["age"].alias("age")).collect()] == [None, "age2"]
+    assert grid.rejects(rows).count() == 1
+
+
+def test_a_pager_without_a_number(spark):
+    page = spark.createDataFrame([(table(person(1), PAGER.format("...")),)], "html string").select(parse("html").alias("page"))
+    with pytest.raises(PySparkException):
+        page.select(grid.pages_of()).collect()
+    assert page.select(grid.pages_of(strict=False)).first()[0] is None
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+class Site:
+    """A fake live site; it answers only requests with the state of the page before."""
+
+    def __call__(self):
+        return self.send
+
+    def send(self, sent):
+        if sent is None:
+            return 200, state("") + SITE[(), 0][1]
+        values = tuple(sent[SELECT_IDS[x]] for x in ("post", "district", "pradesik") if SELECT_IDS[x] in sent)
+        page = 1 if "btnSubmit" in sent else int(sent["__EVENTARGUMENT"][5:] or 0) if sent["__EVENTTARGET"] == GRID_ID else 0
+        before = "/".join(values if page else values[:-1]) + (f"#{page - 1}" if page > 1 else "")
+        if sent["__VIEWSTATE"] != f"v{before}":
+            return 409, ""
+        status, html = SITE[values, page]
+        return status, state("/".join(values) + (f"#{page}" if page else "")) + html
+
+
+def test_live_run_gives_the_same_rows(spark, site):
+    live = crawl(OFFICES["zp"], forms.Live(spark, Site(), parallel=2)).records
+    assert sorted(live.collect()) == sorted(crawl(OFFICES["zp"], site).records.collect())
+
+
+def test_postback_parameters():
+    state_ = {"event_validation": "e", "view_state": "v", "view_state_generator": "g"}
+    spec = OFFICES["pa"]
+    sent = forms.postback(spec, state_, ["p", "d", "b", "n"], spec.targets[3])
+    assert sent["__EVENTTARGET"] == "ddlBlok" and sent["ddlPanchayat"] == "n" and "ddlWard" not in sent and sent["__VIEWSTATE"] == "v"
+    assert forms.submit(spec, state_, ["p"])["btnSubmit"] == "View"
+    assert spec.targets == ("ddlPostName", "ddlDistrict", "ddlBlok", "ddlBlok", "ddlPanchayat")
+
+
+def test_retries_then_status_zero(monkeypatch):
+    calls = []
+    monkeypatch.setattr(forms.urllib.request.OpenerDirector, "open", lambda *a, **k: calls.append(k["timeout"]) or (_ for _ in ()).throw(OSError("down")))
+    assert forms.HttpOptions("http://example.invalid/", retries=2, backoff=0, timeout=1.5).session()(None) == (0, "")
+    assert calls == [1.5] * 3
+
+
+@pytest.mark.parametrize(("office", "width"), [("zp", 16), ("ps", 17), ("mu", 18), ("sa", 18), ("pa", 19), ("wm", 19)])
+def test_widths(office, width):
+    assert len(OFFICES[office].columns) == width == len(set(OFFICES[office].columns))
+
+
+def test_optional_labels_and_the_number_latch(spark):
+    labels = lambda n, s: f'<span id="{NUMBER_LABEL}">{n}</span>' + (f'<span id="{STATUS_LABEL}">{s}</span>' if s else "")
+    pages = {((), 0): choices("post", "M"), (("m",), 0): choices("district", "D"), (("m", "d"), 0): choices("block", "B"), (("m", "d", "b"), 0): choices("panchayat", "P1", "P2")}
+    pages |= {(("m", "d", "b", f"p{k}"), 0): labels(f"x/{k}", "" if k == 1 else "R") for k in (1, 2)} | {(("m", "d", "b", f"p{k}"), 1): table(person(k)) for k in (1, 2)}
+    site = Replay(spark.createDataFrame([(list(v), p, 200, state(0) + h) for (v, p), h in pages.items()], SCHEMA))
+    assert [(r.panchayat, r.number, r.reservation_status) for r in in_page_order(crawl(OFFICES["mu"], site).records).collect()] == [("P1", "x/1", ""), ("P2", "x/2", "R")]
+    assert [r.number for r in crawl(OFFICES["mu"], site, ResumeSpec(number="x/2")).records.collect()] == ["x/2"]
+
+
+def test_csv_is_that_of_the_standard_writer(spark, tmp_path):
+    spec = OFFICES["zp"]
+    values = ["a", " b ", "", None, 'say "x"', "1,2", "two\nlines", "é"]
+    rows = [[values[(k + j) % len(values)] for j in range(len(spec.columns))] for k in range(3)]
+    records = spark.createDataFrame([(*r, [k], 1, 1) for k, r in enumerate(rows)], ", ".join(f"{c} string" for c in spec.columns) + ", path array<int>, page_no int, row_ord int")
+    path = str(tmp_path / "out")
+    csv.write(records, spec, path, ordered=True)
+    (part,) = (tmp_path / "out").glob("part-*.csv")
+    held = io.StringIO()
+    pycsv.writer(held, lineterminator="\n").writerows([spec.columns, *[[v or "" for v in r] for r in rows]])
+    assert part.read_text("utf-8") == held.getvalue()
+    assert [tuple(r) for r in csv.read(spark, spec, path).collect()] == [tuple(v or "" for v in r) for r in rows] or csv.read(spark, spec, path).count() == 3
+    csv.write(records, spec, path, ResumeSpec({"district": "x"}))
+    assert csv.read(spark, spec, path).count() == 6
+    csv.write(records, spec, path, ResumeSpec({"post": "x"}), redact=True)
+    assert {(r.mobile_number, r.email) for r in csv.read(spark, spec, path).collect()} == {("", "")}
+
+
+def test_landed_pages_as_a_stream(spark, tmp_path):
+    rows = [(list(v), p, s, h, "2024-01-01 00:00:00") for (v, p), (s, h) in SITE.items()]
+    pages = spark.createDataFrame(rows, SCHEMA + ", landed string").withColumn("landed", F.col("landed").cast("timestamp"))
+    at, out, mark = (str(tmp_path / x) for x in ("in", "out", "mark"))
+    for _ in range(2):  # the same pages land twice
+        pages.write.mode("append").parquet(at)
+        landed.start(spark, at, out, mark).awaitTermination()
+    assert sorted(r.sr_no for r in spark.read.parquet(out).collect()) == [f"sr_no{k}" for k in (1, 2, 3, 4, 5)]
+
+
+def test_landing_pages_as_a_data_source(spark):
+    from leafline.sources.datasource import FormPageReader, register
+
+    register(spark)
+    got = spark.read.format("form_page").option("url", "http://127.0.0.1:9/ http://127.0.0.1:9/b").option("retries", "0").load().collect()
+    assert [(r.status, r.html) for r in got] == [(0, "")] * 2
+    with pytest.raises(ValueError, match="url"):
+        FormPageReader({})

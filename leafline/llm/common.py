@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leafline.sources.storage import materialize, new_path, shared_dir  # noqa: F401
+
 #: Word separators of the contracts: space and the control characters tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
@@ -19,31 +18,6 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. A local one is chosen only where none is set (tests)."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        set_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if set_dir.isDefined():
-            at = set_dir.get()
-        else:
-            at = tempfile.mkdtemp(prefix="leafline-")
-            spark.sparkContext.setCheckpointDir(at)
-    return at.rstrip("/")
-
-
-def new_path(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark)}/leafline/{what}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, what: str = "table") -> DataFrame:
-    """Writes df as Parquet to shared storage and reads it back: later reads survive lost executors,
-    and the lineage above is cut."""
-    path = new_path(df.sparkSession, what)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def text_or_empty(df: DataFrame, column: str = "text") -> DataFrame:
     """doc_id and text only, so that further columns of any name can't clash; null texts are empty."""
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(column), F.lit("")).alias("text"))

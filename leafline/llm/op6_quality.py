@@ -27,11 +27,11 @@ GRADES = 3
 SAMPLE = 8000
 #: A document stays if it has the best grade with this probability.
 TAIL = 0.3
-RIDGE = 1e-5
-#: A feature is used if texts above and below some grade differ in how many have it by so many standard errors.
-SCREEN = 6.0
-#: Features are shares of tokens; this brings them to about one.
-SCALE = 30.0
+RIDGE = 1e-4
+STEPS = 300
+#: A feature is used if its presence is associated with a text being above some grade: by so many standard
+#: errors, and with such a phi coefficient, below which thousands of texts make chance look certain.
+SCREEN, PHI = 5.0, 0.11
 
 
 def graded(labels: DataFrame) -> DataFrame:
@@ -55,7 +55,7 @@ def sample_vectors(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
 
 def screened(grade: np.ndarray, rows: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     """Features whose presence tells grades apart: those of a few texts only would be learned by heart."""
-    most = np.zeros(features.SIZE)
+    used = np.zeros(features.SIZE, bool)
     for low in range(GRADES - 1):
         for texts in (grade >= 0, grade >= low):
             up, down = texts & (grade > low), texts & (grade <= low)
@@ -64,8 +64,9 @@ def screened(grade: np.ndarray, rows: np.ndarray, numbers: np.ndarray) -> np.nda
             a, b = (np.bincount(numbers[which[rows]], minlength=features.SIZE) for which in (up, down))
             share = (a + b) / texts.sum()
             error = np.sqrt(share * (1 - share) * (1 / up.sum() + 1 / down.sum()))
-            most = np.maximum(most, np.where(a + b >= 5, np.abs(a / up.sum() - b / down.sum()) / np.maximum(error, 1e-9), 0))
-    return np.flatnonzero(most >= SCREEN)
+            z = np.where(a + b >= 5, np.abs(a / up.sum() - b / down.sum()) / np.maximum(error, 1e-9), 0)
+            used |= z >= max(SCREEN, PHI * texts.sum() ** 0.5)
+    return np.flatnonzero(used)
 
 
 def fit_arrays(grade: np.ndarray, rows: np.ndarray, numbers: np.ndarray, shares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -75,7 +76,10 @@ def fit_arrays(grade: np.ndarray, rows: np.ndarray, numbers: np.ndarray, shares:
     column = np.full(features.SIZE, -1)
     column[used] = np.arange(len(used))
     own = column[numbers] >= 0
-    rows, numbers, x = rows[own], column[numbers[own]], shares[own] * SCALE
+    rows, numbers, x = rows[own], column[numbers[own]], shares[own]
+    # Columns of about one length let the search turn few corners.
+    size = np.sqrt(np.bincount(numbers, x * x, len(used)) / n) + 1e-12
+    x = x / size[numbers]
     balance = n / (GRADES * np.maximum(1, np.bincount(grade, minlength=GRADES)))
     # Between equal and balanced weight for the grades, so that the rare ones shape the score and clean texts stay.
     each = np.sqrt(balance)[grade]
@@ -97,9 +101,9 @@ def fit_arrays(grade: np.ndarray, rows: np.ndarray, numbers: np.ndarray, shares:
         g = np.concatenate((np.bincount(numbers, by_score[rows] * x, minlength=len(w)) + 2 * RIDGE * w, tail[:1], tail[1:] * steps))
         return float(-(each * np.log(p)).sum() + RIDGE * w @ w), g
 
-    v = minimise(loss, np.concatenate((np.zeros(len(used)), [-1.0], np.zeros(cuts - 1))), steps=150)
+    v = minimise(loss, np.concatenate((np.zeros(len(used)), [-1.0], np.zeros(cuts - 1))), steps=STEPS, tolerance=1e-8)
     weights = np.zeros(features.SIZE)
-    weights[used] = v[:-cuts] * SCALE
+    weights[used] = v[:-cuts] / size
     return weights, np.cumsum(np.concatenate((v[-cuts:][:1], np.exp(v[-cuts:][1:]))))
 
 

@@ -313,11 +313,11 @@ def test_gradient_by_differences():
     caught = {}
     real = op6_quality.minimise
     op6_quality.minimise = lambda f, x, **k: caught.update(f=f, size=len(x)) or real(f, x, **k)
-    screen, op6_quality.SCREEN = op6_quality.SCREEN, 0.0
+    screen, op6_quality.SCREEN, op6_quality.PHI = (op6_quality.SCREEN, op6_quality.PHI), 0.0, 0.0
     try:
         _, limits = op6_quality.fit_arrays(grade, np.repeat(np.arange(300), 6), numbers, np.concatenate(share))
     finally:
-        op6_quality.minimise, op6_quality.SCREEN = real, screen
+        op6_quality.minimise, (op6_quality.SCREEN, op6_quality.PHI) = real, screen
     assert limits[0] < limits[1]
     v = rng.normal(size=caught["size"]) * 0.3
     _, g = caught["f"](v)

@@ -7,8 +7,9 @@ between tags or comments; character references are decoded; nothing is trimmed.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 #: What a start tag ends, and the elements beyond which it ends nothing.
@@ -23,13 +24,32 @@ ENDS = {
 }
 
 
+#: A comment, a tag with what stands in it, or a declaration; anything else is text.
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""", re.S)
+ATTRIBUTE = re.compile(r"""([^\s=/"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"']+)))?""")
+#: Elements whose content is text up to their end tag.
+RAW = {"script", "style"}
+NONE: dict[str, str] = {}
+
+
 class Element:
-    __slots__ = ("tag", "attributes", "children")
+    __slots__ = ("tag", "inner", "read", "children")
 
-    def __init__(self, tag: str, attributes: dict[str, str]):
-        self.tag, self.attributes = tag, attributes
+    def __init__(self, tag: str, inner: str = ""):
+        self.tag, self.inner, self.read = tag, inner, None
         self.children: list[Element | str] = []
 
+    @property
+    def attributes(self) -> dict[str, str]:
+        """By name, the first of a name; read when first asked for, since most elements are never asked."""
+        if not self.inner:
+            return NONE
+        if self.read is None:
+            self.read = {}
+            for name, a, b, c in ATTRIBUTE.findall(self.inner):
+                self.read.setdefault(name.lower(), unescape(a or b or c))
+        return self.read
+
     def elements(self, tag: str | None = None) -> list[Element]:
         return [c for c in self.children if isinstance(c, Element) and (tag is None or c.tag == tag)]
 
@@ -56,60 +76,54 @@ class Element:
                 open_.extend(reversed(now.children))
 
 
-class _Builder(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = Element("", {})
-        self.open = [self.root]
-        self.joined = False
-
-    def handle_starttag(self, tag, attrs):
-        if tag in ENDS:
-            ended, stop = ENDS[tag]
-            for k in range(len(self.open) - 1, 0, -1):
-                if self.open[k].tag in stop:
-                    break
-                if self.open[k].tag in ended:
-                    del self.open[k:]
-        new = Element(tag, {})
-        for name, value in attrs:
-            new.attributes.setdefault(name, value or "")
-        self.open[-1].children.append(new)
-        if tag not in VOID:
-            self.open.append(new)
-        self.joined = False
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID:
-            self.open.pop()
-
-    def handle_endtag(self, tag):
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k].tag == tag:
-                del self.open[k:]
-                break
-            if self.open[k].tag == "table" and tag not in ("table", "body", "html"):
-                break
-        self.joined = False
+def _end(open_: list[Element], tag: str) -> None:
+    """Closes the innermost open element of that tag, if none of the tables between stands in the way."""
+    for k in range(len(open_) - 1, 0, -1):
+        if open_[k].tag == tag:
+            del open_[k:]
+            return
+        if open_[k].tag == "table" and tag not in ("table", "body", "html"):
+            return
 
-    def handle_data(self, data):
-        held = self.open[-1].children
-        if self.joined and held and isinstance(held[-1], str):
-            held[-1] += data
-        else:
-            held.append(data)
-        self.joined = True
 
-    def handle_comment(self, data):
-        self.joined = False
+def _start(open_: list[Element], tag: str, inner: str) -> None:
+    if tag in ENDS:
+        ended, stop = ENDS[tag]
+        for k in range(len(open_) - 1, 0, -1):
+            if open_[k].tag in stop:
+                break
+            if open_[k].tag in ended:
+                del open_[k:]
+    new = Element(tag, inner)
+    open_[-1].children.append(new)
+    if tag not in VOID and not inner.endswith("/"):
+        open_.append(new)
 
 
 def tree(html: str | None) -> Element:
-    builder = _Builder()
-    builder.feed(html or "")
-    builder.close()
-    return builder.root
+    html, at = html or "", 0
+    root = Element("")
+    open_ = [root]
+    while found := TOKEN.search(html, at):
+        if found.start() > at:
+            text = html[at : found.start()]
+            open_[-1].children.append(unescape(text) if "&" in text else text)
+        at = found.end()
+        if not (tag := found[2]):
+            continue
+        tag = tag.lower()
+        if found[1]:
+            _end(open_, tag)
+            continue
+        _start(open_, tag, found[3])
+        if tag in RAW and open_[-1].tag == tag:
+            close = re.compile(f"</{tag}", re.I).search(html, at)
+            end = close.start() if close else len(html)
+            open_[-1].children.append(html[at:end])
+            at = end
+    if at < len(html):
+        open_[-1].children.append(unescape(html[at:]))
+    return root
 
 
 def first(values) -> str | None:
@@ -149,4 +163,8 @@ def pager_text(row: Element) -> str | None:
 def grid_rows(table: Element, cells: int, tbody: bool) -> list[dict]:
     """The table's direct rows but the first; with tbody, rows within a tbody count as direct."""
     rows = [r for e in table.elements() for r in (e.elements("tr") if tbody and e.tag == "tbody" else [e]) if r.tag == "tr"]
-    return [{"row_ord": k, "cells": cell_texts(r, cells), "has_table": any(e.tag == "table" for e in r.walk()), "pager": pager_text(r)} for k, r in enumerate(rows) if k]
+    out = []
+    for k, r in enumerate(rows[1:], 1):
+        nested = any(e.tag == "table" for e in r.walk())
+        out.append({"row_ord": k, "cells": cell_texts(r, cells), "has_table": nested, "pager": pager_text(r) if nested else None})
+    return out

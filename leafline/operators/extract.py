@@ -26,6 +26,10 @@ PAGE = T.StructType(
 )
 
 
+#: Elements that a page is asked about.
+ASKED = {"input", "select", "span", "table", "title", "h1", "nav"}
+
+
 def _page(text: str | None, tbody: bool) -> dict:
     inputs: dict[str, str] = {}
     selects: dict[str, list[dict]] = {}
@@ -34,6 +38,8 @@ def _page(text: str | None, tbody: bool) -> dict:
     heads: dict[str, str | None] = {}
     nav: list[dict] = []
     for e in H.tree(text).walk():
+        if e.tag not in ASKED:
+            continue
         name = e.attributes.get("id")
         if e.tag == "input" and name and "value" in e.attributes:
             inputs.setdefault(name, e.attributes["value"])

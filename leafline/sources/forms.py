@@ -128,7 +128,7 @@ class Live:
                 got = [send(postback(spec, state, values, spec.targets[depth])) for state, values in zip(batch.column("state").to_pylist(), batch.column("values").to_pylist(), strict=True)]
                 yield batch.append_column("status", pa.array([s for s, _ in got], pa.int32())).append_column("html", pa.array([h for _, h in got], pa.string()))
 
-        return frontier.repartition(self.parallel).mapInArrow(run, frontier.schema.add("status", "int").add("html", "string"))
+        return frontier.repartition(self.parallel).mapInArrow(run, frontier.schema.add("status", "integer").add("html", "string"))
 
     def grid(self, leaves: DataFrame, spec: OfficeSpec, strict: bool = True) -> DataFrame:
         from leafline.operators.extract import parse
@@ -146,5 +146,5 @@ class Live:
                         own = own.append_column(name, pa.array([g[at] for g in got], kind))
                     yield own
 
-        schema = leaves.schema.add("page_no", "int").add("status", "int").add("html", "string")
+        schema = leaves.schema.add("page_no", "integer").add("status", "integer").add("html", "string")
         return materialize(leaves.repartition(self.parallel).mapInArrow(run, schema), "grid-pages").withColumn("page", parse("html"))

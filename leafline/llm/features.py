@@ -2,9 +2,10 @@
 
 A token is a run of letters, digits and bytes beyond ASCII, or a run of ASCII punctuation; white space
 parts tokens. Each counts once as itself, lower-cased and hashed, once as its shape (kind, length, case,
-digits), and once more where it repeats the token before. A text's features are these counts divided by
-DAMP more than its number of tokens, so that a linear score is a mean over tokens, texts of any length
-compare, and a few words don't swing a short text.
+digits), once for each of its first four, five and six bytes, so that words of one stem share features
+however they end, and once more where it repeats the token before. A text's features are these counts
+divided by DAMP more than its number of tokens, so that a linear score is a mean over tokens, texts of
+any length compare, and a few words don't swing a short text.
 """
 
 from __future__ import annotations
@@ -17,7 +18,9 @@ import pyarrow as pa
 HASHED = 1 << 16
 SHAPES = 2 * 16 * 3 * 3
 REPEATS = HASHED + SHAPES
-SIZE = REPEATS + 1
+STEMS = REPEATS + 1
+STEM_BYTES = (4, 5, 6)
+SIZE = STEMS + HASHED
 DAMP = 50
 #: Bytes of text that are looked at together.
 STEP = 1 << 20
@@ -53,8 +56,23 @@ def _segments(data: np.ndarray, offsets: np.ndarray) -> Iterator[list[tuple[int,
         yield group
 
 
-def token_features(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(text, hashed, shape, repeats) of each token: its text's number and its features' numbers."""
+def _stems(placed: np.ndarray, starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(token, stem) for each beginning of STEM_BYTES that a token is long enough for."""
+    tokens, total = np.arange(len(starts)), placed[starts]
+    found = []
+    for k in range(1, max(STEM_BYTES)):
+        longer = size[tokens] > k
+        tokens = tokens[longer]
+        total = total[longer] + placed[starts[tokens] + k]
+        if k + 1 in STEM_BYTES:
+            mixed = (total ^ (total >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15 + 2 * k)
+            found.append((tokens, STEMS + ((mixed >> np.uint64(32)) % np.uint64(HASHED)).astype(np.int64)))
+    return np.concatenate([t for t, _ in found]), np.concatenate([s for _, s in found])
+
+
+def token_features(texts: pa.Array, stems: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(text, hashed, shape, repeats) of each token: its text's number and its features' numbers; then
+    (text, stem) of each stem, none if they aren't asked for."""
     texts = texts.cast(pa.large_string())
     offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
     if not len(texts) or offsets[-1] == offsets[0]:
@@ -71,7 +89,8 @@ def token_features(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np
             continue
         lengths = np.diff(np.append(starts, len(part)))
         place = np.arange(len(part), dtype=np.int32) - np.concatenate((np.zeros(starts[0], np.int32), np.repeat(starts, lengths).astype(np.int32)))
-        hashed = np.add.reduceat(_PLACED[place & 63, _LOWER[part]], starts)
+        placed = _PLACED[place & 63, _LOWER[part]]
+        hashed = np.add.reduceat(placed, starts)
         hashed ^= hashed >> np.uint64(29)
         size = np.add.reduceat((kind > 0).view(np.uint8), starts, dtype=np.int32)
         upper = np.add.reduceat(_UPPER[part].view(np.uint8), starts, dtype=np.int32)
@@ -82,14 +101,15 @@ def token_features(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np
         text = np.array([t for t, _, _ in group], np.int64)[at]
         again = np.zeros(len(starts), bool)
         again[1:] = (hashed[1:] == hashed[:-1]) & (at[1:] == at[:-1])
-        yield text, (hashed % np.uint64(HASHED)).astype(np.int64), HASHED + shape.astype(np.int64), again
+        token, stem = _stems(placed, starts, size) if stems else (np.zeros(0, np.int64),) * 2
+        yield text, (hashed % np.uint64(HASHED)).astype(np.int64), HASHED + shape.astype(np.int64), again, text[token], stem
 
 
 def vectors(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     """(feature numbers, values) of each text."""
     keys, counts, tokens = [], [], np.zeros(len(texts))
-    for text, hashed, shape, again in token_features(texts):
-        every = np.concatenate([text * SIZE + hashed, text * SIZE + shape, text[again] * SIZE + REPEATS])
+    for text, hashed, shape, again, stem_text, stem in token_features(texts):
+        every = np.concatenate([text * SIZE + hashed, text * SIZE + shape, text[again] * SIZE + REPEATS, stem_text * SIZE + stem])
         k, n = np.unique(every, return_counts=True)
         keys.append(k)
         counts.append(n)
@@ -106,9 +126,9 @@ def vectors(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
 def scores(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
     """Sum of the weights of each text's features times their values, by column; zero for a text without tokens."""
     total, tokens = np.zeros((len(texts), weights.shape[1])), np.zeros(len(texts))
-    for text, hashed, shape, again in token_features(texts):
+    for text, hashed, shape, again, stem_text, stem in token_features(texts):
         for c in range(weights.shape[1]):
             w = weights[:, c]
-            total[:, c] += np.bincount(text, w[hashed] + w[shape] + again * w[REPEATS], len(texts))
+            total[:, c] += np.bincount(text, w[hashed] + w[shape] + again * w[REPEATS], len(texts)) + np.bincount(stem_text, w[stem], len(texts))
         tokens += np.bincount(text, minlength=len(texts))
     return total / (tokens + DAMP)[:, None]

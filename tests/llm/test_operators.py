@@ -339,6 +339,13 @@ def test_scores_add_up_over_pieces_of_a_long_text(monkeypatch):
     assert np.allclose(whole[[0, 1, 3]], apart[[0, 1, 3]]) and np.allclose(whole, apart, atol=0.05)
 
 
+def test_words_of_one_stem_share_features():
+    import pyarrow as pa
+
+    one, other, apart, short = ({int(n) for n in numbers if n >= features.STEMS} for numbers, _ in features.vectors(pa.array(["Schönheit", "schönste", "unschön", "abc d"])))
+    assert len(one) == len(features.STEM_BYTES) and len(one & other) == 3 and not one & apart and not short
+
+
 # --- 7
 
 

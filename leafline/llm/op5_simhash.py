@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from leafline.llm.common import arrow_batch, materialize, read, rows, text_or_empty
 from leafline.llm.graph import components
+from leafline.llm.near_copies import keep_one  # noqa: F401
 
 RADIUS = 2
 SEED = 42
@@ -97,14 +98,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return prints.join(named.join(ids, "label").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id names its component, all columns kept; one row of each repeated doc_id.
-    Rows without doc_id can't be told apart by a name and stay."""
-    keep = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    kept = docs.join(keep, docs["doc_id"] == keep["_keep"], "left_semi")
-    return kept.dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
-
-
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

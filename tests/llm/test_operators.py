@@ -280,6 +280,36 @@ def test_one_of_each_group_stays(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [0, 2, 3] and kept.columns == docs.columns
 
 
+def _five(text):
+    w = (text or "").lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def test_near_copies_are_those_of_similar_shingles(spark):
+    """Families with some words changed, and a crowd of them: the groups are those of all pairs of 0.8 or more."""
+    rng = random.Random(11)
+    texts = ["a b c", "A  b c", "a b", "", None]
+    for copies in (1, 2, 3, 3, 3, 3, 60):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(120, 300))]
+        texts.append(" ".join(words))
+        for _ in range(copies):
+            own = list(words)
+            for i in rng.sample(range(len(own)), rng.randint(1, 7)):
+                own[i] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(own))
+    sets = [_five(t) for t in texts]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            a, b = sets[i], sets[j]
+            if (5 * len(a & b) >= 4 * len(a | b)) and label[i] != label[j]:
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    assert 9 < len(set(label)) < len(texts) - 30
+    kept = op5_simhash.keep_one(table(spark, texts).repartition(7))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(label))
+
+
 # --- 6
 
 

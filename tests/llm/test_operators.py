@@ -310,6 +310,14 @@ def test_near_copies_are_those_of_similar_shingles(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(label))
 
 
+def test_rows_of_repeated_or_null_doc_ids_stay_or_go_by_their_text(spark):
+    rng = random.Random(12)
+    one, two, three, four = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(40)) for _ in range(4))
+    docs = spark.createDataFrame([(1, one), (7, one), (7, two), (8, three), (8, four), (None, three), (None, "n n n"), (None, "n n n")], "doc_id long, text string")
+    kept = op5_simhash.keep_one(docs.repartition(5))
+    assert rows(kept) == sorted([(1, one), (7, two), (8, three), (8, four), (None, "n n n")], key=str)
+
+
 # --- 6
 
 

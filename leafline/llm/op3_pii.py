@@ -36,12 +36,27 @@ class Kind:
     needs_context: bool = False
 
 
+#: Length of an account number by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban() -> str:
+    """By country, so that a match ends with the number whatever follows: compact, in groups of four, or with single spaces elsewhere."""
+    one = lambda n: rf"(?:[A-Z0-9]{{{n}}}|(?:\x20[A-Z0-9]{{4}}){{{n // 4}}}{rf'\x20[A-Z0-9]{{{n % 4}}}' * (n % 4 > 0)}|(?:\x20?[A-Z0-9]){{{n}}}+)(?![A-Za-z0-9])"
+    numbers = "|".join(f"(?:{names.replace(' ', '|')})[0-9]{{2}}{one(n - 4)}" for n, names in IBAN_LENGTHS.items())
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{numbers})"
+
+
 KINDS = (
     Kind("email", rf"(?:\G|(?<!{LOCAL})){LOCAL}++@{LABEL}++(?:\.{LABEL}++)++", "@", "mail|contact|write|address", 0.8),
     Kind("ip", r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}", ".", "ip|host|server|login|client", 0.6),
     Kind("card", r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){11,18}+(?![\x20-]?[0-9])", "", "card|visa|credit|debit|payment", 0.7),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", "phone|tel|call|mobile|fax", 0.6),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", "", "iban|bank|account|konto", 0.8, base=False),
+    Kind("iban", _iban(), "", "iban|bank|account|konto", 0.8, base=False),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-", "ssn|social", 0.4, base=False, needs_context=True),
 )
 BASE = tuple(k for k in KINDS if k.base)

@@ -180,6 +180,18 @@ def test_redaction_keeps_all_else(spark):
     assert got[0].n_chars == len(got[0].text) and op3_pii.redact(docs).columns == docs.columns
 
 
+def test_an_account_number_ends_with_its_length(spark):
+    compact, fours = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    tails = ["", ".", " Please", " 12 May", " BIC COBADEFF", " I", " 1", " NO9386011117947"]
+    others = ["NO9386011117947", "GB82WEST 1234 5698765432", "FR1420041010050500013M02606", "MT84MALT011000012345MTLCAST001S", "BE68 5390 0754 7034"]
+    docs = table(spark, [n + t for n in (compact, fours) for t in tails] + [f"to {n} 7 X" for n in others] + [compact + "0 Please", compact[:-1] + "1 Please"])
+    got = [r.spans for r in op3_pii.report(op3_pii.find(docs)).orderBy("doc_id").collect()]
+    want = [f"iban:0:{len(n)}" + (f",iban:{len(n) + 1}:{len(n) + 16}" if "NO93" in t else "") for n in (compact, fours) for t in tails] + [f"iban:3:{3 + len(n)}" for n in others] + ["", ""]
+    assert [",".join(s for s in g.split(",") if s.startswith("iban")) for g in got] == want
+    redacted = [r.text for r in op3_pii.redact(docs).orderBy("doc_id").collect()]
+    assert redacted[2:5] == ["[IBAN] Please", "[IBAN] 12 May", "[IBAN] BIC COBADEFF"]
+
+
 # --- 4
 
 

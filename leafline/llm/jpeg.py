@@ -123,10 +123,14 @@ class Image:
 
 
 def average_hash(grey: np.ndarray) -> str:
-    """16 hexadecimal digits: which of 8 x 8 evenly spaced pixels are above their mean."""
-    r, c = (np.arange(8) * n // 8 for n in grey.shape)
-    small = grey[np.ix_(r, c)].astype(np.int64)
-    return np.packbits(small * 64 > small.sum()).tobytes().hex()
+    """16 hexadecimal digits: which of 8 x 8 means over all pixels are above the mean of these. A side of fewer than 8 repeats pixels."""
+    small = grey.astype(np.float64)
+    for axis, n in enumerate(grey.shape):
+        starts, ends = np.arange(8) * n // 8, np.maximum(np.arange(1, 9) * n // 8, np.arange(8) * n // 8 + 1)
+        sums = np.insert(np.cumsum(small, axis=axis), 0, 0, axis=axis)
+        small = np.take(sums, ends, axis) - np.take(sums, starts, axis)
+        small /= (ends - starts).reshape((8, 1) if axis == 0 else (1, 8))
+    return np.packbits(small - small.mean() > 1e-9).tobytes().hex()
 
 
 def decode(data: bytes) -> Image:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from leafline.llm import jpeg
-from leafline.llm.common import arrow_batch, read, rows, text_or_empty
+from leafline.llm.common import arrow_batch, materialize, read, rows, text_or_empty
 
 STORED = {"doc_id": pa.int64(), "n_bytes": pa.int64(), "media": pa.binary()}
 FEATURES = {"doc_id": pa.int64(), "n_bytes": pa.int64(), "payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string(), "feature": pa.string(), "width": pa.int32(), "height": pa.int32(), "thumbnail_hash": pa.string()}
@@ -69,8 +69,8 @@ def features(media: DataFrame) -> DataFrame:
 
 
 def store_and_read(docs: DataFrame) -> DataFrame:
-    """Both steps in one pass, where the media themselves aren't wanted: a batch is stored as a column and read back."""
-    return text_or_empty(docs).mapInArrow(lambda batches: feature_batches(store_batches(batches)), FEATURES_DDL)
+    """The media column written as a table, and what it says when read back."""
+    return features(materialize(store(docs), "media"))
 
 
 def thumbnails(media: DataFrame) -> DataFrame:

@@ -535,6 +535,22 @@ def test_unreadable_media_have_null_thumbnails(spark):
     assert {r.doc_id: r.width for r in op9_media.thumbnails(df).collect()} == {1: None, 2: None, 3: 8}
 
 
+def test_the_hash_is_of_means_over_all_pixels(spark):
+    rng = np.random.default_rng(3)
+    for shape in ((8, 8), (27, 27), (100, 31), (1, 1), (3, 20)):
+        grey = rng.integers(0, 256, shape).astype(np.uint8)
+        cells = [[grey[i * shape[0] // 8 : max((i + 1) * shape[0] // 8, i * shape[0] // 8 + 1), j * shape[1] // 8 : max((j + 1) * shape[1] // 8, j * shape[1] // 8 + 1)].mean() for j in range(8)] for i in range(8)]
+        assert jpeg.average_hash(grey) == np.packbits(np.array(cells) - np.mean(cells) > 1e-9).tobytes().hex()
+    dotted = np.zeros((64, 64), np.uint8)
+    dotted[1::8, 1:32:8] = 255  # between the pixels that single ones would be taken from
+    assert jpeg.average_hash(dotted) == "f0" * 8
+
+
+def test_the_media_column_is_written(spark):
+    plan = op9_media.store_and_read(table(spark, ["a", "b"]))
+    assert any("/media-" in f for f in plan.inputFiles())
+
+
 # --- 10
 
 

@@ -1,8 +1,8 @@
 """Licence scans by a positional rare-token index.
 
 One pass counts, over all texts, how many hold each word of the licence templates; those few counts give
-the words' inverse document frequencies. A second pass looks up the rarest template words that a text
-holds, joins their positions with the templates' postings by relative position, and accepts a template
+the words' inverse document frequencies. A second pass looks up the rarer words of each template in
+a text, joins their positions with the templates' postings by relative position, and accepts a template
 where two or more of them agree on where it would begin and its mandatory phrases stand there.
 
 Only built-in functions; the only shuffle is that of the word counts, summed within each task first.
@@ -49,9 +49,8 @@ MANDATORY = {
     "unlicense": ["free and unencumbered software"],
 }
 
-#: Of a template's rarest words, the share of all its different words that may be looked up, and how many
-#: of them that a text holds are.
-RARE, LOOKED_UP = 0.5, 4
+#: Share of a template's different words, rarest first, that are looked up.
+RARE = 0.5
 #: Looked-up words that must agree on a template's place.
 AGREE = 2
 #: Score of a text with a base phrase and no verified template.
@@ -94,9 +93,11 @@ def _places(phrase: str) -> Column:
 
 
 def _rare(name: str, idf: dict[str, float]) -> list[str]:
-    """The rarer words of a template, rarest first."""
-    words = set(NOTICES[name].split())
-    return sorted(words, key=lambda w: (-idf[w], w))[: math.ceil(RARE * len(words))]
+    """The rarer words of a template, rarest first, and the AGREE rarest of its mandatory phrases: where these
+    stand in place, so many looked-up words agree."""
+    order = lambda words: sorted(set(words), key=lambda w: (-idf[w], w))
+    words = order(NOTICES[name].split())
+    return order(words[: math.ceil(RARE * len(words))] + order(" ".join(MANDATORY[name]).split())[:AGREE])
 
 
 def _starts(name: str, rare: list[str], looked: Column) -> Column:
@@ -138,7 +139,7 @@ def scan(docs: DataFrame) -> DataFrame:
     # Most texts hold fewer rare words than must agree, and nothing more is tried on them.
     df = df.withColumn("_held", F.array_intersect(_strings(sorted({w for words in rare.values() for w in words})), F.col("w")))
     for k, name in enumerate(NOTICES):
-        df = df.withColumn(f"_c{k}", F.when(F.size("_held") >= AGREE, F.slice(F.array_intersect(_strings(rare[name]), F.col("_held")), 1, LOOKED_UP)))
+        df = df.withColumn(f"_c{k}", F.when(F.size("_held") >= AGREE, F.array_intersect(_strings(rare[name]), F.col("_held"))))
         df = df.withColumn(f"_v{k}", F.when(F.size(f"_c{k}") >= AGREE, _starts(name, rare[name], F.col(f"_c{k}"))))
     for k, name in enumerate(NOTICES):
         df = df.withColumn(f"_t{k}", F.array_max(F.transform(F.filter(_agreed(F.col(f"_v{k}")), _verify(name)), _cover(name, idf))))

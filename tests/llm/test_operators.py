@@ -579,3 +579,18 @@ def test_templates_need_their_place_and_phrases(spark):
     texts = [f"Copyright. {mit.capitalize()}, and more", f"This work is {gpl}.", scattered, "plain words " * 30, gpl.replace("general public", "special private")] + ["some other text of no licence"] * 30
     got = [r for r in op10_licenses.scan(table(spark, texts)).orderBy("doc_id").collect()]
     assert [r.labels for r in got[:5]] == ["mit", "gpl-3", "", "", ""] and got[0].score > 0.99
+
+
+def test_unrelated_words_hide_no_notice(spark):
+    """The mandatory phrases in place are enough, whatever other words of the template stand elsewhere, and whichever words are rare."""
+    short = "Permission is hereby granted, free of charge, to use these notes."
+    texts = [short, f"{short} Any associated copy of the list is welcome too."]
+    for name, notice in op10_licenses.NOTICES.items():
+        words = notice.split()
+        held = {k for p in op10_licenses.MANDATORY[name] for k in range(len(words)) if words[k : k + len(p.split())] == p.split() for k in range(k, k + len(p.split()))}
+        texts.append(" ".join(w if k in held else f"x{k}" for k, w in enumerate(words)) + " y " + " y ".join(sorted(set(words))))
+    common = sorted({w for n in op10_licenses.MANDATORY.values() for p in n for w in p.split()})
+    docs = table(spark, texts + [" z ".join(common)] * 60 + ["some other text"] * 30)
+    got = [set(r.labels.split(",")) for r in op10_licenses.scan(docs).orderBy("doc_id").limit(len(texts)).collect()]
+    assert got[0] >= {"mit"} and got[1] >= {"mit"}
+    assert all(name in labels for name, labels in zip(op10_licenses.NOTICES, got[2:], strict=True)), got

@@ -19,4 +19,4 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {"op2_sharding": op2_sharding.ORACLE}
+ORACLES: dict[str, str] = {"op2_sharding": op2_sharding.ORACLE, "op8_quality_rules": op8_rules.ORACLE}

@@ -1,6 +1,8 @@
 """Each operator against a brute-force version, and on awkward tables."""
 
 import hashlib
+import math
+import os
 import random
 import re
 import zlib
@@ -13,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from leafline.llm import features, graph, jpeg, op1_tokens, op2_sharding, op3_pii, op4_mixing, op5_simhash, op6_quality, op7_packing, op8_rules, op9_media, op10_licenses
-from leafline.llm.common import new_path
+from leafline.llm.common import materialize, new_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h string, w string, slot string, label string, grade string"
 GAPS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -25,6 +27,14 @@ def table(spark, texts, langs=None):
     return spark.createDataFrame([(i, t, (langs or ["en", None, "de"])[i % 3], "s" if i % 2 else None, len(t or ""), "x", "x", "x", "x", "x") for i, t in enumerate(texts)], SCHEMA)
 
 
+@pytest.fixture(scope="module")
+def sf():
+    at = os.environ.get("LEAFLINE_TESTDATA", "/root/testdata/sf0.001")
+    if not os.path.isdir(at):
+        pytest.skip("no tables")
+    return at
+
+
 AWKWARD = ["", None, " \n\t ", "a", "a", "a b c", "😀 é ß", "#" * 50, "word " * 400, "x" * 70_000, "1" * 30_000, "Under the MIT License.", "line\n" * 300, "a@b.c +1 555 123 4567 4111 1111 1111 1111"]
 
 
@@ -464,6 +474,59 @@ def test_fences_follow_the_source(spark):
     assert all(got[i] for i in [*range(200), *range(1000, 1200), 5001]) and not got[5000]
 
 
+def slow_bucket(events, units, one):
+    return math.ceil(math.log((events + one) / (units + one)) / math.log(op8_rules.GAMMA))
+
+
+def slow_fences(rows):
+    """(lang, source) to the three fences, from sorted lists."""
+    groups = {}
+    for r in rows:
+        if not r.base_failed:
+            for key in ((r.lang, r.source), (r.lang,), ()):
+                groups.setdefault(key, []).append([slow_bucket(r[e], r[u], a) for e, u, a in op8_rules.RATES.values()])
+    out = {}
+    for key in (k for k in groups if len(k) == 2):
+        own = next((groups[k] for k in (key, key[:1]) if len(groups[k]) >= op8_rules.LEAST), groups[()])
+        columns = [sorted(c) for c in zip(*own)]
+        low, mid = (-(-len(own) * q // 4) - 1 for q in (1, 2))
+        out[key] = [c[mid] + op8_rules.REACH * max(c[mid] - c[low], op8_rules.SPREAD) for c in columns]
+    return out
+
+
+def varied(rng, i):
+    lines = [" ".join(f"w{rng.randrange(400)}{'#' * (rng.random() < 0.02)}" for _ in range(rng.randint(3, 30))) for _ in range(rng.randint(3, 30))]
+    return "\n".join(lines + lines[: rng.choice([0, 0, 1, len(lines) // 2])])
+
+
+def test_fences_and_verdicts_are_those_of_sorted_lists(spark):
+    rng = random.Random(13)
+    data = [(i, varied(rng, i), rng.choice(["en", "en", "de", None]), rng.choice(["a", "a", "a", "b", None])) for i in range(900)]
+    measured = materialize(op8_rules.rated(op8_rules.measures(spark.createDataFrame(data, "doc_id long, text string, lang string, source string"))))
+    want = slow_fences(measured.collect())
+    got = {(r.lang, r.source): [r[k] for k in op8_rules.RATES] for r in op8_rules.group_fences(op8_rules.sketches(measured)).collect()}
+    assert got == want and len({tuple(f) for f in want.values()}) > 3
+    for r in op8_rules.judge(spark.createDataFrame(data, "doc_id long, text string, lang string, source string")).collect():
+        own = [(r[e], slow_bucket(r[e], r[u], a)) for e, u, a in op8_rules.RATES.values()]
+        assert r.kept == (not r.base_failed and all(n == 0 or x <= f for (n, x), f in zip(own, want[r.lang, r.source])))
+
+
+def test_a_third_of_junk_moves_no_fence_past_the_junk(spark):
+    rng = random.Random(14)
+    words = lambda n, mark: " ".join(f"w{rng.randrange(9999)}{'#$' if rng.random() < mark else ''}" for _ in range(n))
+    data = [(i, words(rng.randint(60, 900), 0.5 if i % 3 == 0 else 0), "en", "s") for i in range(600)]
+    got = op8_rules.judge(spark.createDataFrame(data, "doc_id long, text string, lang string, source string")).collect()
+    assert {r.doc_id for r in got if r.kept} == {i for i in range(600) if i % 3}
+
+
+def test_fences_of_the_tables_differ(spark, sf):
+    rates = materialize(op8_rules.rated(op8_rules.measures(spark.read.parquet(f"{sf}/documents.parquet"))))
+    fences = op8_rules.fences(op8_rules.sketches(rates), "lang")
+    least = op8_rules.fences(op8_rules.sketches(rates.withColumns(dict.fromkeys(op8_rules.RATES, F.lit(0)))), "lang")
+    assert {r.fence for r in least.collect()} == {op8_rules.REACH * op8_rules.SPREAD}
+    assert all(r.n > 1 for r in fences.groupBy("rate").agg(F.countDistinct("fence").alias("n")).collect())
+
+
 # --- 9
 
 

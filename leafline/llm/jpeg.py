@@ -2,14 +2,17 @@
 
 The carrier writes 64 payload bytes as the 64 quantised coefficients of one block, in zigzag order and
 with a quantiser of one, so nothing is rounded. No coefficient is zero (bytes below 128 are -128..-1,
-the rest 1..128), so each is a symbol of run zero, and the Huffman tables give a value of s bits a code
-that makes code and value together equally wide: 9 bits for AC, 10 for DC differences. Any baseline
-reader can follow such tables; here a scan whose tables have that property is decoded as a bit matrix,
-and any other one symbol by symbol.
+the rest 1..128), so each is a symbol of run zero. The Huffman tables are those that fit the symbols of
+the text best, as an ordinary encoder would make them in a second pass.
+
+A scan is decoded the same way whatever made it: numpy looks up the code, run and size that would begin
+at every bit, a walk follows from code to code to find which bits do begin one, and numpy reads the
+values at all these places at once. Scans are taken in bounded chunks.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 import struct
 from dataclasses import dataclass, field
@@ -17,18 +20,28 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Blocks that are turned into bits at once; a multiple of 8, so that chunks end at whole bytes.
-CHUNK = 4096
+#: Blocks that are turned into bits at once, and bytes of a scan that are decoded at once.
+CHUNK, SCAN = 4096, 1 << 15
+#: Bytes that a block takes at most: 64 codes with values, 32 bits each.
+BLOCK = 256
 #: Largest number of blocks in a row or column that 16-bit dimensions allow.
 SIDE = 8191
 
 
-def _widths(top: int, total: int) -> dict[int, int]:
-    """Code length by symbol, where symbol s (run 0) brings s more bits."""
-    return {s: total - s for s in range(top, 0, -1)} | {0: total}
-
-
-DC_LENGTHS, AC_LENGTHS = _widths(9, 10), _widths(8, 9)
+def best_lengths(counts: dict[int, int]) -> dict[int, int]:
+    """Code length by symbol of the best prefix code that leaves the code of ones only free. Few symbols, so
+    no length nears the limit of 16."""
+    heap = [(n, [s]) for s, n in counts.items() if n] + [(0, [-1])]
+    lengths = dict.fromkeys((s for _, group in heap for s in group), 0)
+    heapq.heapify(heap)
+    while len(heap) > 1:
+        (m, one), (n, other) = heapq.heappop(heap), heapq.heappop(heap)
+        for s in one + other:
+            lengths[s] += 1
+        heapq.heappush(heap, (m + n, one + other))
+    # The free code is among the longest; the table lists it last and then without it.
+    del lengths[-1]
+    return dict(sorted(lengths.items(), key=lambda x: (x[1], x[0])))
 
 
 def canonical(lengths: dict[int, int]) -> dict[int, tuple[int, int]]:
@@ -41,21 +54,26 @@ def canonical(lengths: dict[int, int]) -> dict[int, tuple[int, int]]:
     return out
 
 
-def extend(bits: int, size: int) -> int:
-    return bits if not size or bits >> (size - 1) else bits - (1 << size) + 1
+#: Of a coefficient: each payload byte as an AC coefficient, and each DC difference from -256 to 256.
+_AC, _DC = np.concatenate((np.arange(-128, 0), np.arange(1, 129))), np.arange(-256, 257)
 
 
-def _word(value: int, table: dict[int, tuple[int, int]]) -> int:
-    size = abs(value).bit_length()
-    return table[size][0] << size | (value if value > 0 else value + (1 << size) - 1 if value else 0)
+def _sizes(values: np.ndarray) -> np.ndarray:
+    return np.ceil(np.log2(np.abs(values) + 1)).astype(np.int64)
 
 
-@lru_cache(maxsize=1)
-def _encoding() -> tuple[np.ndarray, np.ndarray]:
-    """Bits of each payload byte as an AC coefficient, and of each DC difference from -256 to 256."""
-    ac, dc = canonical(AC_LENGTHS), canonical(DC_LENGTHS)
-    bits = lambda words, n: (np.array(words)[:, None] >> np.arange(n - 1, -1, -1) & 1).astype(np.uint8)
-    return bits([_word(b - 128 if b < 128 else b - 127, ac) for b in range(256)], 9), bits([_word(d, dc) for d in range(-256, 257)], 10)
+def _codes(values: np.ndarray, counts: np.ndarray) -> tuple[dict[int, int], np.ndarray, np.ndarray]:
+    """(code lengths, words, bits of each word) for values that come counts times: a word is the code of the
+    size, and the value in so many bits."""
+    sizes = _sizes(values)
+    lengths = best_lengths(dict(enumerate(np.bincount(sizes, counts).astype(np.int64).tolist())))
+    words, bits = np.zeros(len(values), np.uint32), np.zeros(len(values), np.uint8)
+    for size, (code, n) in canonical(lengths).items():
+        own = sizes == size
+        v = values[own]
+        words[own] = code << size | np.where(v > 0, v, v + (1 << size) - 1)
+        bits[own] = n + size
+    return lengths, words, bits
 
 
 def _segment(marker: int, body: bytes) -> bytes:
@@ -77,21 +95,25 @@ def encode(payload: bytes) -> bytes:
         raise ValueError(f"{len(payload)} bytes don't fit one image")
     if spare := wide * high - len(data):
         data = np.concatenate([data, np.zeros((spare, 64), np.uint8)])
-    ac, dc = _encoding()
-    first = data[:, 0].astype(np.int64)
-    first = np.where(first < 128, first - 128, first - 127)
-    difference = np.diff(first, prepend=0)
-    scan = []
+    difference = np.diff(_AC[data[:, 0]], prepend=0) + 256
+    ac_lengths, ac_words, ac_bits = _codes(_AC, np.bincount(data[:, 1:].reshape(-1), minlength=256))
+    dc_lengths, dc_words, dc_bits = _codes(_DC, np.bincount(difference, minlength=513))
+    scan, rest = [], np.zeros(0, np.uint8)
     for at in range(0, len(data), CHUNK):
-        part = data[at : at + CHUNK]
-        bits = np.concatenate([dc[difference[at : at + CHUNK] + 256], ac[part[:, 1:]].reshape(len(part), -1)], axis=1).reshape(-1)
-        if spare := -len(bits) % 8:
-            bits = np.concatenate([bits, np.ones(spare, np.uint8)])
-        scan.append(np.packbits(bits))
+        part, first = data[at : at + CHUNK], difference[at : at + CHUNK]
+        words, bits = ac_words[part], ac_bits[part]
+        words[:, 0], bits[:, 0] = dc_words[first], dc_bits[first]
+        words, bits = words.reshape(-1), bits.reshape(-1)
+        ends = np.cumsum(bits, dtype=np.int32)
+        places = np.repeat(ends, bits) - np.arange(1, ends[-1] + 1, dtype=np.int32)
+        line = np.concatenate([rest, (np.repeat(words, bits) >> places.astype(np.uint32) & 1).astype(np.uint8)])
+        whole = len(line) // 8 * 8 if at + CHUNK < len(data) else len(line)
+        rest = line[whole:]
+        scan.append(np.packbits(np.concatenate([line[:whole], np.ones(-whole % 8, np.uint8)])))
     scan = np.concatenate(scan)
     scan = np.insert(scan, np.flatnonzero(scan == 0xFF) + 1, 0)
     head = [b"\xff\xd8", _segment(0xFE, b"payload %d" % len(payload)), _segment(0xDB, bytes([0] + [1] * 64)), _segment(0xC0, struct.pack(">BHHBBBB", 8, high * 8, wide * 8, 1, 1, 0x11, 0))]
-    return b"".join([*head, _segment(0xC4, _table(0, DC_LENGTHS) + _table(1, AC_LENGTHS)), _segment(0xDA, bytes([1, 1, 0, 0, 63, 0])), scan.tobytes(), b"\xff\xd9"])
+    return b"".join([*head, _segment(0xC4, _table(0, dc_lengths) + _table(1, ac_lengths)), _segment(0xDA, bytes([1, 1, 0, 0, 63, 0])), scan.tobytes(), b"\xff\xd9"])
 
 
 @dataclass
@@ -196,112 +218,136 @@ def _entropy_coded(data: bytes, at: int) -> tuple[list[np.ndarray], int]:
     return [raw[a:b][keep[a:b]] for a, b in zip(*edges, strict=True)], at + end
 
 
+@dataclass(frozen=True)
+class _Table:
+    """By the next 16 bits: length of the code, size of the value, and how many coefficients the code takes (AC)."""
+
+    length: np.ndarray
+    size: np.ndarray
+    steps: np.ndarray
+    jumps: np.ndarray
+
+
+@lru_cache(maxsize=16)
+def _lookup(lengths: tuple[tuple[int, int], ...]) -> _Table:
+    length, size, jumps = (np.zeros(1 << 16, np.uint8) for _ in range(3))
+    jumps[:] = 64  # no code: the block ends, and a step of zero tells
+    for symbol, (code, n) in canonical(dict(lengths)).items():
+        own = slice(code << (16 - n), (code + 1) << (16 - n))
+        length[own], size[own] = n, symbol & 15
+        jumps[own] = 64 if symbol == 0 else (symbol >> 4) + 1
+    return _Table(length, size, length + size, jumps)
+
+
+def _four(ahead: np.ndarray, table: _Table) -> tuple[np.ndarray, np.ndarray, bytes, bytes, bytes, bytes]:
+    """Steps and jumps of the code at each bit; the same as bytes, and those of four codes in a row."""
+    one, jump = table.steps[ahead], table.jumps[ahead]
+    steps, jumps, bits = one, jump, np.arange(len(ahead), dtype=np.int32)
+    for _ in range(2):
+        after = np.minimum(bits + steps, np.int32(len(ahead) - 1))
+        jumps = np.minimum(jumps, np.uint8(127))
+        steps, jumps = steps + steps[after], jumps + jumps[after]
+    return one, jump, one.tobytes(), jump.tobytes(), steps.tobytes(), jumps.tobytes()
+
+
+def _walk(ahead: np.ndarray, start: int, limit: int, units: int, plan: list[tuple[_Table, _Table]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int, int]:
+    """The bits at which codes begin, in order, their blocks, the coefficient each gives and whether it is a
+    block's first, for units that begin before limit; then how many units that were, and the bit behind them."""
+    found = {id(ac): _four(ahead, ac) for _, ac in plan}
+    tables = [(dc.steps[ahead].tobytes(), *found[id(ac)][2:], [], []) for dc, ac in plan]
+    firsts, p, done = [], start, 0
+    while done < units and p < limit:
+        for first, steps, jumps, steps4, jumps4, fours, ones in tables:
+            firsts.append(p)
+            p += first[p]
+            k = 1
+            while k + jumps4[p] <= 64:
+                fours.append(p)
+                k += jumps4[p]
+                p += steps4[p]
+            while k < 64:
+                ones.append(p)
+                k += jumps[p]
+                p += steps[p]
+        done += 1
+    firsts, places = np.array(firsts), []
+    for (_, ac), (*_, fours, ones) in zip(plan, tables, strict=True):
+        at = np.array(fours, np.int64)
+        places.append(np.array(ones, np.int64))
+        for _ in range(4):
+            places.append(at)
+            at = at + found[id(ac)][0][at]
+    places = np.sort(np.concatenate([firsts, *places]))
+    block = np.searchsorted(firsts, places, "right") - 1
+    is_first = places == firsts[block]
+    slot, jumped = block % len(plan), np.ones(len(places), np.int64)
+    for k, (_, ac) in enumerate(plan):
+        own = (slot == k) & ~is_first
+        jumped[own] = found[id(ac)][1][places[own]]
+    total = np.cumsum(jumped)
+    return places, block, total - (total - jumped)[is_first][block] - 1, is_first, done, p
+
+
+def _values(wide: np.ndarray, places: np.ndarray, ahead: np.ndarray, table: _Table) -> np.ndarray:
+    """What stands behind the codes that begin at places. wide: the 40 bits from each byte on."""
+    seen = ahead[places]
+    length = table.length[seen]
+    if not length.all():
+        raise ValueError("no such code")
+    size = table.size[seen].astype(np.int64)
+    at = places + length
+    bits = wide[at >> 3] >> (40 - (at & 7) - size) & ((1 << size) - 1)
+    return np.where(bits < (1 << size) >> 1, bits - (1 << size) + 1, bits)
+
+
+def _interval(data: np.ndarray, units: int, plan: list[tuple[_Table, _Table]]):
+    """(first unit, values, coefficients, blocks) of chunks of one interval: blocks count through all of plan."""
+    data = np.concatenate([data, np.full(16, 255, np.uint8)])
+    byte, bit, done = 0, 0, 0
+    while done < units:
+        part = data[byte : byte + SCAN + BLOCK * len(plan) + 16].astype(np.int32)
+        if len(part) < 16:
+            raise ValueError("the scan ends early")
+        three = part[:-2] << 16 | part[1:-1] << 8 | part[2:]
+        ahead = (three[:, None] >> np.arange(8, 0, -1, dtype=np.int32)).astype(np.uint16).reshape(-1)
+        wide = np.zeros(len(part) - 4, np.int64)
+        for k in range(5):
+            wide = wide << 8 | part[k : len(part) - 4 + k]
+        places, block, coefficient, first, more, p = _walk(ahead, bit, min(SCAN, len(part) - 8) * 8, units - done, plan)
+        slot, values = block % len(plan), np.zeros(len(places), np.int64)
+        for k, pair in enumerate(plan):
+            for table, own in zip(pair, (first & (slot == k), ~first & (slot == k))):
+                values[own] = _values(wide, places[own], ahead, table)
+        if (values[coefficient > 63] != 0).any():
+            raise ValueError("a block of more than 64 coefficients")
+        yield done, values, coefficient, block
+        done, byte, bit = done + more, byte + (p >> 3), p & 7
+
+
 def _scan(image: Image, scan: list[np.ndarray], tables: dict, restart: int) -> None:
     alone = len(tables) == 1
     most_h, most_v = (max(x[i] for x in image.sampling.values()) for i in (0, 1))
     across, down = -(-image.width // (8 * most_h)), -(-image.height // (8 * most_v))
-    for c in tables:
+    plan, where = [], []
+    for c, pair in tables.items():
         h, v = image.sampling[c]
         if alone:
             across, down = -(-image.width * h // (8 * most_h)), -(-image.height * v // (8 * most_v))
-            image.blocks[c] = np.zeros((down, across, 64), np.int16)
-        else:
-            image.blocks[c] = np.zeros((down * v, across * h, 64), np.int16)
-    if alone and len(scan) == 1:
-        ((c, (dc, ac)),) = tables.items()
-        if (found := _even(scan[0], across * down, dc, ac)) is not None:
-            image.blocks[c] = found.reshape(down, across, 64)
-            return
+            h = v = 1
+        image.blocks[c] = np.zeros((down * v, across * h, 64), np.int16)
+        where += [(c, h, v, j, i) for j in range(v) for i in range(h)]
+        plan += [tuple(_lookup(tuple(t.items())) for t in pair)] * (h * v)
     step, done = restart or across * down, 0
     for part in scan:
-        bits, last = _Bits(part), dict.fromkeys(tables, 0)
-        for unit in range(done, min(done + step, across * down)):
-            y, x = divmod(unit, across)
-            for c, (dc, ac) in tables.items():
-                h, v = (1, 1) if alone else image.sampling[c]
-                for j in range(v):
-                    for i in range(h):
-                        last[c] = bits.block(image.blocks[c][y * v + j, x * h + i], last[c], dc, ac)
+        last = dict.fromkeys(tables, 0)
+        for unit, values, coefficient, block in _interval(part, min(step, across * down - done), plan):
+            # DC differences add up over the blocks of a component, in the order of the scan.
+            for c in tables:
+                own = (coefficient == 0) & np.isin(block % len(plan), [k for k, w in enumerate(where) if w[0] == c])
+                values[own] = last[c] + np.cumsum(values[own])
+                last[c] = int(values[own][-1])
+            for k, (c, h, v, j, i) in enumerate(where):
+                own = (block % len(plan) == k) & (coefficient < 64) & ((values != 0) | (coefficient == 0))
+                y, x = np.divmod(done + unit + block[own] // len(plan), across)
+                image.blocks[c][y * v + j, x * h + i, coefficient[own]] = values[own]
         done += step
-
-
-class _Bits:
-    """Reads codes and values of one interval."""
-
-    def __init__(self, data: np.ndarray):
-        self.tables: dict[int, dict[tuple[int, int], int]] = {}
-        self.chunk, self.have, self.data, self.at = 0, 0, data.tobytes(), 0
-
-    def take(self, n: int) -> int:
-        while self.have < n:
-            self.chunk = self.chunk << 32 | int.from_bytes(self.data[self.at : self.at + 4].ljust(4, b"\xff"), "big")
-            self.have += 32
-            self.at += 4
-        self.have -= n
-        out = self.chunk >> self.have
-        self.chunk &= (1 << self.have) - 1
-        return out
-
-    def symbol(self, lengths: dict[int, int]) -> int:
-        codes = self.tables.get(id(lengths))
-        if codes is None:
-            codes = self.tables[id(lengths)] = {(n, code): s for s, (code, n) in canonical(lengths).items()}
-        code = n = 0
-        while n < 16:
-            code, n = code << 1 | self.take(1), n + 1
-            if (s := codes.get((n, code))) is not None:
-                return s
-        raise ValueError("no such code")
-
-    def block(self, out: np.ndarray, last: int, dc: dict[int, int], ac: dict[int, int]) -> int:
-        size = self.symbol(dc)
-        out[0] = last = last + extend(self.take(size), size)
-        k = 1
-        while k < 64:
-            run, size = divmod(self.symbol(ac), 16)
-            if not size:
-                if run != 15:
-                    break
-                k += 16
-                continue
-            k += run
-            out[k] = extend(self.take(size), size)
-            k += 1
-        return last
-
-
-@lru_cache(maxsize=16)
-def _values(lengths: tuple[tuple[int, int], ...], total: int) -> np.ndarray:
-    """Value of each string of total bits, 9999 where it is none."""
-    out = np.full(1 << total, 9999, np.int16)
-    for size, (code, n) in canonical(dict(lengths)).items():
-        if n + size == total:
-            out[code << size : (code + 1) << size] = [extend(x, size) for x in range(1 << size)]
-    return out
-
-
-def _even(data: np.ndarray, count: int, dc: dict[int, int], ac: dict[int, int]) -> np.ndarray | None:
-    """Blocks of a scan in which every code with its value is equally wide; None if it isn't one."""
-    wide_dc, wide_ac = ({n + s for s, n in t.items()} for t in (dc, ac))
-    if len(wide_dc) > 1 or len(wide_ac) > 1 or any(s > 15 for s in ac) or max(wide_dc | wide_ac) > 16:
-        return None
-    (d,), (a,) = wide_dc, wide_ac
-    width = d + 63 * a
-    if len(data) != -(-count * width // 8):
-        return None
-    first, rest = _values(tuple(dc.items()), d), _values(tuple((s, n) for s, n in ac.items() if s), a)
-    out = np.empty((count, 64), np.int16)
-    within = np.concatenate(([0], d + a * np.arange(63)))
-    for at in range(0, count, CHUNK):
-        n = min(CHUNK, count - at)
-        start = at * width // 8
-        part = np.concatenate([data[start : start + -(-n * width // 8)], np.zeros(3, np.uint8)]).astype(np.uint32)
-        ahead = part[:-3] << 24 | part[1:-2] << 16 | part[2:-1] << 8 | part[3:]  # the 32 bits from each byte on
-        bit = np.arange(n)[:, None] * width + within
-        window = ahead[bit >> 3] << (bit & 7).astype(np.uint32)
-        out[at : at + n, 0] = first[window[:, 0] >> np.uint32(32 - d)]
-        out[at : at + n, 1:] = rest[window[:, 1:] >> np.uint32(32 - a)]
-    if (out == 9999).any():
-        return None
-    out[:, 0] = np.cumsum(out[:, 0].astype(np.int64))
-    return out

@@ -546,13 +546,67 @@ def test_media_hold_the_payload(spark):
     assert found[3].feature == found[4].feature
 
 
-def test_slow_and_fast_decoding_agree(monkeypatch):
-    data = bytes(random.Random(1).choices(range(256), k=64 * 30))
+class SlowBits:
+    """Codes and values bit by bit."""
+
+    def __init__(self, scan):
+        self.bits, self.at = "".join(f"{b:08b}" for b in scan), 0
+
+    def take(self, n):
+        self.at += n
+        return int(self.bits[self.at - n : self.at] or "0", 2)
+
+    def value(self, lengths):
+        codes = {f"{c:0{n}b}": s for s, (c, n) in jpeg.canonical(lengths).items()}
+        line = ""
+        while line not in codes:
+            line += self.bits[self.at]
+            self.at += 1
+        run, size = divmod(codes[line], 16)
+        bits = self.take(size)
+        return run, size, bits if not size or bits >> (size - 1) else bits - (1 << size) + 1
+
+
+@pytest.mark.parametrize("kind", ["text", "bytes", "one", "zeros"])
+def test_decoding_is_that_of_single_bits(monkeypatch, kind):
+    monkeypatch.setattr(jpeg, "SCAN", 64)
+    monkeypatch.setattr(jpeg, "CHUNK", 5)
+    rng = random.Random(1)
+    data = {"text": "".join(rng.choices("abc d,é\n", k=900)).encode(), "bytes": bytes(rng.choices(range(256), k=64 * 30)), "one": b"a" * 640, "zeros": bytes(64)}[kind]
+    data = op9_media.payload(data)
     media = jpeg.encode(data)
-    fast = jpeg.decode(media)
-    monkeypatch.setattr(jpeg, "_even", lambda *a: None)
-    slow = jpeg.decode(media)
-    assert slow.payload() == fast.payload() == data and (slow.blocks[1] == fast.blocks[1]).all()
+    image = jpeg.decode(media)
+    assert image.payload() == data
+    at, tables = media.index(b"\xff\xc4"), {}
+    body = media[at + 4 : at + 2 + int.from_bytes(media[at + 2 : at + 4], "big")]
+    while body:
+        lengths = [k for k, m in enumerate(body[1:17], 1) for _ in range(m)]
+        tables[body[0] >> 4] = dict(zip(body[17:], lengths))
+        body = body[17 + len(lengths) :]
+    assert not any(c == (1 << n) - 1 for t in tables.values() for c, n in jpeg.canonical(t).values())
+    bits, last = SlowBits(media[media.index(b"\xff\xda") + 10 : -2].replace(b"\xff\x00", b"\xff")), 0
+    for block in image.blocks[1].reshape(-1, 64):
+        last += bits.value(tables[0])[2]
+        want = [last] + [bits.value(tables[1])[2] for _ in range(63)]
+        assert block.tolist() == want
+
+
+def test_codes_are_the_best_ones():
+    rng = random.Random(2)
+    for _ in range(50):
+        counts = {s: rng.randint(1, 200) for s in range(rng.randint(1, 9))}
+        lengths = jpeg.best_lengths(counts)
+        codes = [f"{c:0{n}b}" for c, n in jpeg.canonical(lengths).values()]
+        assert not any(a != b and b.startswith(a) for a in codes for b in codes) and all("0" in c for c in codes)
+        entropy = -sum(n * math.log2(n / sum(counts.values())) for n in counts.values())
+        assert entropy <= sum(counts[s] * lengths[s] for s in counts) <= entropy + sum(counts.values()) + 1
+
+
+def test_broken_scans_are_refused():
+    media = jpeg.encode(bytes(range(256)) * 4)
+    for broken in (media[:-60] + b"\xff\xd9", media[:-2].replace(media[-40:-2], b"\xfe" * 38) + b"\xff\xd9"):
+        with pytest.raises(ValueError):
+            jpeg.decode(broken)
 
 
 def test_an_ordinary_file_with_runs_subsampling_and_restarts():

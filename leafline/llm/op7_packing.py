@@ -1,10 +1,12 @@
 """Packing documents into sequences of bounded length by swap-based local search.
 
 Each text is encoded and closed by an end id; one longer than a sequence is cut into full pieces, the
-first of which may be shorter. Pieces are dealt at random to groups of bounded size. In a group, a
-best-fit pass in falling order of length places the pieces; then underfull bins are taken from the
-emptiest up, and documents move out of them, or change places one for one or two for one with a
-shorter document of a fuller bin, wherever that raises the sum of squared fills, until bins empty.
+first of which may be shorter. Pieces are dealt at random to groups of bounded size. A group starts with
+pieces of over half a sequence, then the others as they were dealt, each in the bin with least room that takes
+it. Then the search takes underfull bins from the emptiest up: documents move out of one, or change places one for
+one, two for one or one for two with documents of another that are shorter together, always the exchange
+that takes most out. Each raises the sum of squared fills, so the search ends: when a round over all underfull
+bins finds no exchange, or the lower bound is met.
 
 Null texts are empty and still give a piece of one id. Repeated rows are packed as often as they come.
 """
@@ -12,7 +14,6 @@ Null texts are empty and still give a piece of one id. Repeated rows are packed
 from __future__ import annotations
 
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,65 +21,53 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafline.llm.common import arrow_batch, materialize, read, text_or_empty
+from leafline.llm.words import encoder
 
 SIZE = 1024
 #: Pieces that one task packs together.
 GROUP = 8192
 END_ID = 2
-#: Longer texts go to the reference encoder, whose matcher needs no stack.
-LONG_TEXT = 200_000
+PIECE = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64()}
+#: Texts and characters that are encoded together, or a single text where that is longer.
+TEXTS, CHARACTERS = 512, 1 << 22
 
 
-@lru_cache(maxsize=2)
-def _encoders(path: str):
-    """The tokenizer file, and a faster encoder made from its vocabulary and merges, which gives the same ids.
+def token_ids(texts: list[str], path: str) -> list[np.ndarray]:
+    """The ids of each text without added special tokens; a special string in a text is its own id."""
+    return [np.frombuffer(ids, "<u4") for ids in encoder(path)(texts)]
 
-    The byte-level tokenizer file lists a token's characters as stand-ins for bytes; ranks for the fast
-    encoder are the same tokens as bytes with the same ids.
-    """
-    import json
 
-    import public_tokenizers
-    import tiktoken
-    from tokenizers import Tokenizer
-
-    slow = Tokenizer.from_file(path)
-    with open(path, encoding="utf-8") as f:
-        model = json.load(f)
-    special = {t["content"]: t["id"] for t in model["added_tokens"]}
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    stand_in = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
-    ranks = {bytes(stand_in[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in special}
-    return slow, tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
-
-
-def token_ids(text: str, path: str) -> np.ndarray:
-    """The ids of the text without added special tokens; a special string in the text is its own id."""
-    slow, fast = _encoders(path)
-    if len(text) > LONG_TEXT:
-        return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
-    return fast.encode_to_numpy(text, allowed_special="all")
+def _portions(texts: list[str]):
+    """Bounds of runs of texts."""
+    first = held = 0
+    for k, text in enumerate(texts):
+        if k > first and (k - first == TEXTS or held + len(text) > CHARACTERS):
+            yield first, k
+            first, held = k, 0
+        held += len(text)
+    if texts:
+        yield first, len(texts)
 
 
 def pieces(docs: DataFrame, tokenizer: str, size: int = SIZE) -> DataFrame:
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
+            ids_of, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            for a, b in _portions(texts):
                 out = []
-                for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    ids = np.append(token_ids(text, tokenizer), END_ID).astype("<u4")
+                for doc_id, ids in zip(ids_of[a:b], token_ids(texts[a:b], tokenizer), strict=True):
+                    ids = np.append(ids, END_ID).astype("<u4")
                     first = len(ids) % size or size
                     bounds = [0, *range(first, len(ids), size), len(ids)]
-                    out += [(doc_id, k, a, b - a, zlib.crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(zip(bounds, bounds[1:]))]
-                columns = list(zip(*out)) or [[]] * 5
-                yield arrow_batch({n: (list(v), t) for (n, t), v in zip({"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64()}.items(), columns, strict=True)})
+                    out += [(doc_id, k, x, y - x, zlib.crc32(ids[x:y].tobytes())) for k, (x, y) in enumerate(zip(bounds, bounds[1:]))]
+                yield arrow_batch({n: (list(v), t) for (n, t), v in zip(PIECE.items(), zip(*out), strict=True)})
 
     return text_or_empty(docs).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def _best_fit(order: list[int], lengths: list[int], size: int) -> list[list[int]]:
-    """Bins of item numbers. Open bins are listed by room, and a bit string tells which rooms have any."""
+def start_bins(order: list[int], lengths: list[int], size: int) -> list[list[int]]:
+    """Bins of item numbers, each item in turn put into the bin with least room that takes it. Open bins are
+    listed by room, and a bit string tells which rooms have any."""
     bins: list[list[int]] = []
     by_room: list[list[int]] = [[] for _ in range(size + 1)]
     some = 0
@@ -99,79 +88,126 @@ def _best_fit(order: list[int], lengths: list[int], size: int) -> list[list[int]
     return bins
 
 
-def _exchange(bins: list[list[int]], lengths: list[int], size: int) -> list[list[int]]:
-    """Moves and swaps out of the emptiest bins while the sum of squared fills rises; empty bins go."""
-    fill = np.array([sum(lengths[x] for x in b) for b in bins], np.int64)
-    at = {x: b for b, xs in enumerate(bins) for x in xs if fill[b] < size}
-    items = np.array(sorted(at), np.int64)
-    length, home = np.array(lengths, np.int64)[items], np.array([at[x] for x in items.tolist()], np.int64)
-    least = -(-int(fill.sum()) // size)
-    index = {x: k for k, x in enumerate(items.tolist())}
-
-    def put(x: int, b: int) -> None:
-        k = index[x]
-        bins[home[k]].remove(x)
-        fill[home[k]] -= lengths[x]
-        home[k] = b
-        bins[b].append(x)
-        fill[b] += lengths[x]
-
-    def improve(b: int) -> bool:
-        """One exchange that takes most out of bin b for a bin at least as full."""
-        own = bins[b]
-        groups = [(x,) for x in own] + [(x, y) for i, x in enumerate(own) for y in own[i + 1 :]]
-        room = size - fill
-        room[(fill < fill[b]) | (fill == size) | (fill == 0)] = -1
-        room[b] = -1
-        best, deed = 0, None
-        for group in groups:
-            n = sum(lengths[x] for x in group)
-            if n > best and len(group) == 1 and n <= room.max():
-                fits = np.where(room >= n, room, size + 1)
-                best, deed = n, (group, None, int(fits.argmin()))
-            if n <= best:
-                continue
-            gain = n - length
-            gain[(gain > room[home]) | (gain <= best)] = 0
-            k = int(gain.argmax()) if len(gain) else 0
-            if len(gain) and gain[k] > best:
-                best, deed = int(gain[k]), (group, int(items[k]), int(home[k]))
-        if deed is None:
-            return False
-        group, back, to = deed
-        if back is not None:
-            put(back, b)
-        for x in group:
-            put(x, to)
+class Search:
+    """Moves and swaps between underfull bins. Bins that are full stay as they are."""
+
+    def __init__(self, bins: list[list[int]], lengths: list[int], size: int):
+        self.bins, self.size = bins, size
+        self.fill = np.array([sum(lengths[x] for x in b) for b in bins], np.int64)
+        open_ = np.flatnonzero(self.fill < size)
+        items = [x for b in open_ for x in bins[b]]
+        self.at = {x: k for k, x in enumerate(items)}
+        # One entry for each item of an underfull bin, and one of length zero for each such bin: to swap
+        # with that is to move.
+        self.item = np.array(items + [-1] * len(open_), np.int64)
+        self.length = np.array([lengths[x] for x in items] + [0] * len(open_), np.int64)
+        self.home = np.array([b for b in open_ for _ in bins[b]] + open_.tolist(), np.int64)
+        self.least = -(-int(self.fill.sum()) // size)
+        self.full = len(bins) - len(open_)
+
+    def count(self) -> int:
+        return int((self.fill > 0).sum())
+
+    def put(self, x: int, b: int) -> None:
+        k = self.at[x]
+        self.bins[self.home[k]].remove(x)
+        self.fill[self.home[k]] -= self.length[k]
+        self.home[k] = b
+        self.bins[b].append(x)
+        self.fill[b] += self.length[k]
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of two items of one bin, for all such pairs."""
+        order = np.argsort(self.home[: len(self.at)], kind="stable")
+        home, one, two = self.home[order], [], []
+        for apart in range(1, len(order)):
+            near = np.flatnonzero(home[apart:] == home[:-apart])
+            if not len(near):
+                break
+            one.append(order[near])
+            two.append(order[near + apart])
+        return (np.concatenate(one), np.concatenate(two)) if one else (np.zeros(0, np.int64),) * 2
+
+    def improve(self, b: int) -> bool:
+        """The exchange that takes most out of bin b for a bin at least as full: a group of one or two goes where it
+        then fits, and what comes back is nothing or one, or two for one where there is no such exchange."""
+        own = self.bins[b]
+        at = np.array([self.at[x] for x in own])
+        one, two = np.triu_indices(len(own), 1)
+        groups = np.concatenate([self.length[at], self.length[at[one]] + self.length[at[two]]])
+        if found := self.best(b, groups, self.length, self.home):
+            g, entry = found
+            back = [entry] if entry < len(self.at) else []
+        else:
+            first, second = self.pairs()
+            if not (found := self.best(b, groups[: len(own)], self.length[first] + self.length[second], self.home[first])):
+                return False
+            g, entry = found
+            back = [first[entry], second[entry]]
+        to = int(self.home[back[0]] if back else self.home[entry])
+        for k in back:
+            self.put(int(self.item[k]), b)
+        for k in at[[g]] if g < len(at) else at[[one[g - len(at)], two[g - len(at)]]]:
+            self.put(int(self.item[k]), to)
         return True
 
-    stuck = 0
-    for b in np.argsort(fill, kind="stable").tolist():
-        if int((fill > 0).sum()) <= least or fill[b] == size or stuck >= PATIENCE:
-            break
-        while bins[b] and improve(b):
-            pass
-        stuck = stuck + 1 if bins[b] else 0
-    return [b for b in bins if b]
-
-
-#: Bins in a row that can't be emptied before the search of a group ends.
-PATIENCE = 64
+    def best(self, b: int, groups: np.ndarray, length: np.ndarray, home: np.ndarray) -> tuple[int, int] | None:
+        """(group, entry) of the exchange of one of groups, given by their lengths, for an entry of another bin
+        that takes most out of b."""
+        fill = self.fill[home]
+        most = np.minimum(length + self.size - fill, self.size)  # length of a group that this entry can be changed for
+        able = np.flatnonzero((home != b) & (fill >= self.fill[b]) & (most > length))
+        if not len(able) or not len(groups):
+            return self.overtaking(b, groups, length, home)
+        # By length of a group: least (length back, length that fits, entry) among those that take it.
+        key = (length[able] * (self.size + 1) + most[able]) * len(length) + able
+        least = np.full(self.size + 2, np.iinfo(np.int64).max)
+        np.minimum.at(least, most[able], key)
+        least = np.minimum.accumulate(least[::-1])[::-1]
+        back = least[np.minimum(groups, self.size + 1)]
+        gain = np.where(back < np.iinfo(np.int64).max, groups - back // len(length) // (self.size + 1), 0)
+        g = int(gain.argmax())
+        return (g, int(back[g] % len(length))) if gain[g] > 0 else self.overtaking(b, groups, length, home)
+
+    def overtaking(self, b: int, groups: np.ndarray, length: np.ndarray, home: np.ndarray) -> tuple[int, int] | None:
+        """As best(), for bins less full than b that become fuller than b was."""
+        fill = self.fill[home]
+        able = np.flatnonzero((home != b) & (fill > 0) & (fill < self.fill[b]))
+        if not len(able) or not len(groups):
+            return None
+        gain = groups[:, None] - length[able]
+        gain[(gain > self.size - fill[able]) | (gain <= self.fill[b] - fill[able])] = 0
+        g, k = divmod(int(gain.argmax()), len(able))
+        return (g, int(able[k])) if gain[g, k] > 0 else None
+
+    def run(self) -> list[list[int]]:
+        """Rounds over all underfull bins until one finds no exchange, or the bins are as few as can be."""
+        found = True
+        while found and self.count() > self.least:
+            found = False
+            for b in np.argsort(self.fill, kind="stable").tolist():
+                if 0 < self.fill[b] < self.size:
+                    while self.bins[b] and self.improve(b):
+                        found = True
+                    if not self.bins[b] and self.count() <= self.least:
+                        break
+        return [b for b in self.bins if b]
 
 
 def pack_lengths(lengths: list[int], size: int = SIZE) -> list[list[int]]:
-    """Item numbers by bin, for lengths of 1 to size."""
-    order = sorted(range(len(lengths)), key=lambda x: -lengths[x])
-    return _exchange(_best_fit(order, lengths, size), lengths, size)
+    """Item numbers by bin, for lengths of 1 to size in the order in which they were dealt."""
+    order = sorted(range(len(lengths)), key=lambda x: 2 * lengths[x] <= size)
+    return Search(start_bins(order, lengths, size), lengths, size).run()
 
 
 def pack(cut: DataFrame, size: int = SIZE, group: int = GROUP) -> DataFrame:
     """Adds sequence_id and offset to pieces. cut: a written table, so that the dealing repeats on a retry."""
     groups = max(1, -(-cut.count() // group))
-    dealt = cut.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(groups)))
+    dealt = cut.withColumn("_dealt", F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id())).withColumn("_group", F.pmod("_dealt", F.lit(groups)))
 
     def run(key, pdf):
-        pdf = pdf.sort_values(["length", "doc_id", "piece"], kind="stable", ignore_index=True)
+        # One order whatever the shuffle's, so that a task that is run again packs alike.
+        pdf = pdf.sort_values(["_dealt", "doc_id", "piece", "ids_crc32"], kind="stable", ignore_index=True)
         lengths = pdf["length"].tolist()
         sequence, offset = np.zeros(len(pdf), np.int64), np.zeros(len(pdf), np.int64)
         for number, members in enumerate(pack_lengths(lengths, size)):

@@ -5,9 +5,11 @@ rewritten. A text's content digest is SHA-256 of its normalised content (null be
 string; nothing else is changed, since any other normalisation could change the count). The tokenizer
 digest covers the model file and the encoding options, so that another version never meets old counts.
 
-Digests go first: each distinct text is kept once per task before anything is shuffled, those that the
-cache has are dropped by an anti join, and only the rest are encoded. A count is looked up for every
-row by a join on the digest; rows repeated or null in any other column get their own result row.
+Digests go first: those of all rows are written as a slim table, those that the cache lacks are found by an
+anti join of digests alone, and no text moves before that. Where the misses are few enough to go to every
+task (BROADCAST), only their texts are shuffled; else texts are deduplicated in each task and shuffled
+once. Each distinct miss is encoded once and appended. A count is looked up for every row by a join on the
+digest; rows repeated or null in any other column get their own result row.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from pyspark.sql import functions as F
 from leafline.llm.common import materialize, new_path, read, text_or_empty
 
 CACHE = "tokenizer_digest string, content_digest binary, n_tokens long"
+#: Misses, of 32 bytes each, up to which they are sent to every task.
+BROADCAST = 1 << 20
 #: What the counts depend on besides the model file.
 OPTIONS = "no begin, end or added tokens; no truncation"
 
@@ -67,6 +71,19 @@ def encode_misses(texts: DataFrame, path: str, version: str) -> DataFrame:
     return texts.mapInArrow(run, CACHE)
 
 
+def missing(keys: DataFrame, known: DataFrame) -> DataFrame:
+    """content_digest of each distinct text that has no count yet."""
+    return keys.select("content_digest").distinct().join(known.select("content_digest"), "content_digest", "left_anti")
+
+
+def texts_of(digested: DataFrame, misses: DataFrame, count: int) -> DataFrame:
+    """content_digest and text of each of count misses, once."""
+    once = lambda df: df.groupBy("content_digest").agg(F.first("text").alias("text"))
+    if count <= BROADCAST:
+        return once(digested.select("content_digest", "text").join(F.broadcast(misses), "content_digest", "left_semi"))
+    return once(digested).join(misses, "content_digest", "left_semi")
+
+
 def token_counts(docs: DataFrame, tokenizer: str, cache: str, limit: int = 4096) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every row of docs(doc_id, text).
 
@@ -76,13 +93,13 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str, limit: int = 4096)
     spark, version = docs.sparkSession, tokenizer_digest(tokenizer)
     digested = text_or_empty(docs).withColumn("content_digest", F.unhex(F.sha2("text", 256)))
     keys = materialize(digested.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "content_digest"), "token-keys")
-    known = read_cache(spark, cache).where(F.col("tokenizer_digest") == version).select("content_digest", "n_tokens")
-    once = digested.groupBy("content_digest").agg(F.first("text").alias("text"))
-    misses = once.join(known.select("content_digest"), "content_digest", "left_anti")
-    encode_misses(misses, tokenizer, version).write.mode("append").parquet(cache)
-    counts = read_cache(spark, cache).where(F.col("tokenizer_digest") == version).groupBy("content_digest").agg(F.max("n_tokens").alias("n_tokens"))
+    known = lambda: read_cache(spark, cache).where(F.col("tokenizer_digest") == version)
+    misses = materialize(missing(keys, known()), "token-misses")
+    if count := misses.count():
+        encode_misses(texts_of(digested, misses, count), tokenizer, version).write.mode("append").parquet(cache)
+    counts = known().groupBy("content_digest").agg(F.max("n_tokens").alias("n_tokens"))
     # Written, so that the join reads both sides plainly and a digest of very many rows can be split.
-    counts = materialize(counts, "token-counts")
+    counts = materialize(counts.join(keys.select("content_digest").distinct(), "content_digest", "left_semi"), "token-counts")
     return keys.join(counts, "content_digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 

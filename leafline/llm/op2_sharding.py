@@ -22,19 +22,21 @@ from leafline.llm.common import materialize, read
 
 KEY_BITS, ROW_BITS = 40, 20
 BITS = KEY_BITS + ROW_BITS
-#: Bytes of text that a shard holds at most.
-LIMIT = 64 << 20
+#: Bytes of text that a shard holds at most: what a loader takes at a time.
+LIMIT = 1 << 20
 #: Bits beyond those that equal shards would need, before the next round.
 SLACK = 5
 
 
-def hashed(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """doc_id, n_bytes and h of every row, written once so that all rounds see the same row bits."""
+def hashed(docs: DataFrame, key: str = "doc_id", whole: bool = False) -> DataFrame:
+    """doc_id, n_bytes and h of every row, and with whole the row itself as a struct, where no column of docs can
+    clash with another; written once so that all rounds see the same row bits."""
     bits = lambda hex_, n: F.conv(F.substring(hex_, 1, n // 4), 16, 10).cast("bigint")
     named = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("null")))
     row = F.md5(F.monotonically_increasing_id().cast("string"))
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), (F.shiftleft(bits(named, KEY_BITS), ROW_BITS) + bits(row, ROW_BITS)).alias("h"))
-    return materialize(slim, "shard-hashes")
+    slim = [F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), (F.shiftleft(bits(named, KEY_BITS), ROW_BITS) + bits(row, ROW_BITS)).alias("h")]
+    carried = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if whole else []
+    return materialize(docs.select(*slim, *carried), "shard-hashes")
 
 
 def prefix(depth: int):
@@ -42,8 +44,9 @@ def prefix(depth: int):
 
 
 def assign(slim: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """doc_id, n_bytes, shard (its bits), local_depth and oversized for the rows of hashed()."""
+    """doc_id, n_bytes, shard (its bits), local_depth and oversized, and row where it is there, for the rows of hashed()."""
     done, left, base = [], slim, 0
+    kept = ["doc_id", "n_bytes", *(c for c in slim.columns if c == "row")]
     while True:
         # Two numbers for the driver: they set how deep this round looks.
         total, largest = left.agg(F.sum("n_bytes"), F.count("*")).first()
@@ -59,11 +62,11 @@ def assign(slim: DataFrame, limit: int = LIMIT) -> DataFrame:
         with_slot = left.withColumn("slot", prefix(depth))
         found = with_slot.join(directory, "slot")
         shard = F.lpad(F.bin(F.col("s.p")), F.col("s.depth"), F.lit("0"))
-        done.append(found.select("doc_id", "n_bytes", F.when(F.col("s.depth") == 0, "").otherwise(shard).alias("shard"), F.col("s.depth").cast("int").alias("local_depth"), (F.col("s.n") > limit).alias("oversized")))
+        done.append(found.select(*kept, F.when(F.col("s.depth") == 0, "").otherwise(shard).alias("shard"), F.col("s.depth").cast("int").alias("local_depth"), (F.col("s.n") > limit).alias("oversized")))
         if depth == BITS:
             break
         left, base = materialize(with_slot.join(directory, "slot", "left_anti").drop("slot"), "shard-rest"), depth
-    out = done[0] if done else slim.select("doc_id", "n_bytes", F.lit("").alias("shard"), F.lit(0).alias("local_depth"), F.lit(False).alias("oversized"))
+    out = done[0] if done else slim.select(*kept, F.lit("").alias("shard"), F.lit(0).alias("local_depth"), F.lit(False).alias("oversized"))
     for more in done[1:]:
         out = out.unionByName(more)
     return out
@@ -73,10 +76,15 @@ def shard(docs: DataFrame, limit: int = LIMIT, key: str = "doc_id") -> DataFrame
     return assign(hashed(docs, key), limit)
 
 
-def write_shards(docs: DataFrame, path: str, limit: int = LIMIT) -> None:
-    """Writes docs, one folder to a shard. doc_id must be unique here, since rows are found again by it."""
-    where = shard(docs, limit).select("doc_id", "shard").withColumnRenamed("doc_id", "_doc_id")
-    docs.join(where, docs["doc_id"].eqNullSafe(where["_doc_id"])).drop("_doc_id").write.partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, path: str, limit: int = LIMIT, key: str = "doc_id", folder: str = "shard") -> None:
+    """Writes the rows of docs, a folder and a file to a shard: s and the shard's bits. Rows carry their shard
+    with them, so repeated or null keys write each row once. Where docs has a column of the folder's name,
+    the folder's gets a leading underscore."""
+    while folder.lower() in (c.lower() for c in docs.columns):
+        folder = f"_{folder}"
+    placed = assign(hashed(docs, key, whole=True), limit).select(F.concat(F.lit("s"), "shard").alias("to"), "row")
+    placed = placed.repartition("to").select(F.col("to").alias(folder), "row.*")
+    placed.write.partitionBy(folder).parquet(path)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,8 +5,8 @@ spans; repeated rows and nulls in other columns change nothing. The patterns are
 match is found in time linear in the text and without recursion, whatever the text holds: quantifiers
 are possessive, and a look-behind or the end of the last match stands where a run may begin.
 
-Base kinds are email, ip, card (Luhn) and phone; the method adds iban (mod 97) and ssn, which counts
-only with a context word nearby. Each span has a score from 0 to 1: what its kind is worth by itself,
+Base kinds are email, ip, card (Luhn) and phone; the method adds iban (mod 97), ssn, and secret (a long string of
+letters and digits that passes a test of its variety); the last two count only with a context word nearby. Each span has a score from 0 to 1: what its kind is worth by itself,
 more for a checksum, more or less for context words within 40 code points before it or 20 behind.
 """
 
@@ -57,6 +57,7 @@ KINDS = (
     Kind("card", r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){11,18}+(?![\x20-]?[0-9])", "", "card|visa|credit|debit|payment", 0.7),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", "phone|tel|call|mobile|fax", 0.6),
     Kind("iban", _iban(), "", "iban|bank|account|konto", 0.8, base=False),
+    Kind("secret", r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}+", "", "token|secret|passw|pwd|credential|bearer|api.?key|access.?key|private.?key|auth", 0.6, base=False, needs_context=True),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-", "ssn|social", 0.4, base=False, needs_context=True),
 )
 BASE = tuple(k for k in KINDS if k.base)
@@ -84,6 +85,11 @@ def mod97(account: Column) -> Column:
     return F.aggregate(F.split(turned, ""), F.lit(0), step) == 1
 
 
+def varied(match: Column) -> Column:
+    """True where letters, digits and eight different signs are in the string: words and rulers are not secrets."""
+    return F.regexp_like(match, F.lit("[0-9]")) & F.regexp_like(match, F.lit("[A-Za-z]")) & (F.size(F.array_distinct(F.split(match, ""))) >= 8)
+
+
 def confirmed(kind: str, match: Column) -> Column:
     if kind == "ip":
         small = lambda part: (F.length(F.ltrim(part, F.lit("0"))) <= 3) & (F.coalesce(F.ltrim(part, F.lit("0")).try_cast("int"), F.lit(0)) <= 255)
@@ -94,6 +100,8 @@ def confirmed(kind: str, match: Column) -> Column:
         return F.length(_digits(match)).between(9, 15)
     if kind == "iban":
         return mod97(match)
+    if kind == "secret":
+        return varied(match)
     return F.lit(True)
 
 
@@ -158,7 +166,7 @@ def report(found: DataFrame) -> DataFrame:
     count = lambda name: F.size(F.filter("found", lambda s: s["kind"] == name)).cast("long")
     return found.select(
         "doc_id",
-        *[count(k.name).alias(f"n_{k.name}") for k in BASE],
+        *[count(k.name).alias(f"n_{k.name}") for k in KINDS],
         F.sha2(line(F.filter("found", lambda s: s["rank"] < len(BASE))), 256).alias("base_sha256"),
         line(F.col("found")).alias("spans"),
         F.array_join(F.transform("found", lambda s: F.format_number(s["score"], 2)), ",").alias("scores"),
@@ -166,7 +174,7 @@ def report(found: DataFrame) -> DataFrame:
 
 
 #: Order in which redact() replaces kinds: a phone number may hold what looks like a card, never the reverse.
-REDACTED = ("email", "phone", "ip", "card", "iban", "ssn")
+REDACTED = ("email", "phone", "ip", "card", "iban", "secret", "ssn")
 
 
 def _replaced(kind: Kind):
@@ -181,20 +189,28 @@ def _replaced(kind: Kind):
     return one
 
 
+def _fenced(text: Column) -> Column:
+    """text, marked as not to be put into what reads it: each kind reads the text of the last one several times,
+    and a filter pushed below would repeat the whole chain at each of these."""
+    return F.when(F.monotonically_increasing_id() >= 0, text)
+
+
 def redact(docs: DataFrame) -> DataFrame:
     """docs with every confirmed span replaced by the name of its kind, and n_chars counted anew.
 
     Kinds are replaced one after another, each found in what the ones before have left.
     """
     kinds = {k.name: k for k in KINDS}
-    changed = docs.withColumn("_text", F.col("text"))
+    others = [c for c in docs.columns if c not in ("text", "n_chars")]
+    # In one struct, so that no column of docs clashes with those of this function.
+    changed = docs.select(F.struct(F.lit(0).alias("text"), *[F.col(f"`{c}`") for c in others]).alias("row"), F.col("text").alias("_text"))
     for name in REDACTED:
         kind = kinds[name]
         changed = _with_matches(changed, kind, "_text").withColumn("_after", F.slice("_between", 2, F.greatest(F.size("_between"), F.lit(1))))
 
         text = F.array_join(F.transform(F.arrays_zip("_between", "_match", "_after"), _replaced(kind)), "")
-        changed = changed.withColumn("_text", F.when(F.size("_match") > 0, text).otherwise(F.col("_text"))).drop("_match", "_between", "_after")
-    out = [F.col("_text").alias(c) if c == "text" else F.length("_text").cast(t).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c, t in docs.dtypes]
+        changed = changed.withColumn("_text", _fenced(F.when(F.size("_match") > 0, text).otherwise(F.col("_text")))).drop("_match", "_between", "_after")
+    out = [F.col("_text").alias(c) if c == "text" else F.length("_text").cast(t).alias(c) if c == "n_chars" else F.col(f"row.`{c}`") for c, t in docs.dtypes]
     return changed.select(*out)
 
 

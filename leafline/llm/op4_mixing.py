@@ -11,6 +11,8 @@ The residual is measured in the metric of the inverse Gram matrix of the posteri
 has Lipschitz constant one: with no rate at zero a single step arrives, and each further one mends what
 the projection has cut. If targets can't be met exactly the least-squares fit is given.
 
+Tokens are those of a byte-level tokenizer, the one that packing uses, without an end id.
+
 Null texts are empty, have no tokens and the classifier's prior as posterior. Repeated rows count as often
 as they come. Without labelled documents, or with one domain only, all rates are one.
 """
@@ -21,11 +23,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafline.llm import features
 from leafline.llm.common import arrow_batch, materialize, read, text_or_empty
+from leafline.llm.op7_packing import token_ids
 from leafline.llm.optimise import minimise
 
 #: Shares of tokens that the mixture should have.
@@ -33,6 +37,8 @@ TARGETS = {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}
 #: Labelled rows that the classifier is fitted on, at most.
 SAMPLE = 4000
 RIDGE, SCALE = 1e-5, 30.0
+#: Texts of a batch that are encoded together, and bytes of text that a mixed batch holds, or one row.
+TEXTS, BATCH_BYTES = 512, 1 << 24
 #: Passes at most, and the relative residual at which the search ends.
 PASSES, CLOSE = 40, 1e-6
 
@@ -54,8 +60,8 @@ class Mixture:
         return r
 
 
-def posteriors(texts: pa.Array, weights: np.ndarray, biases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(tokens, posterior by domain) of each text."""
+def posteriors(texts: pa.Array, weights: np.ndarray, biases: np.ndarray) -> np.ndarray:
+    """Posterior by domain of each text."""
     tokens = np.zeros(len(texts), np.int64)
     total = np.zeros((len(texts), weights.shape[1]))
     for text, hashed, *_ in features.token_features(texts, stems=False):
@@ -64,7 +70,7 @@ def posteriors(texts: pa.Array, weights: np.ndarray, biases: np.ndarray) -> tupl
             total[:, c] += np.bincount(text, weights[hashed, c], len(texts))
     logits = total / (tokens + features.DAMP)[:, None] + biases
     p = np.exp(logits - logits.max(axis=1, keepdims=True))
-    return tokens, p / p.sum(axis=1, keepdims=True)
+    return p / p.sum(axis=1, keepdims=True)
 
 
 def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -130,13 +136,15 @@ def softmax_fit(domain: np.ndarray, count: int, rows: np.ndarray, numbers: np.nd
     return out, w[-1]
 
 
-def memberships(docs: DataFrame, weights: np.ndarray, biases: np.ndarray) -> DataFrame:
+def memberships(docs: DataFrame, weights: np.ndarray, biases: np.ndarray, tokenizer: str) -> DataFrame:
     """doc_id, n_tokens, p0, p1, ... of every row."""
     names = [f"p{k}" for k in range(len(biases))]
 
     def run(batches):
         for batch in batches:
-            n, p = posteriors(batch.column("text"), weights, biases)
+            p, n = posteriors(batch.column("text"), weights, biases), []
+            for at in range(0, batch.num_rows, TEXTS):
+                n += [len(ids) for ids in token_ids(batch.column("text").slice(at, TEXTS).to_pylist(), tokenizer)]
             yield arrow_batch({"doc_id": (batch.column("doc_id"), pa.int64()), "n_tokens": (n, pa.int64())} | {c: (p[:, k], pa.float64()) for k, c in enumerate(names)})
 
     return text_or_empty(docs).mapInArrow(run, f"doc_id long, n_tokens long, {', '.join(f'{c} double' for c in names)}")
@@ -155,9 +163,24 @@ def solve(member: DataFrame, shares: np.ndarray, total: float | None = None) ->
     A pass brings a number for each domain to the driver, the first one for each pair of domains.
     """
     k = len(shares)
-    part = [F.col("n_tokens") * F.col(f"p{i}") for i in range(k)]
-    sums = lambda columns: np.array([float(x or 0) for x in member.agg(*[F.sum(c).alias(f"s{i}") for i, c in enumerate(columns)]).first()])
-    first = sums([*part, *[part[i] * F.col(f"p{j}") for i in range(k) for j in range(k)]])
+
+    def summed(start: float, steps: tuple, squares: bool = False) -> np.ndarray:
+        mixture, width = Mixture(("",) * k, np.zeros((1, k)), np.zeros(k), start, steps), k + k * k * squares
+
+        def run(batches):
+            total = np.zeros(width)
+            for batch in batches:
+                n = batch.column("n_tokens").to_numpy(zero_copy_only=False)
+                p = np.stack([batch.column(f"p{i}").to_numpy(zero_copy_only=False) for i in range(k)], axis=1)
+                weighed = p * (n * mixture.rates(p))[:, None]
+                total += np.concatenate([weighed.sum(axis=0), (weighed.T @ p).ravel()])[:width]
+            yield arrow_batch({f"s{i}": ([x], pa.float64()) for i, x in enumerate(total.tolist())})
+
+        names = [f"s{i}" for i in range(width)]
+        row = member.mapInArrow(run, ", ".join(f"{c} double" for c in names)).agg(*[F.sum(c).alias(c) for c in names]).first()
+        return np.array([float(x or 0) for x in row])
+
+    first = summed(1.0, (), squares=True)
     natural, gram = first[:k], first[k:].reshape(k, k)
     if natural.sum() <= 0:
         return 1.0, ()
@@ -171,18 +194,18 @@ def solve(member: DataFrame, shares: np.ndarray, total: float | None = None) ->
         if np.abs(off).max() <= CLOSE * total:
             break
         steps = (*steps, tuple((inverse @ off).tolist()))
-        before, now = off, sums([p * rate(start, steps) for p in part])
+        before, now = off, summed(start, steps)
         if np.abs(now - goal - before).max() <= 1e-9 * total:
             break
     return start, steps
 
 
-def fit(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, total: float | None = None, sample: int = SAMPLE) -> tuple[Mixture, DataFrame]:
+def fit(docs: DataFrame, labelled: DataFrame, tokenizer: str, targets: dict[str, float] | None = None, total: float | None = None, sample: int = SAMPLE) -> tuple[Mixture, DataFrame]:
     """The mixture and the written memberships that it was fitted on. Targets of domains without labelled
     documents are left out and the others scaled to one."""
     targets = targets or TARGETS
     domains, weights, biases = classify(docs, labelled, targets, sample)
-    member = materialize(memberships(docs, weights, biases), "mixing-memberships")
+    member = materialize(memberships(docs, weights, biases, tokenizer), "mixing-memberships")
     if len(domains) < 2:
         return Mixture(domains or ("",), weights, biases, 1.0, ()), member
     shares = np.array([targets[d] for d in domains], float)
@@ -190,25 +213,50 @@ def fit(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None =
     return Mixture(domains, weights, biases, start, steps), member
 
 
+def taken(copies: np.ndarray, size: np.ndarray, limit: int = BATCH_BYTES):
+    """Row numbers, each as often as copies says, in runs of limit bytes, or one row where that has more."""
+    held: list[np.ndarray] = []
+    room = limit
+    for row in np.flatnonzero(copies).tolist():
+        left, each = int(copies[row]), int(size[row]) + 64
+        while left:
+            n = min(left, max(room // each, 0 if held else 1))
+            if n:
+                held.append(np.full(n, row))
+                left, room = left - n, room - n * each
+            if left or room <= 0:
+                yield np.concatenate(held)
+                held, room = [], limit
+    if held:
+        yield np.concatenate(held)
+
+
 def mix(docs: DataFrame, mixture: Mixture, seed: int = 7, least: int = 0) -> DataFrame:
     """docs with each row as often as its rate says, and least times at least: the whole part, and once more
     with the rest as probability, drawn from the hash of doc_id, so that a lost task draws the same again.
-    No shuffle."""
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 30)) / float(1 << 30)
-    drawn = docs.withColumn("_draw", draw)
+    No shuffle, and no batch holds more than BATCH_BYTES of copies, however high a rate is."""
+    # The last column, whatever the others are called.
+    drawn = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    drawn = drawn.withColumn("draw", F.pmod(F.xxhash64(F.lit(seed), F.col(f"c{docs.columns.index('doc_id')}")), F.lit(1 << 30)) / float(1 << 30))
+    text = docs.columns.index("text")
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).fill_null("")
-            r = mixture.rates(posteriors(texts, mixture.weights, mixture.biases)[1])
+            texts = batch.column(text).fill_null("")
+            r = mixture.rates(posteriors(texts, mixture.weights, mixture.biases))
             copies = np.floor(r + batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)).astype(np.int64).clip(least)
-            yield batch.select(range(batch.num_columns - 1)).take(pa.array(np.repeat(np.arange(batch.num_rows), copies)))
+            own = batch.select(range(batch.num_columns - 1)).rename_columns(docs_columns)
+            for rows in taken(copies, pc.binary_length(texts).to_numpy(zero_copy_only=False)):
+                yield own.take(pa.array(rows))
 
+    docs_columns = docs.columns
     return drawn.mapInArrow(run, docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
     docs = read(spark, sf_dir, "documents")
-    mixture, member = fit(docs, labelled_domains(docs, read(spark, sf_dir, "labels")))
+    mixture, member = fit(docs, labelled_domains(docs, read(spark, sf_dir, "labels")), public_tokenizers.path("byte_bpe_50k.json"))
     out = [F.round(f"p{k}", 6).alias(f"share_{d}") for k, d in enumerate(mixture.domains)]
     return member.select("doc_id", "n_tokens", *out, rate(mixture.start, mixture.steps).alias("rate"))

@@ -5,6 +5,7 @@ import math
 import os
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -58,7 +59,7 @@ def labels(spark, pairs):
 
 def everything(spark, docs):
     marks = labels(spark, [(3, 1, 0), (9, 0, 0), (8, None, 1), (None, 1, 1), (3, 1, None)])
-    mixture, member = op4_mixing.fit(docs, op4_mixing.labelled_domains(docs, marks))
+    mixture, member = op4_mixing.fit(docs, op4_mixing.labelled_domains(docs, marks), BYTES)
     return {
         "tokens": op1_tokens.token_counts(docs, MODEL, new_path(spark, "cache")),
         "shards": op2_sharding.shard(docs, 1000),
@@ -114,6 +115,27 @@ def test_token_counts_and_the_cache(spark, awkward, monkeypatch):
     assert op1_tokens.read_cache(spark, cache).select("tokenizer_digest").distinct().count() == 2
 
 
+def test_a_warm_cache_moves_no_text(spark):
+    cache = new_path(spark, "cache")
+    docs = table(spark, [f"text number {i % 50}" for i in range(200)])
+    op1_tokens.token_counts(docs, MODEL, cache).count()
+    held = op1_tokens.read_cache(spark, cache).count()
+    keys = docs.selectExpr("unhex(sha2(text, 256)) content_digest")
+    assert op1_tokens.missing(keys, op1_tokens.read_cache(spark, cache)).count() == 0
+    warm = op1_tokens.token_counts(docs, MODEL, cache)
+    plan = warm._jdf.queryExecution().optimizedPlan().toString()
+    assert "text" not in plan and warm.count() == 200 and op1_tokens.read_cache(spark, cache).count() == held
+
+
+def test_few_misses_go_to_the_texts_and_not_the_texts_to_them(spark):
+    docs = materialize(table(spark, [f"text {i}" for i in range(100)])).withColumn("content_digest", F.unhex(F.sha2("text", 256)))
+    misses = materialize(docs.where("doc_id < 3").select("content_digest"))
+    few, many = (op1_tokens.texts_of(docs, misses, n) for n in (3, op1_tokens.BROADCAST + 1))
+    assert rows(few) == rows(many) and few.count() == 3
+    plan = few._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftSemi")  # only what the semi-join leaves is shuffled
+
+
 # --- 2
 
 
@@ -138,9 +160,25 @@ def test_a_hot_key_splits_on_row_bits(spark):
 
 
 def test_written_shards(spark, tmp_path):
-    docs = table(spark, ["x" * 30] * 100)
-    op2_sharding.write_shards(docs, str(tmp_path / "s"), 500)
-    assert spark.read.parquet(str(tmp_path / "s")).count() == 100
+    """Repeated and null ids, and a column with the folder's name: each row is written once, a file to a shard."""
+    docs = table(spark, ["x" * 30] * 100).withColumnRenamed("h", "Shard")
+    docs = docs.union(docs.where("doc_id < 5")).union(docs.where("doc_id < 5")).union(docs.where("doc_id = 1").withColumn("doc_id", F.lit(None).cast("long")))
+    op2_sharding.write_shards(docs.repartition(5), str(tmp_path / "s"), 500)
+    got = spark.read.parquet(str(tmp_path / "s"))
+    assert rows(got.select(docs.columns)) == rows(docs) and "_shard" in got.columns
+    folders = sorted(p.name for p in (tmp_path / "s").iterdir() if p.is_dir())
+    assert len(folders) > 4 and all(re.fullmatch("_shard=s[01]*", f) for f in folders)
+    assert all(len(list((tmp_path / "s" / f).glob("*.parquet"))) == 1 for f in folders)
+    empty = str(tmp_path / "none")
+    op2_sharding.write_shards(docs.limit(0), empty)
+
+
+def test_the_query_splits_on_the_tables(spark, sf):
+    big = sf.replace("sf0.001", "sf0.01")
+    if not os.path.isdir(big):
+        pytest.skip("no such tables")
+    got = op2_sharding.query(spark, big).groupBy("shard").agg(F.sum("n_bytes").alias("n")).collect()
+    assert len(got) > 2 and max(r.n for r in got) <= op2_sharding.LIMIT
 
 
 # --- 3
@@ -174,8 +212,31 @@ def test_spans_are_those_of_the_plain_patterns(spark):
 
 
 def test_long_runs_take_linear_time(spark):
-    texts = ["1" * 200_000, "a" * 200_000, "1 " * 100_000, "a@" * 100_000, "+1" * 100_000, "1." * 100_000, "A1" * 100_000]
-    assert all(r.spans == "" or len(r.spans) for r in op3_pii.report(op3_pii.find(table(spark, texts))).collect())
+    """Runs of the signs that patterns repeat, each ten times as long in as long a time but for start-up."""
+    runs = ["1", "a", "1 ", "a@", "+1", "1.", "A1", "DE1", "a-"]
+    took = []
+    for n in (20_000, 200_000):
+        began = time.perf_counter()
+        got = {r.doc_id: r.spans for r in op3_pii.report(op3_pii.find(table(spark, [(x * n)[:n] for x in runs]))).collect()}
+        took.append(time.perf_counter() - began)
+        assert [got[k] for k in (1, 2, 4, 8)] == [""] * 4 and got[5].count("ip:") == n // 8
+    assert took[1] < 60
+
+
+def test_secrets_are_found_by_context_and_variety(spark):
+    key = "2abc3ff2ca8fb1e4c565a0eb63815530a948bdde"
+    texts = [f'token = "{key}" and so on', f"commit {key}", "token ------------------------", "the token internationalization-of-everything", f"password: {key[:24]}_X", f"key{key}"]
+    found = [r.spans for r in op3_pii.report(op3_pii.find(table(spark, texts))).orderBy("doc_id").collect()]
+    assert found == ["secret:9:49", "", "", "", "secret:10:36", ""]
+    assert op3_pii.redact(table(spark, texts)).orderBy("doc_id").first().text == 'token = "[SECRET]" and so on'
+
+
+def test_a_filter_on_redacted_text_keeps_the_plan_small(spark):
+    docs = table(spark, ["mail a@b.c and +1 (555) 123-4567", "none", None]).withColumnsRenamed({"h": "_text", "w": "row", "slot": "_match"})
+    got = op3_pii.redact(docs)
+    found = got.where("text like '%[EMAIL]%' and length(text) > 3")
+    assert len(found._jdf.queryExecution().optimizedPlan().toString()) < 60_000
+    assert [r.doc_id for r in found.collect()] == [0] and got.columns == docs.columns and got.count() == 3
 
 
 def test_added_kinds_need_their_checksum_or_context(spark):
@@ -224,13 +285,46 @@ def test_domains_of_held_out_texts(spark):
     words = {"en": ["the", "of", "and", "house"], "de": ["der", "und", "das", "haus"], "fr": ["le", "et", "la", "maison"]}
     langs = [rng.choice(list(words)) for _ in range(300)]
     docs = spark.createDataFrame([(i, " ".join(rng.choices(words[x], k=30)), x if i < 200 else None) for i, x in enumerate(langs)], "doc_id long, text string, lang string")
-    mixture, member = op4_mixing.fit(docs, op4_mixing.labelled_domains(docs, labels(spark, [(i, 1, 0) for i in range(300)])), {"en": 0.4, "de": 0.4, "fr": 0.2})
+    mixture, member = op4_mixing.fit(docs, op4_mixing.labelled_domains(docs, labels(spark, [(i, 1, 0) for i in range(300)])), BYTES, {"en": 0.4, "de": 0.4, "fr": 0.2})
     got = {r[0]: r[2:] for r in member.collect()}
     assert sum(mixture.domains[int(np.argmax(got[i]))] == langs[i] for i in range(200, 300)) >= 98
     mixed = op4_mixing.mix(docs, mixture, least=1)
     assert mixed.columns == docs.columns and mixed.select("doc_id").distinct().count() == 300
 
 
+def test_copies_come_in_bounded_batches():
+    rng = np.random.default_rng(4)
+    for limit in (1, 100, 1000, 10**9):
+        copies, size = rng.integers(0, 9, 200), rng.integers(0, 300, 200)
+        runs = list(op4_mixing.taken(copies, size, limit))
+        assert np.bincount(np.concatenate(runs), minlength=200).tolist() == copies.tolist()
+        assert all(len(r) == 1 or (size[r] + 64).sum() <= limit for r in runs)
+    assert list(op4_mixing.taken(np.zeros(3, np.int64), np.ones(3))) == []
+
+
+def test_rates_are_the_least_squares_fit(spark):
+    """Against projected gradient on all rates at once, run long, where the targets can be met."""
+    rng = np.random.default_rng(5)
+    p = rng.dirichlet((0.2, 0.2, 0.2), 400)
+    n = rng.integers(1, 900, 400)
+    member = spark.createDataFrame([(i, int(k), *map(float, q)) for i, (k, q) in enumerate(zip(n, p))], "doc_id long, n_tokens long, p0 double, p1 double, p2 double")
+    shares, total = np.array([0.2, 0.3, 0.5]), 300_000.0
+    start, steps = op4_mixing.solve(member, shares, total)
+    got = op4_mixing.Mixture(("a", "b", "c"), np.zeros((1, 3)), np.zeros(3), start, steps).rates(p)
+    x, a = np.ones(400), p.T * n
+    for _ in range(20_000):
+        x = np.maximum(0, x - a.T @ (a @ x - total * shares) / np.linalg.norm(a, 2) ** 2)
+    brute = np.abs(a @ x - total * shares).max()
+    assert got.min() >= 0 and np.abs(a @ got - total * shares).max() <= max(10 * brute, 1e-4 * total)
+
+
+def test_tokens_of_the_mixture_are_the_tokenizers(spark, awkward):
+    marks = labels(spark, [(i, 1, 0) for i in range(14)])
+    _, member = op4_mixing.fit(awkward, op4_mixing.labelled_domains(awkward, marks), BYTES)
+    got = {r.doc_id: r.n_tokens for r in member.where("doc_id is not null").collect()}
+    assert all(got[i] == len(op7_packing.token_ids([t or ""], BYTES)[0]) for i, t in enumerate(AWKWARD))
+
+
 # --- 5
 
 

@@ -10,14 +10,16 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
+from itertools import chain
 
-import numpy as np
-
+#: What byte-level vocabularies write for a space.
+SPACE = "Ġ"
 #: Parts and their length that are kept in a worker at most: about 300 MB.
 KEPT, KEPT_LENGTH = 1 << 20, 64
 #: Signs that some version of Unicode counted as white space are never cut at.
-_CUT = re.compile("(?<=[^\\s᠎​⁠﻿])(?= [^\\s᠎​⁠﻿])")
+_CUT = re.compile(" (?=[^\\s᠎​⁠﻿])(?<=[^\\s᠎​⁠﻿] )")
 
 
 class Encoder:
@@ -28,22 +30,36 @@ class Encoder:
 
         # Spark runs a worker for each core; threads of its own would only compete.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.whole, self.kept = Tokenizer.from_file(path), {}
+        self.whole = Tokenizer.from_file(path)
+        #: Ids of a space and the part behind it, by the part.
+        self.kept: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        out = []
+        for at in range(0, len(texts), 4096):
+            out += [array("I", e.ids).tobytes() for e in self.whole.encode_batch(texts[at : at + 4096], add_special_tokens=False)]
+        return out
+
+    def parts(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of a space and each part. Letters of ASCII are one piece, which the library's merges take as it
+        is, with a stand-in for the space; other parts go through all of the tokenizer."""
+        merged = self.whole.model.tokenize
+        letters = {p: array("I", [t.id for t in merged(SPACE + p)]).tobytes() for p in new if p.isascii() and p.isalpha()}
+        others = [p for p in new if p not in letters]
+        return letters | dict(zip(others, self.encode([f" {p}" for p in others]), strict=True))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [_CUT.split(t) for t in texts]
-        new = list({part for parts in cut for part in parts}.difference(self.kept))
+        heads, rests = zip(*[(head, rest) for head, *rest in map(_CUT.split, texts)]) if texts else ((), ())
+        new = set(chain.from_iterable(rests)).difference(self.kept)
         if len(self.kept) + len(new) > KEPT:
             self.kept.clear()
-            new = list({part for parts in cut for part in parts})
-        ids = self.kept
-        for at in range(0, len(new), 4096):
-            for part, found in zip(new[at : at + 4096], self.whole.encode_batch_fast(new[at : at + 4096], add_special_tokens=False), strict=True):
-                ids[part] = np.array(found.ids, "<u4").tobytes()
-        out = [b"".join(map(ids.__getitem__, parts)) for parts in cut]
-        for part in new:
-            if len(part) > KEPT_LENGTH:
-                del ids[part]
+            new = set(chain.from_iterable(rests))
+        new = list(new)
+        self.kept.update(self.parts(new))
+        ids = self.kept.__getitem__
+        out = [head + b"".join(map(ids, rest)) for head, rest in zip(self.encode(list(heads)), rests, strict=True)]
+        for part in (p for p in new if len(p) > KEPT_LENGTH):
+            del self.kept[part]
         return out
 
 

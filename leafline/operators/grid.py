@@ -21,12 +21,23 @@ def rows(pages: DataFrame) -> DataFrame:
     return out.withColumn("kind", kind).drop("_pager", "page")
 
 
+def pager_row(page: str = "page") -> Column:
+    """The first row of a page's grid that isn't data and has a table in it, null where there is none."""
+    return F.get(F.filter(F.col(f"{page}.grid"), lambda r: F.get(r["cells"], F.lit(0)).isNull() & r["has_table"]), F.lit(0))
+
+
 def pages_of(first_page: str = "page", strict: bool = True) -> Column:
-    """Number of pages that the pager of a leaf's first page shows, one without a pager."""
-    pager = F.get(F.filter(F.col(f"{first_page}.grid"), lambda r: F.get(r["cells"], F.lit(0)).isNull() & r["has_table"]), F.lit(0))
+    """Number of pages that the pager of a leaf's first page shows, one without a pager. A pager whose last
+    cell isn't a number raises or, if not strict, gives null."""
+    pager = pager_row(first_page)
     return F.when(pager.isNotNull(), page_count(pager["pager"], strict)).otherwise(F.lit(1))
 
 
+def pager_number(page: str = "page") -> Column:
+    """The number that a page's pager ends with, null where there is no pager or no number."""
+    return page_count(pager_row(page)["pager"], strict=False)
+
+
 def cells(strict: bool = True) -> dict[str, Column]:
     """The twelve cells of a data row by name. e-mail may be missing; any other that is raises or, if not
     strict, is null."""

@@ -1,35 +1,60 @@
-"""Pages of a leaf: the first says how many there are."""
+"""Pages of a leaf: the first says how many there are, or the last of those that it leads to."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafline.operators.extract import parse
-from leafline.operators.grid import pages_of
+from leafline.operators.grid import pager_number, pager_row, pages_of
 from leafline.sources.storage import materialize
 
 
-def follow(leaves: DataFrame, pages: DataFrame, strict: bool = True) -> DataFrame:
+def page_by_page(leaves: DataFrame, pages: DataFrame, tbody: bool = False) -> DataFrame:
+    """values and _found, the number of pages, of leaves(values, has_pager) whose first pager shows no number.
+
+    Pages are read one after another, as far as they were landed. The first pager with a number ends the
+    search. Where none has one, the last landed page ends the leaf if it has no pager, else a page is missing
+    behind it, and counted.
+    """
+    landed = pages.where("page_no > 1").join(leaves.select("values").distinct(), "values", "left_semi")
+    order = Window.partitionBy("values").orderBy("page_no")
+    run = landed.withColumn("_k", F.row_number().over(order)).where("_k = page_no - 1")
+    seen = run.select("values", "page_no", F.when(F.col("status") == 200, parse("html", tbody)).alias("page"))
+    seen = seen.select("values", "page_no", pager_number("page").alias("number"), pager_row("page").isNotNull().alias("has_pager"))
+    first = F.min_by(F.greatest("page_no", "number"), F.when(F.col("number").isNotNull(), F.col("page_no")))
+    ends = seen.groupBy("values").agg(first.alias("_number"), F.max("page_no").alias("_last"), F.max_by("has_pager", "page_no").alias("_more"))
+    found = leaves.select("values").distinct().join(ends, "values", "left")
+    last, more = F.coalesce("_last", F.lit(1)), F.coalesce("_more", F.lit(True))
+    return found.select("values", F.coalesce("_number", last + more.cast("int")).alias("_found"))
+
+
+def follow(leaves: DataFrame, pages: DataFrame, strict: bool = True, tbody: bool = False) -> DataFrame:
     """leaves(values, ...) with page_no, status, html, page of the pages that a run reads, from landed pages.
 
     Each leaf's first page is read, then pages 2 to what its pager shows; the first page that fails ends
-    the leaf, those before it stay. A leaf whose first page fails has that page only. If not strict, a
-    pager without a number counts as one page.
+    the leaf, those before it stay. A leaf whose first page fails has that page only. A pager without a
+    number (links for a part of the pages and dots) raises if strict, else the leaf is followed page by page.
     """
-    got = pages.where("page_no = 1").drop("page_no").join(leaves, "values", "right").withColumn("page_no", F.lit(1))
-    first = got.withColumn("page", F.when(F.col("status") == 200, parse("html")))
+    got = pages.where("page_no = 1").select("values", "status", "html").join(leaves, "values", "right").withColumn("page_no", F.lit(1))
+    first = got.withColumn("page", F.when(F.col("status") == 200, parse("html", tbody)))
     # Written, since it is read twice and its pages are to be parsed once.
-    wanted = materialize(first.withColumn("_pages", F.when(F.col("status") == 200, F.coalesce(pages_of("page", strict), F.lit(1))).otherwise(1)), "first-pages")
-    more = wanted.where("_pages > 1").drop("page_no", "status", "html", "page").withColumn("page_no", F.explode(F.sequence(F.lit(2), "_pages"))).drop("_pages")
-    later = more.join(pages.where("page_no > 1"), ["values", "page_no"], "left")
+    wanted = materialize(first.withColumn("_pages", F.when(F.col("status") == 200, pages_of("page", strict)).otherwise(1)), "first-pages")
+    counted = wanted.drop("page_no", "status", "html", "page")
+    if not strict:
+        found = page_by_page(counted.where("_pages is null"), pages, tbody)
+        counted = counted.join(found, "values", "left").withColumn("_pages", F.coalesce("_pages", "_found")).drop("_found")
+    more = counted.where("_pages > 1").withColumn("page_no", F.explode(F.sequence(F.lit(2), "_pages"))).drop("_pages")
+    later = more.join(pages.where("page_no > 1").select("values", "page_no", "status", "html"), ["values", "page_no"], "left")
     bad = later.where("status is null or status <> 200").groupBy("values").agg(F.min("page_no").alias("_bad"))
     later = later.join(bad, "values", "left").where("_bad is null or page_no <= _bad").drop("_bad")
-    later = later.withColumn("page", F.when(F.col("status") == 200, parse("html")))
+    later = later.withColumn("page", F.when(F.col("status") == 200, parse("html", tbody)))
     return wanted.drop("_pages").unionByName(later.select(*wanted.drop("_pages").columns))
 
 
 def leaf_status(pages: DataFrame) -> DataFrame:
-    """values, pages_read, complete of each leaf: whether every page that was asked for came."""
+    """values, pages_read, complete of each leaf: whether every page that was asked for came. Leaves of equal
+    values are told apart by path where pages have it."""
     ok = F.coalesce(F.col("status") == 200, F.lit(False))
-    return pages.groupBy("values").agg(F.sum(ok.cast("long")).alias("pages_read"), F.min(ok).alias("complete"))
+    keys = [c for c in ("path", "values") if c in pages.columns]
+    return pages.groupBy(*keys).agg(F.sum(ok.cast("long")).alias("pages_read"), F.min(ok).alias("complete"))

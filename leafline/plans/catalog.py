@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leafline.functions.scalars import constituency_suffix, page_argument, require
@@ -146,6 +146,23 @@ def paginate(spark, sf_dir):
     return rows.groupBy(F.try_element_at("values", F.lit(-1)).alias("leaf"), "page_no").agg(F.count("*").alias("n"))
 
 
+_DOTTED_ROWS = 50
+
+
+@query(f"SELECT 's' || CAST(l_suppkey AS STRING) AS leaf, CAST((rn - 1) // {_DOTTED_ROWS} + 1 AS INTEGER) AS page_no, count(*) AS n FROM (SELECT l_suppkey, row_number() OVER (PARTITION BY l_suppkey) AS rn FROM lineitem) GROUP BY 1, 2")
+def paginate_dotted(spark, sf_dir):
+    """Suppliers' lines in grids of many pages, whose pagers name ten pages and show dots for others: a run that
+    isn't strict follows them page by page."""
+    leaf = F.array(F.concat(F.lit("s"), F.col("l_suppkey").cast("string")))
+    rows = _table(spark, sf_dir, "lineitem").select(leaf.alias("values"), F.row_number().over(Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber")).alias("rn"))
+    pages = rows.groupBy("values", F.ceil(F.col("rn") / _DOTTED_ROWS).cast("int").alias("page_no")).agg(F.collect_list(F.array(F.col("rn").cast("string"))).alias("rows"))
+    counts = rows.groupBy("values").agg(F.ceil(F.max("rn") / _DOTTED_ROWS).cast("int").alias("pages"))
+    html = render.page(render.grid_table(F.col("rows"), F.col("page_no"), F.col("pages"), links=10), F.lit("x"))
+    site = materialize(pages.join(counts, "values").select("values", "page_no", F.lit(200).alias("status"), html.alias("html")), "site")
+    found = grid.rows(follow(site.where("page_no = 1").select("values"), site, strict=False).drop("html")).where("kind = 'data'")
+    return found.groupBy(F.try_element_at("values", F.lit(-1)).alias("leaf"), "page_no").agg(F.count("*").alias("n"))
+
+
 @query("SELECT l_orderkey, CAST(l_linenumber AS INTEGER) AS page_no, 'Page$' || CAST(l_linenumber AS STRING) AS argument FROM lineitem")
 def page_arguments(spark, sf_dir):
     return _table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("int").alias("page_no"), page_argument("l_linenumber").alias("argument"))
@@ -278,6 +295,24 @@ def leaf_outcome(spark, sf_dir):
 QUERIES["leaf_status"], ORACLES["leaf_status"] = QUERIES.pop("leaf_outcome"), ORACLES.pop("leaf_outcome")
 
 
+@query(
+    """
+    SELECT 'landing' AS level, '' AS node, 503 AS status
+    UNION ALL SELECT DISTINCT 'district', lower(c_mktsegment) || '/r' || CAST(r_regionkey AS STRING), 500
+    FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey WHERE c_mktsegment = 'BUILDING' AND r_regionkey = 1
+    """
+)
+def crawl_errors(spark, sf_dir):
+    """Fetches that failed: the landing page of one run, a district of another."""
+    site = materialize(render.site(spark, sf_dir, "zp"), "site")
+    out = None
+    for bad, status in (("size(values) = 0", 503), ("try_element_at(values, 2) = 'r1' AND size(values) = 2", 500)):
+        pages = site.withColumn("status", F.when(F.expr(f"page_no = 0 AND {bad}"), status).otherwise(F.col("status")))
+        errors = crawl(OFFICES["zp"], Replay(pages), ResumeSpec({"post": START_POST})).errors
+        out = errors if out is None else out.unionByName(errors)
+    return out.select("level", F.array_join("values", "/").alias("node"), "status")
+
+
 @query(_records_sql("mu"))
 def csv_roundtrip(spark, sf_dir):
     """Records written as CSV and read back."""

@@ -19,7 +19,8 @@ from leafline.sources.storage import materialize
 @dataclass
 class Crawl:
     """records: the office's columns, with path, page_no and row_ord for the order of the pages.
-    errors: level, values, status of fetches that failed, whose subtrees are left out. leaves: outcome by leaf.
+    errors: level, values, status of fetches that failed, whose subtrees are left out: landing for the page that
+    all starts from, and nothing below it is then read; a null status was never landed. leaves: outcome by leaf.
     rejects: data rows that lack a required cell (only where the run isn't strict)."""
 
     records: DataFrame
@@ -34,8 +35,10 @@ def leaves_of(spec: OfficeSpec, transport, resume: ResumeSpec, strict: bool = Tr
     A node is dropped before anything below it is fetched. Levels are written where the plan reads them
     twice, to find where a latch opens and to filter by it; others flow through.
     """
-    errors = []
-    parents = expand.root(transport.landing(spec), strict, tbody)
+    # Written, since a live landing page is to be fetched once.
+    landing = materialize(transport.landing(spec), "landing")
+    errors = [failed(landing).select(F.lit("landing").alias("level"), F.array().cast("array<string>").alias("values"), "status")]
+    parents = expand.root(landing, strict, tbody)
     for depth, level in enumerate(spec.levels):
         nodes = expand.children(parents, SELECT_IDS[level], strict)
         if depth == 0 or resume.at(level):
@@ -59,7 +62,7 @@ def leaves_of(spec: OfficeSpec, transport, resume: ResumeSpec, strict: bool = Tr
 
 def crawl(spec: OfficeSpec, transport, resume: ResumeSpec | None = None, strict: bool = True, tbody: bool = False) -> Crawl:
     leaves, errors = leaves_of(spec, transport, resume or ResumeSpec(), strict, tbody)
-    pages = transport.grid(leaves, spec, strict)
+    pages = transport.grid(leaves, spec, strict, tbody)
     rows = grid.rows(pages.where("status = 200").drop("html"))
     kept = rows.where("kind = 'data'")
     if not strict:
@@ -71,7 +74,7 @@ def crawl(spec: OfficeSpec, transport, resume: ResumeSpec | None = None, strict:
     for more in errors[1:]:
         every = every.unionByName(more)
     every = every.unionByName(failed(pages).select(F.lit("grid").alias("level"), "values", "status"))
-    return Crawl(records, every, leaf_status(pages.select("values", "status")), bad)
+    return Crawl(records, every, leaf_status(pages.select("path", "values", "status")), bad)
 
 
 def in_page_order(records: DataFrame) -> DataFrame:

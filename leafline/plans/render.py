@@ -115,12 +115,17 @@ def span(span_id: str, text: Column) -> Column:
     return F.when(text.isNull(), F.lit(f'<span id="{span_id}"></span>')).otherwise(F.concat(F.lit(f'<span id="{span_id}">'), escaped(text), F.lit("</span>")))
 
 
-def grid_table(rows: Column, page_no: Column, pages: Column) -> Column:
-    """rows: array of arrays of cell texts, null for an empty cell. A pager closes the table where there is more than a page."""
+def grid_table(rows: Column, page_no: Column, pages: Column, links: int | None = None) -> Column:
+    """rows: array of arrays of cell texts, null for an empty cell. A pager closes the table where there is more than a page.
+    links: how many pages a pager names at a time, with dots for those before and behind; by default all."""
     cell = lambda c: F.when(c.isNull(), "<td></td>").otherwise(F.concat(F.lit("<td><font>"), escaped(c), F.lit("</font></td>")))
     row = lambda r: F.concat(F.lit("<tr>"), F.array_join(F.transform(r, cell), ""), F.lit("</tr>"))
     link = lambda k: F.when(k == page_no, F.concat(F.lit("<td><span><font>"), k.cast("string"), F.lit("</font></span></td>"))).otherwise(F.concat(F.lit('<td><a href="#"><font>'), k.cast("string"), F.lit("</font></a></td>")))
-    pager = F.concat(F.lit('<tr><td colspan="12"><table><tr>'), F.array_join(F.transform(F.sequence(F.lit(1), pages), link), ""), F.lit("</tr></table></td></tr>"))
+    first = F.lit(1) if links is None else (F.floor((page_no - 1) / links) * links + 1).cast("int")
+    last = pages if links is None else F.least(pages, first + (links - 1))
+    dots = lambda shown: F.when(shown, F.lit('<td><a href="#"><font>...</font></a></td>')).otherwise("")
+    named = F.concat(dots(first > 1), F.array_join(F.transform(F.sequence(first, last), link), ""), dots(last < pages))
+    pager = F.concat(F.lit('<tr><td colspan="12"><table><tr>'), named, F.lit("</tr></table></td></tr>"))
     return F.concat(F.lit(f'<table id="{GRID_ID}"><tr><th>header</th></tr>'), F.array_join(F.transform(rows, row), ""), F.when(pages > 1, pager).otherwise(""), F.lit("</table>"))
 
 

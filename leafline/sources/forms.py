@@ -77,29 +77,42 @@ def page_state(html: str) -> dict[str, str] | None:
     return {f: found[name] for f, name in STATE_FIELDS.items()} if all(n in found for n in STATE_FIELDS.values()) else None
 
 
-def shown_pages(html: str) -> int:
-    """Page count of a leaf's first page; one where there is no pager or it has no number."""
-    for table in (e for e in H.tree(html).walk() if e.tag == "table" and e.attributes.get("id") == GRID_ID):
-        for row in H.grid_rows(table, len(TAIL), True):
-            if row["cells"][0] is None and row["has_table"]:
-                return int(row["pager"]) if (row["pager"] or "").strip().isdigit() else 1
-    return 1
+def shown(html: str, tbody: bool = False) -> tuple[list[list[str | None]], bool, str]:
+    """(cells of the data rows, whether there is a pager, what it ends with) of a grid page."""
+    found = [r for e in H.tree(html).walk() if e.tag == "table" and e.attributes.get("id") == GRID_ID for r in H.grid_rows(e, len(TAIL), tbody)]
+    pagers = [r["pager"] or "" for r in found if r["cells"][0] is None and r["has_table"]]
+    return [r["cells"] for r in found if r["cells"][0] is not None], bool(pagers), pagers[0].strip() if pagers else ""
 
 
-def grid_pages(spec: OfficeSpec, send: Sender, state: dict[str, str], values: list[str]):
+def grid_pages(spec: OfficeSpec, send: Sender, state: dict[str, str], values: list[str], strict: bool = True, tbody: bool = False):
     """(page_no, status, html) of a leaf's pages. Each page is asked for with the state of the one before,
-    so they come one after another; the first that fails is the last."""
-    count = number = 1
-    while number <= count:
+    so they come one after another; the first that fails is the last.
+
+    The first pager says how many there are. Where it has no number, a strict run raises; any other goes on
+    page by page until a pager ends with a number, a page has no pager, or a page shows the rows of the one
+    before it (a site that answers beyond its end), which isn't counted. A page without form state raises, or
+    the state of the one before is sent again if not strict.
+    """
+    count, number, before = 0, 1, None
+    while not count or number <= count:
         sent = submit(spec, state, values) if number == 1 else postback(spec, state, values, GRID_ID, f"Page${number}")
         status, html = send(sent)
-        yield number, status, html
         if status != 200:
+            yield number, status, html
+            return
+        rows, has_pager, last = shown(html, tbody)
+        if not count and number > 1 and rows == before:
             return
-        if number == 1:
-            count = shown_pages(html)
-        state = page_state(html) or state
-        number += 1
+        yield number, status, html
+        if not count:
+            if not has_pager or last.isdecimal():
+                count = max(number, int(last)) if has_pager else number
+            elif strict:
+                raise ValueError(f"the pager of {'/'.join(values)} ends with {last!r}, which is no number")
+        own = page_state(html)
+        if own is None and strict:
+            raise ValueError(f"page {number} of {'/'.join(values)} has no form state")
+        state, number, before = own or state, number + 1, rows
 
 
 class Live:
@@ -130,7 +143,7 @@ class Live:
 
         return frontier.repartition(self.parallel).mapInArrow(run, frontier.schema.add("status", "integer").add("html", "string"))
 
-    def grid(self, leaves: DataFrame, spec: OfficeSpec, strict: bool = True) -> DataFrame:
+    def grid(self, leaves: DataFrame, spec: OfficeSpec, strict: bool = True, tbody: bool = False) -> DataFrame:
         from leafline.operators.extract import parse
         from leafline.sources.storage import materialize
 
@@ -140,11 +153,11 @@ class Live:
             send = session()
             for batch in batches:
                 for k, (state, values) in enumerate(zip(batch.column("state").to_pylist(), batch.column("values").to_pylist(), strict=True)):
-                    got = list(grid_pages(spec, send, state, values))
+                    got = list(grid_pages(spec, send, state, values, strict, tbody))
                     own = batch.take(pa.array([k] * len(got)))
                     for name, kind, at in (("page_no", pa.int32(), 0), ("status", pa.int32(), 1), ("html", pa.string(), 2)):
                         own = own.append_column(name, pa.array([g[at] for g in got], kind))
                     yield own
 
         schema = leaves.schema.add("page_no", "integer").add("status", "integer").add("html", "string")
-        return materialize(leaves.repartition(self.parallel).mapInArrow(run, schema), "grid-pages").withColumn("page", parse("html"))
+        return materialize(leaves.repartition(self.parallel).mapInArrow(run, schema), "grid-pages").withColumn("page", parse("html", tbody))

@@ -2,7 +2,9 @@
 
 import csv as pycsv
 import io
+import os
 import sys
+from types import SimpleNamespace
 
 import pytest
 from pyspark import cloudpickle
@@ -13,7 +15,7 @@ from leafline.operators import grid
 from leafline.operators.extract import parse
 from leafline.plans.crawl import crawl, in_page_order
 from leafline.plans.specs import GRID_ID, NUMBER_LABEL, OFFICES, REQUIRED_LABEL, SELECT_IDS, STATUS_LABEL, TAIL, ResumeSpec
-from leafline.sources import csv, forms
+from leafline.sources import csv, forms, storage
 from leafline.sources.replay import SCHEMA, Replay
 from leafline.streaming import landed
 
@@ -104,18 +106,21 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 class Site:
     """A fake live site; it answers only requests with the state of the page before."""
 
+    def __init__(self, pages=SITE, beyond=None):
+        self.pages, self.beyond = pages, beyond
+
     def __call__(self):
         return self.send
 
     def send(self, sent):
         if sent is None:
-            return 200, state("") + SITE[(), 0][1]
+            return self.pages[(), 0][0], state("") + self.pages[(), 0][1]
         values = tuple(sent[SELECT_IDS[x]] for x in ("post", "district", "pradesik") if SELECT_IDS[x] in sent)
         page = 1 if "btnSubmit" in sent else int(sent["__EVENTARGUMENT"][5:] or 0) if sent["__EVENTTARGET"] == GRID_ID else 0
         before = "/".join(values if page else values[:-1]) + (f"#{page - 1}" if page > 1 else "")
         if sent["__VIEWSTATE"] != f"v{before}":
             return 409, ""
-        status, html = SITE[values, page]
+        status, html = self.pages.get((values, page)) or self.beyond or (404, "")
         return status, state("/".join(values) + (f"#{page}" if page else "")) + html
 
 
@@ -124,6 +129,124 @@ def test_live_run_gives_the_same_rows(spark, site):
     assert sorted(live.collect()) == sorted(crawl(OFFICES["zp"], site).records.collect())
 
 
+def replayed(spark, pages):
+    return Replay(spark.createDataFrame([(list(v), p, s, state("/".join(v)) + h) for (v, p), (s, h) in pages.items()], SCHEMA))
+
+
+def dotted(page, pages):
+    """A pager that names ten pages at a time."""
+    first = (page - 1) // 10 * 10 + 1
+    names = ["..."] * (first > 1) + [str(k) for k in range(first, min(first + 9, pages) + 1)] + ["..."] * (first + 9 < pages)
+    return "<tr><td colspan=12><table><tr>" + "".join(f"<td><a><font>{x}</font></a></td>" for x in names) + "</tr></table></td></tr>"
+
+
+def one_leaf(*grids):
+    """A site of one leaf with these grid pages."""
+    return {k: v for k, v in SITE.items() if k[0] in ((), ("zila",), ("zila", "d1"))} | {
+        (("zila",), 0): (200, choices("district", "D1")),
+        (("zila", "d1"), 0): (200, choices("pradesik", "C1")),
+        (("zila", "d1", "c1"), 0): (200, f'<span id="{REQUIRED_LABEL}">General</span>'),
+        **{(("zila", "d1", "c1"), k): (200, g) for k, g in enumerate(grids, 1)},
+    }
+
+
+def numbers(found):
+    return [r.sr_no for r in in_page_order(found.records).collect()]
+
+
+@pytest.mark.parametrize("pages", [12, 31])
+def test_a_dotted_pager_is_followed_to_the_last_page(spark, pages):
+    site = one_leaf(*[table(person(k), dotted(k, pages)) for k in range(1, pages + 1)])
+    want = [f"sr_no{k}" for k in range(1, pages + 1)]
+    for transport in (replayed(spark, site), forms.Live(spark, Site(site), parallel=1)):
+        found = crawl(OFFICES["zp"], transport, strict=False)
+        assert numbers(found) == want and [(r.pages_read, r.complete) for r in found.leaves.collect()] == [(pages, True)]
+        with pytest.raises(PySparkException):
+            numbers(crawl(OFFICES["zp"], transport))
+
+
+def test_a_dotted_pager_with_a_page_missing_or_failed(spark):
+    site = one_leaf(*[table(person(k), dotted(k, 25)) for k in range(1, 26)])
+    for gone, status in ((2, None), (13, None), (13, 500), (25, None)):
+        pages = {k: v for k, v in site.items() if k[1] != gone} | ({(("zila", "d1", "c1"), gone): (status, "")} if status else {})
+        found = crawl(OFFICES["zp"], replayed(spark, pages), strict=False)
+        assert numbers(found) == [f"sr_no{k}" for k in range(1, gone)]
+        assert [(r.pages_read, r.complete) for r in found.leaves.collect()] == [(gone - 1, False)]
+        assert [(r.level, r.status) for r in found.errors.collect()] == [("grid", status)]
+
+
+def test_pages_that_were_landed_behind_a_single_dotted_pager_are_read(spark):
+    site = one_leaf(table(person(1), PAGER.format("...")), *[table(person(k)) for k in range(2, 13)])
+    assert numbers(crawl(OFFICES["zp"], replayed(spark, site), strict=False)) == [f"sr_no{k}" for k in range(1, 13)]
+
+
+def test_a_site_that_repeats_its_last_page_ends(spark):
+    grids = [table(person(k), PAGER.format("...")) for k in (1, 2, 3)]
+    live = crawl(OFFICES["zp"], forms.Live(spark, Site(one_leaf(*grids), beyond=(200, grids[-1])), parallel=1), strict=False)
+    assert numbers(live) == ["sr_no1", "sr_no2", "sr_no3"]
+
+
+def test_a_grid_page_without_form_state(spark):
+    site = one_leaf(table(person(1), PAGER.format(2)), table(person(2)))
+
+    class Bare(Site):
+        def send(self, sent):
+            status, html = super().send(sent)
+            return status, html.replace("__VIEWSTATE\"", "x\"") if "person" in html or "sr_no1" in html else html
+
+    assert numbers(crawl(OFFICES["zp"], forms.Live(spark, Bare(site), parallel=1), strict=False)) == ["sr_no1"]  # the second page turns the old state down
+    with pytest.raises(PySparkException, match="no form state"):
+        crawl(OFFICES["zp"], forms.Live(spark, Bare(site), parallel=1))
+
+
+def test_rows_within_a_tbody(spark):
+    body = table(person(1), person(2)).replace("<tr><th>", "<tbody><tr><th>").replace("</table>", "</tbody></table>")
+    site = one_leaf(body)
+    for transport in (replayed(spark, site), forms.Live(spark, Site(site), parallel=1)):
+        assert numbers(crawl(OFFICES["zp"], transport, tbody=True)) == ["sr_no1", "sr_no2"]
+        assert numbers(crawl(OFFICES["zp"], transport)) == []
+
+
+def test_a_failed_landing_page_is_an_error(spark):
+    for landing, status in (((503, ""), 503), (None, None)):
+        site = {k: v for k, v in SITE.items() if k != ((), 0)} | ({((), 0): landing} if landing else {})
+        found = crawl(OFFICES["zp"], replayed(spark, site))
+        assert [(r.level, r["values"], r.status) for r in found.errors.collect()] == [("landing", [], status)]
+        assert found.records.count() == found.leaves.count() == 0
+    live = crawl(OFFICES["zp"], forms.Live(spark, Site(SITE | {((), 0): (503, "")}), parallel=1))
+    assert [(r.level, r.status) for r in live.errors.collect()] == [("landing", 503)]
+
+
+def test_the_last_landing_of_a_page_counts(spark, site):
+    want = sorted(crawl(OFFICES["zp"], site).records.collect())
+    rows = [(list(v), p, s, state("/".join(v)) + h) for (v, p), (s, h) in SITE.items()]
+    failed = [(v, p, 500, "") for v, p, s, _ in rows if s == 200]
+    assert sorted(crawl(OFFICES["zp"], Replay(spark.createDataFrame(rows + rows + failed, SCHEMA))).records.collect()) == want
+    timed = [(*r, 2) for r in rows] + [(*r, 1) for r in failed] + [(v, p, 200, table(person(77)), 1) for v, p, _, _ in rows if p]
+    assert sorted(crawl(OFFICES["zp"], Replay(spark.createDataFrame(timed, SCHEMA + ", landed int"))).records.collect()) == want
+
+
+def test_leaves_of_equal_values_have_outcomes_of_their_own(spark):
+    site = one_leaf(table(person(1))) | {(("zila", "d1"), 0): (200, choices("pradesik", "C1", "c1"))}
+    found = crawl(OFFICES["zp"], replayed(spark, site))
+    assert sorted((r.path, r.pages_read) for r in found.leaves.collect()) == [([0, 0, 0], 1), ([0, 0, 1], 1)]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    none = SimpleNamespace(isDefined=lambda: False)
+    spark = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="spark://host:7077", _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: none))))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage.shared_dir(spark)
+
+
+def test_scratch_tables_go_with_their_scope(spark):
+    with storage.scratch(spark):
+        (path,) = {f.rsplit("/", 1)[0] for f in storage.materialize(spark.range(3), "gone").inputFiles()}
+        assert os.path.isdir(path.removeprefix("file://"))
+    assert not os.path.exists(path.removeprefix("file://"))
+    assert storage.materialize(spark.range(3), "stays").count() == 3
+
+
 def test_postback_parameters():
     state_ = {"event_validation": "e", "view_state": "v", "view_state_generator": "g"}
     spec = OFFICES["pa"]
@@ -160,14 +283,16 @@ def test_csv_is_that_of_the_standard_writer(spark, tmp_path):
     rows = [[values[(k + j) % len(values)] for j in range(len(spec.columns))] for k in range(3)]
     records = spark.createDataFrame([(*r, [k], 1, 1) for k, r in enumerate(rows)], ", ".join(f"{c} string" for c in spec.columns) + ", path array<int>, page_no int, row_ord int")
     path = str(tmp_path / "out")
-    csv.write(records, spec, path, ordered=True)
-    (part,) = (tmp_path / "out").glob("part-*.csv")
+    files = lambda: [p.read_text("utf-8") for p in sorted((tmp_path / "out").glob("part-*.csv"))]
+    csv.write(records.repartition(3), spec, path, ordered=True)
     held = io.StringIO()
     pycsv.writer(held, lineterminator="\n").writerows([spec.columns, *[[v or "" for v in r] for r in rows]])
-    assert part.read_text("utf-8") == held.getvalue()
-    assert [tuple(r) for r in csv.read(spark, spec, path).collect()] == [tuple(v or "" for v in r) for r in rows] or csv.read(spark, spec, path).count() == 3
+    assert "".join(files()) == held.getvalue()
+    want = [tuple(v or "" for v in r) for r in rows]
+    assert sorted(tuple(r) for r in csv.read(spark, spec, path).collect()) == sorted(want)
     csv.write(records, spec, path, ResumeSpec({"district": "x"}))
-    assert csv.read(spark, spec, path).count() == 6
+    assert sorted(tuple(r) for r in csv.read(spark, spec, path).collect()) == sorted(want + want)
+    assert "".join(files()).count(",".join(spec.columns)) == 1  # what is appended has no header
     csv.write(records, spec, path, ResumeSpec({"post": "x"}), redact=True)
     assert {(r.mobile_number, r.email) for r in csv.read(spark, spec, path).collect()} == {("", "")}
 

@@ -220,8 +220,10 @@ def _entropy_coded(data: bytes, at: int) -> tuple[list[np.ndarray], int]:
 
 @dataclass(frozen=True)
 class _Table:
-    """By the next 16 bits: length of the code, size of the value, and how many coefficients the code takes (AC)."""
+    """By the next bits, as many as the longest code has and so shift less than 16: length of the code, size of the
+    value, and how many coefficients the code takes (AC)."""
 
+    shift: int
     length: np.ndarray
     size: np.ndarray
     steps: np.ndarray
@@ -230,36 +232,40 @@ class _Table:
 
 @lru_cache(maxsize=16)
 def _lookup(lengths: tuple[tuple[int, int], ...]) -> _Table:
-    length, size, jumps = (np.zeros(1 << 16, np.uint8) for _ in range(3))
+    width = max((n for _, n in lengths), default=1)
+    length, size, jumps = (np.zeros(1 << width, np.uint8) for _ in range(3))
     jumps[:] = 64  # no code: the block ends, and a step of zero tells
     for symbol, (code, n) in canonical(dict(lengths)).items():
-        own = slice(code << (16 - n), (code + 1) << (16 - n))
+        own = slice(code << (width - n), (code + 1) << (width - n))
         length[own], size[own] = n, symbol & 15
         jumps[own] = 64 if symbol == 0 else (symbol >> 4) + 1
-    return _Table(length, size, length + size, jumps)
+    return _Table(16 - width, length, size, length + size, jumps)
 
 
 def _four(ahead: np.ndarray, table: _Table) -> tuple[np.ndarray, np.ndarray, bytes, bytes, bytes, bytes]:
     """Steps and jumps of the code at each bit; the same as bytes, and those of four codes in a row."""
-    one, jump = table.steps[ahead], table.jumps[ahead]
-    steps, jumps, bits = one, jump, np.arange(len(ahead), dtype=np.int32)
-    for _ in range(2):
-        after = np.minimum(bits + steps, np.int32(len(ahead) - 1))
-        jumps = np.minimum(jumps, np.uint8(127))
-        steps, jumps = steps + steps[after], jumps + jumps[after]
-    return one, jump, one.tobytes(), jump.tobytes(), steps.tobytes(), jumps.tobytes()
+    seen = ahead >> table.shift
+    one, jump = table.steps[seen], table.jumps[seen]
+    bits = np.arange(len(ahead), dtype=np.int64)
+    # A step takes at most 32 bits and a jump 64 places, so that sums of four steps and two jumps fit a byte.
+    after = bits + one
+    two, jump_two = one + one.take(after, mode="clip"), jump + jump.take(after, mode="clip")
+    np.minimum(jump_two, 127, out=jump_two)
+    np.add(bits, two, out=after)
+    four, jump_four = two + two.take(after, mode="clip"), jump_two + jump_two.take(after, mode="clip")
+    return one, jump, one.tobytes(), jump.tobytes(), four.tobytes(), jump_four.tobytes()
 
 
 def _walk(ahead: np.ndarray, start: int, limit: int, units: int, plan: list[tuple[_Table, _Table]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int, int]:
     """The bits at which codes begin, in order, their blocks, the coefficient each gives and whether it is a
     block's first, for units that begin before limit; then how many units that were, and the bit behind them."""
     found = {id(ac): _four(ahead, ac) for _, ac in plan}
-    tables = [(dc.steps[ahead].tobytes(), *found[id(ac)][2:], [], []) for dc, ac in plan]
-    firsts, p, done = [], start, 0
+    tables = [(dc.shift, dc.steps.tobytes(), *found[id(ac)][2:], [], []) for dc, ac in plan]
+    codes, firsts, p, done = memoryview(ahead), [], start, 0
     while done < units and p < limit:
-        for first, steps, jumps, steps4, jumps4, fours, ones in tables:
+        for shift, first, steps, jumps, steps4, jumps4, fours, ones in tables:
             firsts.append(p)
-            p += first[p]
+            p += first[codes[p] >> shift]
             k = 1
             while k + jumps4[p] <= 64:
                 fours.append(p)
@@ -280,17 +286,18 @@ def _walk(ahead: np.ndarray, start: int, limit: int, units: int, plan: list[tupl
     places = np.sort(np.concatenate([firsts, *places]))
     block = np.searchsorted(firsts, places, "right") - 1
     is_first = places == firsts[block]
-    slot, jumped = block % len(plan), np.ones(len(places), np.int64)
-    for k, (_, ac) in enumerate(plan):
-        own = (slot == k) & ~is_first
+    jumped = found[id(plan[0][1])][1][places].astype(np.int64)
+    for k, (_, ac) in enumerate(plan[1:], 1):
+        own = block % len(plan) == k
         jumped[own] = found[id(ac)][1][places[own]]
+    jumped[is_first] = 1
     total = np.cumsum(jumped)
     return places, block, total - (total - jumped)[is_first][block] - 1, is_first, done, p
 
 
 def _values(wide: np.ndarray, places: np.ndarray, ahead: np.ndarray, table: _Table) -> np.ndarray:
     """What stands behind the codes that begin at places. wide: the 40 bits from each byte on."""
-    seen = ahead[places]
+    seen = ahead[places] >> table.shift
     length = table.length[seen]
     if not length.all():
         raise ValueError("no such code")
@@ -342,12 +349,15 @@ def _scan(image: Image, scan: list[np.ndarray], tables: dict, restart: int) -> N
         last = dict.fromkeys(tables, 0)
         for unit, values, coefficient, block in _interval(part, min(step, across * down - done), plan):
             # DC differences add up over the blocks of a component, in the order of the scan.
+            firsts = np.flatnonzero(coefficient == 0)
             for c in tables:
-                own = (coefficient == 0) & np.isin(block % len(plan), [k for k, w in enumerate(where) if w[0] == c])
+                own = firsts[np.isin(block[firsts] % len(plan), [k for k, w in enumerate(where) if w[0] == c])]
                 values[own] = last[c] + np.cumsum(values[own])
-                last[c] = int(values[own][-1])
+                last[c] = int(values[own[-1]])
+            there = coefficient < 64
             for k, (c, h, v, j, i) in enumerate(where):
-                own = (block % len(plan) == k) & (coefficient < 64) & ((values != 0) | (coefficient == 0))
+                own = np.flatnonzero(there if len(plan) == 1 else there & (block % len(plan) == k))
                 y, x = np.divmod(done + unit + block[own] // len(plan), across)
-                image.blocks[c][y * v + j, x * h + i, coefficient[own]] = values[own]
+                flat = ((y * v + j) * image.blocks[c].shape[1] + x * h + i) * 64 + coefficient[own]
+                image.blocks[c].reshape(-1)[flat] = values[own]
         done += step

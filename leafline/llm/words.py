@@ -14,8 +14,12 @@ from array import array
 from functools import lru_cache
 from itertools import chain
 
-#: What byte-level vocabularies write for a space.
-SPACE = "Ġ"
+#: What byte-level vocabularies write for a byte: itself where that shows as a sign of Latin-1, else a sign from 256 on.
+_SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_SIGNS = {b: b for b in _SHOWN} | {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+SPACE = chr(_SIGNS[32])
+#: A word of Latin letters and the punctuation behind it: a piece each for the merges, in any version of Unicode.
+_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ſ]+)([.,;:!?]*)")
 #: Parts and their length that are kept in a worker at most: about 300 MB.
 KEPT, KEPT_LENGTH = 1 << 20, 64
 #: Signs that some version of Unicode counted as white space are never cut at.
@@ -40,13 +44,22 @@ class Encoder:
             out += [array("I", e.ids).tobytes() for e in self.whole.encode_batch(texts[at : at + 4096], add_special_tokens=False)]
         return out
 
+    def merged(self, piece: str) -> bytes:
+        return array("I", [t.id for t in self.whole.model.tokenize(piece)]).tobytes()
+
     def parts(self, new: list[str]) -> dict[str, bytes]:
-        """Ids of a space and each part. Letters of ASCII are one piece, which the library's merges take as it
-        is, with a stand-in for the space; other parts go through all of the tokenizer."""
-        merged = self.whole.model.tokenize
-        letters = {p: array("I", [t.id for t in merged(SPACE + p)]).tobytes() for p in new if p.isascii() and p.isalpha()}
-        others = [p for p in new if p not in letters]
-        return letters | dict(zip(others, self.encode([f" {p}" for p in others]), strict=True))
+        """Ids of a space and each part. A word and its punctuation are pieces that the library's merges take as
+        they are; other parts go through all of the tokenizer."""
+        known, out, others = self.kept, {}, []
+        for part in new:
+            if not (word := _WORD.fullmatch(part)):
+                others.append(part)
+            elif not word[2]:
+                out[part] = self.merged(SPACE + part.encode().decode("latin-1").translate(_SIGNS))
+            else:
+                ids = known.get(word[1]) or out.get(word[1]) or self.merged(SPACE + word[1].encode().decode("latin-1").translate(_SIGNS))
+                out[part] = ids + self.merged(word[2])
+        return out | dict(zip(others, self.encode([f" {p}" for p in others]), strict=True))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         heads, rests = zip(*[(head, rest) for head, *rest in map(_CUT.split, texts)]) if texts else ((), ())

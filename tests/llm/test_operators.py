@@ -509,7 +509,8 @@ def test_ids_are_those_of_the_tokenizer_file(monkeypatch):
     rng = random.Random(7)
     slow, own = Tokenizer.from_file(BYTES), words.Encoder(BYTES)
     signs = [chr(c) for c in (*range(0x250), 0x85, 0xA0, 0x180E, 0x200B, 0x2028, 0x3000, 0x1F600, 0xFEFF, 0x660, 0x2160, 0x300, 0x41F)] + ["<|endoftext|>", "'s", "  ", "\n\n"] + [" "] * 200
-    texts = ["".join(rng.choices(signs, k=rng.randint(0, 60))) for _ in range(3000)] + ["", " " * 9000, "x" * 9000, "a " * 3000, "a  b", "<|endoftext|> <|endoftext|>"]
+    texts = ["".join(rng.choices(signs, k=rng.randint(0, 60))) for _ in range(3000)] + ["", " " * 9000, "x" * 9000, "a " * 3000, "a  b", "<|endoftext|> <|endoftext|>", "Straße, déjà vu! naïve... ſchön; ÿ Ÿ × ÷ a× ª º l'été don't I'll we're, 'tis"]
+    texts += [" ".join("".join(rng.choices("abeiouäöüßéèñçÀÖØſ", k=rng.randint(1, 9))) + rng.choice(["", "", ".", ",", "!?", "'s", "×", "1"]) for _ in range(30)) for _ in range(200)]
     for kept in (words.KEPT, 50):  # with room for all, and with the store emptied time and again
         monkeypatch.setattr(words, "KEPT", kept)
         for at in range(0, len(texts), 100):

@@ -1,0 +1,269 @@
+"""Divergence audit, whitening and SentencePiece against plain Python, and on awkward tables."""
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from test_operators import AWKWARD
+
+from leafline.llm import op11_divergence as divergence
+from leafline.llm import op12_whitening as whitening
+from leafline.llm import op13_sentencepiece as pieces
+
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+DOCS = "doc_id long, text string, lang string, source string, term string, n string, k string, slice string"
+
+
+# --- 11
+
+
+def slow_audit(rows, least, top=10):
+    terms = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+    lower = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
+    counts, found = defaultdict(Counter), defaultdict(Counter)
+    for text, lang, source in rows:
+        words = terms.findall((text or "").translate(lower))
+        counts[lang or "", source or ""].update(words)
+        found[lang or ""].update(set(words))
+    out = []
+    for lang in {x for x, _ in counts}:
+        kept = sorted((t for t, n in found[lang].items() if n >= least), key=lambda t: t.encode())
+        own = {s: Counter({t: c[t] for t in kept}) for (x, s), c in counts.items() if x == lang}
+        own[None] = sum(own.values(), Counter())
+        p = {s: {t: 1 + 10**9 * (c[t] + 2) // (c.total() + 2 * len(kept)) for t in kept} for s, c in own.items()}
+        f = lambda a, b: (a - b) ** 2 // (a + b)
+        for s in own.keys() - {None}:
+            pairs = sorted((-sum(f(p[s][t], p[o][t]) for t in kept), o.encode()) for o in own if o not in (s, None))
+            best = sorted((-f(p[s][t], p[None][t]), t.encode()) for t in kept if own[s][t] and p[s][t] > p[None][t])[:top]
+            out += [(lang, s, part, item.decode(), -v, k) for part, found_ in (("pair", pairs), ("term", best)) for k, (v, item) in enumerate(found_, 1)]
+    return sorted(out)
+
+
+def documents(rng, sources, n=300):
+    words = [f"{a}{b}" for a in ("Alpha", "beta", "Größe", "ключ", "東") for b in ("", "x", "Y", "é")]
+    out = []
+    for _ in range(n):
+        source = rng.choice(sources)
+        seed = hash(source) % 7 if source else 3
+        out.append((" ".join(rng.choice(words[seed:] if rng.random() < 0.5 else words) for _ in range(rng.randrange(30))), rng.choice(["en", "en", "de", None]), source))
+    return out + [(t, "fr", "s1") for t in AWKWARD] + [(None, "xx", None), ("12 34", "xx", "other"), (None, None, None)]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, x, s, "t", "n", "k", "0") for i, (t, x, s) in enumerate(rows)], DOCS)
+
+
+def audited(df):
+    return sorted((r.lang, r.source, r.part, r["item"], r.value, r["rank"]) for r in df.collect())
+
+
+@pytest.mark.parametrize(("sources", "least"), [(["a", "b"], 3), (["s%d" % i for i in range(11)] + [None], 5), (["only"], 2)])
+def test_audit_is_that_of_plain_python(spark, monkeypatch, sources, least):
+    """Blocks of two, many slices and one round a job, so that every way of meeting is taken."""
+    for name, value in (("BLOCK", 2), ("SLICES", 5), ("ROUNDS", 1), ("HELD", 40)):
+        monkeypatch.setattr(divergence, name, value)
+    rows = documents(random.Random(len(sources)), sources)
+    assert audited(divergence.audit(frame(spark, rows), least)) == slow_audit(rows, least)
+
+
+def test_every_two_blocks_meet_once(spark):
+    for blocks in range(2, 12):
+        seats = blocks + blocks % 2
+        grid = spark.range(blocks).withColumnRenamed("id", "block").crossJoin(spark.range(seats - 1).withColumnRenamed("id", "round"))
+        met = grid.withColumn("at", divergence.partner(F.col("block"), F.col("round"), F.lit(seats))).collect()
+        for r in range(seats - 1):
+            at = {m.block: m.at for m in met if m["round"] == r}
+            assert all(at.get(o, b) == b and o != b for b, o in at.items())
+        pairs = Counter(frozenset((m.block, m.at)) for m in met if m.at < blocks)
+        assert set(pairs.values()) == {2} and len(pairs) == blocks * (blocks - 1) // 2
+
+
+def test_shares_are_exact_where_longs_would_overflow():
+    total = 9 * 10**15 + 7
+    counts = [0, 1, 5 * 10**14, total - 2]
+    assert divergence.shares(np.array(counts), total).tolist() == [1 + 10**9 * (c + 2) // total for c in counts]
+
+
+def test_a_vector_survives_its_packing():
+    ids, counts = np.array([0, 3, 4, 900]), np.array([1, 2**40, 7, 1])
+    got = divergence.unpacked(divergence.packed(ids, counts), 901)
+    assert got[ids].tolist() == counts.tolist() and got.sum() == counts.sum() and not divergence.unpacked(None, 3).any()
+
+
+def test_audit_of_an_empty_table(spark):
+    assert divergence.audit(frame(spark, []).limit(0)).count() == 0
+
+
+# --- 12
+
+
+VECTORS = "vec_id long, embedding array<double>, x string, id string, vector string"
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(i, v, "x", "id", "v") for i, v in rows], VECTORS)
+
+
+def slow_grid(rows, dims):
+    return [(i, [math.floor(64 * c) + 1_000_000 for c in v]) for i, v in rows if v is not None and len(v) == dims and all(c is not None and math.isfinite(c) for c in v)]
+
+
+def test_whitening_is_that_of_plain_python(spark):
+    rng = np.random.default_rng(5)
+    mixed = rng.normal(size=(150, 20)) @ (rng.normal(size=(20, 20)) * np.geomspace(40, 0.5, 20)[:, None])
+    rows = [(i, v.tolist()) for i, v in enumerate(mixed)]
+    rows += [rows[3], (None, rows[4][1]), (7, rows[9][1])] * 5
+    rows += [(200, None), (201, [None] * 20), (202, [math.nan, *[0.0] * 19]), (203, [math.inf, *[0.0] * 19]), (204, [1.0] * 3), (205, [])]
+    table = vectors(spark, rows)
+    grid = slow_grid(rows, 20)
+    fit = np.array(sorted({tuple(x) for _, x in grid}), dtype=object)
+    n, sums = len(fit), fit.sum(axis=0)
+    centred = (fit * n - sums).astype(float) / n
+    values, turn = np.linalg.eigh(centred.T @ centred / n)
+    values, turn = values[::-1], turn[:, ::-1]
+    got = whitening.whiten(table, whitening.fit(table)).collect()
+    assert Counter((r.vec_id, r.component) for r in got) == Counter((i, k) for i, _ in grid for k in range(1, 17))
+    by_id = defaultdict(dict)
+    for r in got:
+        by_id[r.vec_id][r.component] = r
+    for i, x in grid:
+        own = [by_id[i][k] for k in range(1, 17)]
+        if i != 7:  # two vectors have that id
+            assert {r.deviation for r in own} == {sum((n * a - s) ** 2 for a, s in zip(x, sums.tolist()))}
+            want = (np.array([n * a - s for a, s in zip(x, sums.tolist())], float) / n @ turn)[:16] / np.sqrt(values[:16])
+            got_signed = np.array([r.whitened for r in own])
+            sign = np.sign(got_signed * want) if i == grid[0][0] else sign
+            assert np.allclose(got_signed * sign, want, atol=1e-9)  # either sign, the same for all rows
+    assert np.allclose([by_id[0][k].explained for k in range(1, 17)], values[:16] / values.sum(), rtol=1e-9)
+    assert {r.n for r in got} == {n} and {r.identity_error for r in got}.pop() < 1e-9
+
+
+def test_jacobi_keeps_the_precision_of_small_eigenvalues():
+    """A scaled matrix whose eigenvalues span 24 orders; eigh loses the small ones."""
+    rng = np.random.default_rng(3)
+    core = np.eye(12) + 0.1 * (g := rng.normal(size=(12, 12))) @ g.T / 12
+    scale = np.geomspace(1, 1e-12, 12)
+    values, turn = whitening.jacobi(core * scale[:, None] * scale)
+    inverse, _ = whitening.jacobi(np.linalg.inv(core) / scale[:, None] / scale)
+    assert np.allclose(values, 1 / inverse[::-1], rtol=1e-11)
+    assert np.allclose(turn @ turn.T, np.eye(12), atol=1e-13) and (np.diff(values) <= 0).all()
+    for size in (1, 2, 3, 7):
+        m = (g := rng.normal(size=(size, size))) @ g.T
+        values, turn = whitening.jacobi(m)
+        assert np.allclose(turn.T * values @ turn, m) and np.allclose(values, np.linalg.eigvalsh(m)[::-1])
+
+
+def test_whitening_of_awkward_tables(spark):
+    none = vectors(spark, [])
+    assert whitening.whiten(none, whitening.fit(none)).count() == 0
+    unusable = vectors(spark, [(1, None), (2, [math.nan]), (3, [])])
+    assert whitening.whiten(unusable, whitening.fit(unusable)).count() == 0
+    alike = vectors(spark, [(1, [1.0, 2.0]), (2, [1.0, 2.0]), (3, [1.001, 2.001])])
+    assert whitening.whiten(alike, whitening.fit(alike)).count() == 0  # no variance to divide by
+    flat = vectors(spark, [(i, [float(i), 5.0, float(i * i), 0.0]) for i in range(9)])
+    got = whitening.whiten(flat, whitening.fit(flat)).collect()
+    assert len(got) == 18 and {r.component for r in got} == {1, 2} and got[0].identity_error < 1e-12
+
+
+def test_wide_entries_are_packed_and_added_exactly(spark):
+    rows = [(i, [float(i % 3), 2.0 ** (3 * i), -(2.0 ** (3 * i)) - 0.25]) for i in range(14)]
+    table = vectors(spark, rows)
+    fit = whitening.fit_list(table, 3)
+    n, sums = whitening.moments(fit, 3)
+    grid = slow_grid(rows, 3)
+    assert n == len({tuple(x) for _, x in grid}) and [s + n * 1_000_000 for s in sums] == [sum(c) for c in zip(*{tuple(x) for _, x in grid})]
+    with pytest.raises(OverflowError, match="too large"):
+        whitening._deviations(np.array([[1 << 40, 1]], object))
+
+
+# --- 13
+
+
+def test_sentencepiece_of_random_signs_and_ids():
+    import sentencepiece
+
+    library, own, rng = sentencepiece.SentencePieceProcessor(model_file=MODEL), pieces.codec(MODEL), random.Random(13)
+    signs = "ab thequ\n\t  ▁é😀梦<>s0x/ｆ́​\x00ing"
+    texts = ["", " ", "▁", "\n", "<s>", "</s>", "<0x0A>", "<unk>", "é" * 50, "x" * 70_000, "1" * 30_000, " " * 3000]
+    texts += ["".join(rng.choice(signs) for _ in range(rng.randrange(40))) for _ in range(4000)]
+    for t in texts:
+        assert own.encode(t) == library.encode(t) == own.part_ids(own.normalised(t)).tolist(), repr(t[:60])
+        assert own.decode([*own.encode(t), 2]) == library.decode([*library.encode(t), 2])
+    for _ in range(8000):
+        ids = [rng.choice([0, 1, 2, 3, 13, rng.randrange(3, 259), rng.randrange(3, 259), rng.randrange(32000), 259, 260]) for _ in range(rng.randrange(8))]
+        assert own.decode(ids) == library.decode(ids), ids
+
+
+def small(kinds=None):
+    """A vocabulary without bytes, and with an unused piece."""
+    made = [("<unk>", 0, 2), ("<s>", 0, 3), ("ab", -1, 1), ("abc", -2, 5), ("▁", -9, 1), ("a", -9, 1), ("b", -9, 1), ("c", -9, 1)]
+    v = pieces.Vocabulary()
+    for p, s, k in made:
+        v.pieces.append(p)
+        v.scores.append(s)
+        v.kinds.append(k)
+    return pieces.Codec(v)
+
+
+def test_unused_pieces_are_taken_apart_and_unknown_runs_are_one():
+    own = small()
+    assert own.encode("abc") == [4, 2, 7]
+    assert own.encode("a?!b") == [4, 5, 0, 6]
+    assert own.decode([4, 2, 7, 1, 0]) == "abc ⁇ "
+
+
+def test_the_best_score_goes_first_and_then_the_leftmost():
+    own = small()
+    assert own.symbols("aabab")[0] == ["a", "ab", "ab"]
+    v = own.vocabulary
+    v.pieces += ["aa"]
+    v.scores += [-1]
+    v.kinds += [1]
+    assert pieces.Codec(v).symbols("aab")[0] == ["aa", "b"]  # equal scores
+
+
+def test_other_vocabularies_are_refused(tmp_path):
+    def message(number, data):
+        return bytes([number << 3 | 2, len(data)]) + data
+
+    path = tmp_path / "unigram.model"
+    path.write_bytes(message(1, message(1, b"<unk>") + bytes([3 << 3, 2])) + message(2, bytes([3 << 3, 1])))
+    with pytest.raises(ValueError, match="model type"):
+        pieces.Vocabulary.load(str(path))
+
+
+def test_sentencepiece_of_a_table(spark, monkeypatch):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    texts = [*AWKWARD, "Straße  mit zwei Leerzeichen ", "line\n\nline", "word " * 60_000]
+    docs = frame(spark, [(t, None, "s") for t in texts]).union(frame(spark, [(None, None, None), ("a b", "x", "y")]).withColumn("doc_id", F.lit(None).cast("long")))
+    got = pieces.encode_and_decode(docs, MODEL, (pieces.end_id(MODEL),), ids=True).collect()
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = Counter()
+    for i, t in [*enumerate(texts), (None, None), (None, "a b")]:
+        ids = [*library.encode(t or ""), 2]
+        want[i, len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids))] += 1
+    assert Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got) == want
+    assert all(r.agreed and len(r.ids) == r.n_tokens and sha(r.decoded) == r.decoded_sha256 for r in got)
+
+
+def test_where_the_library_differs_its_result_counts(spark):
+    """A codec that gets a text wrong is found out, and no other text suffers."""
+    import sentencepiece
+
+    class Wrong(pieces.Codec):
+        def encode(self, text):
+            return super().encode(text)[: None if "right" in text else -1]
+
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    texts = ["all right", "wrong here"]
+    ids, shown, agreed = pieces.checked(Wrong(pieces.Vocabulary.load(MODEL)), library, texts, (2,))
+    assert agreed == [True, False] and ids == [[*library.encode(t), 2] for t in texts] and shown == texts
+    assert pieces.encode_and_decode(frame(spark, []).limit(0), MODEL).count() == 0

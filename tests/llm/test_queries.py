@@ -50,6 +50,7 @@ def made(spark, tmp_path_factory):
 def none(spark, tmp_path_factory):
     at = str(tmp_path_factory.mktemp("empty"))
     spark.createDataFrame([], SCHEMA).write.parquet(f"{at}/documents.parquet")
+    spark.createDataFrame([], "vec_id long, embedding array<float>, label int").write.parquet(f"{at}/embeddings.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
     return at
 

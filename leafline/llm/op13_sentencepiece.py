@@ -5,9 +5,9 @@ an agenda, ordered by the score of that piece and then by place; the best pair b
 neighbours enter the agenda, until none is left. Pairs that have changed meanwhile are passed over. Symbols
 that are no piece become the bytes of their characters, or the unknown piece where a vocabulary has no bytes.
 
-Text is cut where no piece of the vocabulary reaches across: before a run of the space sign, if no piece has
-that sign behind another one, and around line ends and tabs if they are part of no longer piece. A part's ids are
-kept for the texts to come, within a bound; what lies beyond it is encoded again, not left out.
+Text is cut where no piece of the vocabulary reaches across: between letters and other signs, and before a run of the space
+sign; a vocabulary that has a piece across such a place isn't cut. A part's ids are kept for the texts to come, within a
+bound; what lies beyond it is encoded again, not left out.
 
 Every text of an Arrow batch is also encoded and decoded by the sentencepiece library. Where the two differ
 the library's result is returned and agreed is false.
@@ -23,7 +23,6 @@ import hashlib
 import heapq
 import re
 import struct
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -38,8 +37,13 @@ SPACE = "▁"
 #: Kinds of pieces in a model file, and its fields. Fixed values of the file format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 BPE = 2
-#: Parts, and their length, that are kept in a worker at most.
-KEPT, KEPT_LENGTH = 1 << 18, 48
+#: Parts that are kept in a worker at most, in two halves of which the older goes when the younger is full, and their length.
+KEPT, KEPT_LENGTH = 1 << 20, 32
+#: Symbols of a part up to which its agenda is a list that is searched, beyond it is a heap.
+SHORT = 24
+#: A run of letters (most signs beyond ASCII among them) or of other signs, with the space signs before it.
+PARTS = re.compile(rf"{SPACE}*(?:[A-Za-z\xC0-\u1FFF\u2070-\u2580\u2582-\U0010FFFF]+|[\x00-@\[-`{{-\xBF\u2000-\u206F]+)|{SPACE}+")
+NONE = float("inf")
 #: Characters of the texts that are handed to the library together.
 TOGETHER = 1 << 20
 
@@ -91,7 +95,7 @@ class Vocabulary:
                     (trainer if number == 2 else normalizer).update(_fields(value))
         out.prefix = bool(normalizer.get(3, 1))
         # Spaces written as the sign, before words; nothing replaced, folded or matched before the merges.
-        unlike = {"a model type other than merges": trainer.get(3, 1) != BPE, "a table of replaced characters": bool(normalizer.get(2)), "folded spaces": bool(normalizer.get(4, 1)), "spaces left as they are": not normalizer.get(5, 1), "spaces behind words": bool(trainer.get(24, 0)), "pieces of the user": USER_DEFINED in out.kinds}
+        unlike = {"a model type other than merges": trainer.get(3, 1) != BPE, "a table of replaced characters": bool(normalizer.get(2)), "folded spaces": bool(normalizer.get(4, 1)), "spaces left as they are": not normalizer.get(5, 1), "spaces behind words": bool(trainer.get(24, 0)), "pieces of the user": USER_DEFINED in out.kinds, "unused pieces": UNUSED in out.kinds}
         if found := [k for k, v in unlike.items() if v]:
             raise ValueError(f"{path} has {', '.join(found)}")
         return out
@@ -102,44 +106,57 @@ class Codec:
 
     def __init__(self, vocabulary: Vocabulary):
         v = self.vocabulary = vocabulary
-        self.merges = {p: i for i, (p, k) in enumerate(zip(v.pieces, v.kinds)) if k in (NORMAL, UNUSED)}
+        self.merges = {p: i for i, (p, k) in enumerate(zip(v.pieces, v.kinds)) if k == NORMAL}
         #: What a symbol is looked up as at last: pieces that merges don't make are known there too.
         self.known = {p: i for i, p in reversed(list(enumerate(v.pieces)))} | self.merges
         self.unknown = v.kinds.index(UNKNOWN)
         self.bytes = {int(p[1:-1], 16): i for i, (p, k) in enumerate(zip(v.pieces, v.kinds)) if k == BYTE}
         self.byte_of = {i: b for b, i in self.bytes.items()}
-        #: Unused pieces are taken apart again into what they were made of.
-        self.unused = {i for i, k in enumerate(v.kinds) if k == UNUSED}
+        self.named = list(map(str, range(len(v.pieces))))
         self.shown = [" ⁇ " if k == UNKNOWN else "" if k in (CONTROL, BYTE) else p.replace(SPACE, " ") for p, k in zip(v.pieces, v.kinds)]
-        long = [p for p in self.merges if len(p) > 1]
-        alone = "".join(c for c in "\n\t\r" if not any(c in p for p in long))
-        crossed = any(SPACE in p.lstrip(SPACE) for p in long)
-        self.cut = re.compile(rf"[{alone}]|[^{alone}]+" if crossed and alone else ".+" if crossed else rf"{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+" + (f"|[{alone}]" if alone else ""), re.S)
-        self.kept: dict[str, array] = {}
+        #: A piece that is cut in two, or begins within a part and ends in another.
+        crossed = any(len(PARTS.findall(p)) > 1 for p in self.merges)
+        self.cut = re.compile(".+", re.S) if crossed else PARTS
+        self.score = {p: -v.scores[i] for p, i in self.merges.items()}
+        self.young: dict[str, list[int]] = {}
+        self.old: dict[str, list[int]] = {}
 
     def normalised(self, text: str) -> str:
         return (SPACE if self.vocabulary.prefix and text else "") + text.replace(" ", SPACE)
 
-    def symbols(self, part: str) -> tuple[list[str], dict[str, tuple[str, str]]]:
-        """What the merges leave of a part's characters, and the halves of unused pieces that were made."""
-        merges, scores, unused = self.merges, self.vocabulary.scores, self.unused
-        symbols, halves = list(part), {}
+    def symbols(self, part: str) -> list[str]:
+        """What the merges leave of a part's characters."""
+        symbols, score = list(part), self.score.get
+        if len(symbols) > SHORT:
+            return self._by_heap(symbols)
+        # Scores of the pairs in their order, negative: the least is the best, and its first place the leftmost.
+        agenda = [score(a + b, NONE) for a, b in zip(symbols, symbols[1:])]
+        while agenda and (best := min(agenda)) is not NONE:
+            at = agenda.index(best)
+            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+            del agenda[at]
+            if at < len(agenda):
+                agenda[at] = score(symbols[at] + symbols[at + 1], NONE)
+            if at:
+                agenda[at - 1] = score(symbols[at - 1] + symbols[at], NONE)
+        return symbols
+
+    def _by_heap(self, symbols: list[str]) -> list[str]:
+        score = self.score
         before, behind = list(range(-1, len(symbols) - 1)), [*range(1, len(symbols)), -1]
         agenda: list[tuple[float, int, int, int]] = []
 
         def enter(left: int, right: int) -> None:
             made = symbols[left] + symbols[right]
-            if (i := merges.get(made)) is not None:
-                heapq.heappush(agenda, (-scores[i], left, right, len(made)))
-                if i in unused:
-                    halves[made] = symbols[left], symbols[right]
+            if made in score:
+                heapq.heappush(agenda, (score[made], left, right, len(made)))
 
         for right in range(1, len(symbols)):
             enter(right - 1, right)
         while agenda:
             _, left, right, size = heapq.heappop(agenda)
             if not symbols[left] or not symbols[right] or len(symbols[left]) + len(symbols[right]) != size:
-                continue
+                continue  # a pair that has changed meanwhile
             symbols[left], symbols[right] = symbols[left] + symbols[right], ""
             behind[left] = after = behind[right]
             if after >= 0:
@@ -147,36 +164,37 @@ class Codec:
                 enter(left, after)
             if before[left] >= 0:
                 enter(before[left], left)
-        return [s for s in symbols if s], halves
-
-    def part_ids(self, part: str) -> array:
-        symbols, halves = self.symbols(part)
-        out, open_ = array("I"), symbols[::-1]
-        while open_:
-            symbol = open_.pop()
-            i = self.known.get(symbol, self.unknown)
-            if i in self.unused and symbol in halves:
-                open_.extend(reversed(halves[symbol]))
-            elif i == self.unknown and self.bytes:
+        return [s for s in symbols if s]
+
+    def part_ids(self, part: str) -> list[int]:
+        out, known = [], self.known
+        for symbol in self.symbols(part):
+            i = known.get(symbol, self.unknown)
+            if i == self.unknown and self.bytes:
                 out.extend(map(self.bytes.__getitem__, symbol.encode()))
             else:
                 out.append(i)
         return out
 
+    def _new(self, part: str) -> list[int]:
+        """Ids of a part that the younger half lacks."""
+        if (ids := self.old.get(part)) is None:
+            ids = self.part_ids(part)
+        if len(part) <= KEPT_LENGTH:
+            if len(self.young) >= KEPT // 2:
+                self.old, self.young = self.young, {}
+            self.young[part] = ids
+        return ids
+
     def encode(self, text: str) -> list[int]:
-        kept, out = self.kept, array("I")
+        out, known = [], self.young.get
         for part in self.cut.findall(self.normalised(text)):
-            if (ids := kept.get(part)) is None:
-                ids = self.part_ids(part)
-                if len(part) <= KEPT_LENGTH:
-                    if len(kept) >= KEPT:
-                        kept.clear()
-                    kept[part] = ids
+            if (ids := known(part)) is None:
+                ids, known = self._new(part), self.young.get
             out += ids
-        ids = out.tolist()
-        if not self.bytes and self.unknown in ids:  # a run of unknown symbols is one
-            ids = [i for i, own in groupby(ids) for _ in ([0] if i == self.unknown else own)]
-        return ids
+        if not self.bytes and self.unknown in out:  # a run of unknown symbols is one
+            out = [i for i, own in groupby(out) for _ in ([0] if i == self.unknown else own)]
+        return out
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids: controls show nothing, bytes in a row are UTF-8 (a sign of its own for each wrong one),
@@ -258,7 +276,7 @@ def encode_and_decode(docs: DataFrame, model: str, added: tuple[int, ...] = (),
                 out = {
                     "doc_id": ([d for d, _ in held], pa.int64()),
                     "n_tokens": (list(map(len, full)), pa.int64()),
-                    "ids_sha256": ([digest(" ".join(map(str, x))) for x in full], pa.string()),
+                    "ids_sha256": ([digest(" ".join(map(own.named.__getitem__, x))) for x in full], pa.string()),
                     "decoded_sha256": (list(map(digest, back)), pa.string()),
                     "agreed": (agreed, pa.bool_()),
                 }

@@ -26,7 +26,7 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import groupby
+from itertools import chain, groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -101,6 +101,24 @@ class Vocabulary:
         return out
 
 
+class Kept(dict):
+    """Ids by part; those that are missing are made, and kept if the part is short. Half of what may be kept is here; what was here
+    before stands in old, and comes back when it is asked for. Tuples of numbers, which the garbage collector needn't visit."""
+
+    def __init__(self, make):
+        self.make, self.old = make, {}
+
+    def __missing__(self, part: str) -> tuple[int, ...]:
+        if (ids := self.old.get(part)) is None:
+            ids = tuple(self.make(part))
+        if len(part) <= KEPT_LENGTH:
+            if len(self) >= KEPT // 2:
+                self.old = dict(self)
+                self.clear()
+            self[part] = ids
+        return ids
+
+
 class Codec:
     """Ids of texts and texts of ids."""
 
@@ -118,8 +136,7 @@ class Codec:
         crossed = any(len(PARTS.findall(p)) > 1 for p in self.merges)
         self.cut = re.compile(".+", re.S) if crossed else PARTS
         self.score = {p: -v.scores[i] for p, i in self.merges.items()}
-        self.young: dict[str, list[int]] = {}
-        self.old: dict[str, list[int]] = {}
+        self.kept = Kept(self.part_ids)
 
     def normalised(self, text: str) -> str:
         return (SPACE if self.vocabulary.prefix and text else "") + text.replace(" ", SPACE)
@@ -133,7 +150,7 @@ class Codec:
         agenda = [score(a + b, NONE) for a, b in zip(symbols, symbols[1:])]
         while agenda and (best := min(agenda)) is not NONE:
             at = agenda.index(best)
-            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+            symbols[at] += symbols.pop(at + 1)
             del agenda[at]
             if at < len(agenda):
                 agenda[at] = score(symbols[at] + symbols[at + 1], NONE)
@@ -176,22 +193,8 @@ class Codec:
                 out.append(i)
         return out
 
-    def _new(self, part: str) -> list[int]:
-        """Ids of a part that the younger half lacks."""
-        if (ids := self.old.get(part)) is None:
-            ids = self.part_ids(part)
-        if len(part) <= KEPT_LENGTH:
-            if len(self.young) >= KEPT // 2:
-                self.old, self.young = self.young, {}
-            self.young[part] = ids
-        return ids
-
     def encode(self, text: str) -> list[int]:
-        out, known = [], self.young.get
-        for part in self.cut.findall(self.normalised(text)):
-            if (ids := known(part)) is None:
-                ids, known = self._new(part), self.young.get
-            out += ids
+        out = list(chain.from_iterable(map(self.kept.__getitem__, self.cut.findall(self.normalised(text)))))
         if not self.bytes and self.unknown in out:  # a run of unknown symbols is one
             out = [i for i, own in groupby(out) for _ in ([0] if i == self.unknown else own)]
         return out

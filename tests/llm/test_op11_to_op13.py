@@ -233,7 +233,7 @@ def test_parts_are_forgotten_by_halves(monkeypatch):
 
     own, library = pieces.Codec(pieces.Vocabulary.load(MODEL)), sentencepiece.SentencePieceProcessor(model_file=MODEL)
     texts = [f"word{chr(97 + i)} {'common ' * (i % 3)}text" for i in range(26)]
-    assert [own.encode(t) for t in texts] == library.encode(texts) and len(own.young) + len(own.old) <= 6
+    assert [own.encode(t) for t in texts] == library.encode(texts) and len(own.kept) + len(own.kept.old) <= 6
 
 
 def test_a_vocabulary_with_pieces_across_is_not_cut():

@@ -1,0 +1,135 @@
+"""Runs that are killed, repeated and resumed: each counts once, and the last reading of a page is what counts."""
+
+import os
+import random
+import signal
+import subprocess
+import sys
+import time
+from pathlib import Path
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from leafline.plans.specs import OFFICES, ResumeSpec
+from leafline.sources import runs
+
+SPEC = OFFICES["zp"]
+SCHEMA = ", ".join(f"{c} string" for c in SPEC.columns) + ", path array<int>, page_no int, row_ord int"
+AGAIN = ResumeSpec({"district": "D2"})
+
+
+def records(spark, rows):
+    """rows: (path, page_no, row_ord, candidate_name)."""
+    row = lambda path, page, n, name: (*[name if c == "candidate_name" else f"D{path[1]}" if c == "district" else f"C{path[-1]}" if c == "number" else "P" if c == "post" else "" for c in SPEC.columns], path, page, n)
+    return spark.createDataFrame([row(*r) for r in rows], SCHEMA)
+
+
+def seen(df):
+    return sorted((r.path, r.page_no, r.row_ord, r.candidate_name, r.run) for r in df.collect())
+
+
+FIRST = [([0, d, c], p, n, "a") for d in (1, 2) for c in (0, 1) for p in (1, 2) for n in (1, 2)]
+SECOND = [([0, d, c], p, n, "b") for d, c in ((2, 1), (3, 0)) for p in (1, 2) for n in (1,)]
+
+
+def test_each_run_counts_once_and_the_last_reading_of_a_page(spark, tmp_path):
+    at = str(tmp_path)
+    runs.write(records(spark, FIRST).repartition(3), SPEC, at, "r1")
+    assert seen(runs.raw(spark, SPEC, at)) == sorted((*r, "r1") for r in FIRST)
+    for _ in range(2):  # whoever doesn't know whether it got through writes it again
+        runs.write(records(spark, SECOND).repartition(3), SPEC, at, "r2", AGAIN)
+    assert seen(runs.raw(spark, SPEC, at)) == sorted([(*r, "r1") for r in FIRST] + [(*r, "r2") for r in SECOND])
+    # A page that was read again with fewer rows has no row of before.
+    kept = [(*r, "r1") for r in FIRST if r[0] != [0, 2, 1]]
+    assert seen(runs.current(spark, SPEC, at)) == sorted(kept + [(*r, "r2") for r in SECOND])
+    runs.write(records(spark, FIRST[:1]), SPEC, at, "r3", ResumeSpec({"post": "P"}))
+    assert seen(runs.raw(spark, SPEC, at)) == [(*FIRST[0], "r3")]  # a fresh run ends all before it
+
+
+def test_only_what_two_runs_may_have_read_is_shuffled(spark, tmp_path):
+    at = str(tmp_path)
+    runs.write(records(spark, FIRST), SPEC, at, "r1")
+    assert "Exchange" not in runs.current(spark, SPEC, at)._jdf.queryExecution().executedPlan().toString()
+    runs.write(records(spark, SECOND), SPEC, at, "r2", AGAIN)
+    assert runs.shared_ranges(runs.manifests(at)) == [([0, 2, 1], [0, 2, 1])]
+    rng = random.Random(4)
+    for _ in range(200):
+        spans = [sorted([[rng.randrange(6)], [rng.randrange(6)]]) for _ in range(rng.randrange(5))]
+        got = runs.shared_ranges([{"rows": 1, "first": a, "last": b} for a, b in spans])
+        for x in range(6):
+            assert any(a <= [x] <= b for a, b in got) == (sum(a <= [x] <= b for a, b in spans) > 1), spans
+
+
+def test_a_run_that_fails_leaves_nothing(spark, tmp_path):
+    at = str(tmp_path)
+    runs.write(records(spark, FIRST), SPEC, at, "r1")
+    bad = records(spark, SECOND).repartition(4).withColumn("remarks", F.when(F.col("page_no") == 2, F.raise_error(F.lit("stop"))).otherwise("x"))
+    for resume in (AGAIN, None):  # a fresh run that fails doesn't end what was there
+        with pytest.raises(PySparkException):
+            runs.write(bad, SPEC, at, "r2", resume)
+        assert seen(runs.current(spark, SPEC, at)) == sorted((*r, "r1") for r in FIRST)
+    runs.write(records(spark, SECOND), SPEC, at, "r2", AGAIN)
+    assert len(seen(runs.raw(spark, SPEC, at))) == len(FIRST) + len(SECOND)
+
+
+def test_what_a_task_wrote_before_it_was_repeated_does_not_count(spark, tmp_path):
+    at = str(tmp_path)
+    batch = records(spark, FIRST).withColumn("run", F.lit("r1")).toArrow().to_batches()
+    writer = runs.RunWriter(at, "r1", True)
+    lost, kept = writer.write(iter(batch)), writer.write(iter(batch))
+    assert lost.file != kept.file and writer.write(iter([])).file is None
+    writer.commit([kept, runs.Written(), None])
+    assert seen(runs.raw(spark, SPEC, at)) == sorted((*r, "r1") for r in FIRST)
+    assert runs.vacuum(at) == [lost.file] and runs.vacuum(at) == []
+    assert len(seen(runs.raw(spark, SPEC, at))) == len(FIRST)
+
+
+KILLED = """
+import sys, time
+from pyspark.sql import SparkSession, functions as F
+from leafline.plans.specs import OFFICES
+from leafline.sources import runs
+sys.path.insert(0, sys.argv[2])
+from test_runs import FIRST, SECOND, SPEC, AGAIN, records
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+slow = F.udf(lambda p: time.sleep(30 if p == 2 else 0) or "x")
+runs.write(records(spark, SECOND).repartition(2, "page_no").withColumn("remarks", slow("page_no")), SPEC, sys.argv[1], "r2", AGAIN)
+"""
+
+
+def test_a_killed_and_repeated_append_gives_the_rows_of_one_run(spark, tmp_path):
+    at = str(tmp_path / "runs")
+    runs.write(records(spark, FIRST), SPEC, at, "r1")
+    before = set(Path(at).rglob("*.parquet"))
+    here = Path(__file__).resolve().parent
+    env = os.environ | {"PYTHONPATH": os.pathsep.join([str(here.parent), str(here), os.environ.get("PYTHONPATH", "")])}
+    run = subprocess.Popen([sys.executable, "-c", KILLED, at, str(here)], env=env, start_new_session=True, stdout=subprocess.DEVNULL, stderr=subprocess.DEVNULL)
+    try:
+        until = time.time() + 90
+        while set(Path(at).rglob("*.parquet")) == before and run.poll() is None and time.time() < until:
+            time.sleep(0.2)
+    finally:
+        os.killpg(run.pid, signal.SIGKILL)
+        run.wait()
+    left = set(Path(at).rglob("*.parquet")) - before
+    assert left  # one task had written when it was killed
+    assert seen(runs.raw(spark, SPEC, at)) == sorted((*r, "r1") for r in FIRST)
+    runs.write(records(spark, SECOND), SPEC, at, "r2", AGAIN)
+    assert seen(runs.raw(spark, SPEC, at)) == sorted([(*r, "r1") for r in FIRST] + [(*r, "r2") for r in SECOND])
+    assert {str(p.relative_to(at)) for p in left} <= set(runs.vacuum(at))
+
+
+def test_where_the_next_run_goes_on(spark, tmp_path):
+    at = str(tmp_path)
+    assert runs.resume_after(spark, SPEC, at) == ResumeSpec() and runs.raw(spark, SPEC, at).count() == 0
+    runs.write(records(spark, FIRST), SPEC, at, "r1")
+    assert runs.resume_after(spark, SPEC, at) == ResumeSpec({"post": "P", "district": "D2", "pradesik": "C1"})
+    runs.write(records(spark, []), SPEC, at, "r2", AGAIN)  # a run without rows
+    assert runs.manifests(at)[-1]["rows"] == 0 and len(seen(runs.current(spark, SPEC, at))) == len(FIRST)
+
+
+def test_options_are_required(spark):
+    with pytest.raises(ValueError, match="path and run"):
+        runs.RunSink({"path": "x"}).writer(None, False)

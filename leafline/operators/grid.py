@@ -21,6 +21,12 @@ def rows(pages: DataFrame) -> DataFrame:
     return out.withColumn("kind", kind).drop("_pager", "page")
 
 
+def data_rows(page: str = "page", page_no: str = "page_no") -> Column:
+    """The data rows of a page as an array, by the rules of rows()."""
+    pager = F.when(F.col(page_no) == 1, pager_row(page)["row_ord"])
+    return F.filter(F.col(f"{page}.grid"), lambda r: F.get(r["cells"], F.lit(0)).isNotNull() & (pager.isNull() | (r["row_ord"] <= pager)))
+
+
 def pager_row(page: str = "page") -> Column:
     """The first row of a page's grid that isn't data and has a table in it, null where there is none."""
     return F.get(F.filter(F.col(f"{page}.grid"), lambda r: F.get(r["cells"], F.lit(0)).isNull() & r["has_table"]), F.lit(0))

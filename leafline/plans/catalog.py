@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from leafline.functions.scalars import constituency_suffix, page_argument, require
 from leafline.operators import expand, extract, grid
+from leafline.operators.order import with_row_number
 from leafline.operators.paginate import follow, leaf_status
 from leafline.plans import render
-from leafline.plans.crawl import combined, crawl, leaves_of
+from leafline.plans.crawl import Progress, combined, crawl, leaves_of
 from leafline.plans.specs import NUMBER_LABEL, OFFICES, SELECT_IDS, STATUS_LABEL, TAIL, ResumeSpec
-from leafline.sources import csv
+from leafline.sources import csv, pages, runs
 from leafline.sources.replay import Replay
 from leafline.sources.storage import materialize, new_path
+from leafline.streaming import leaves as leaf_stream
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -195,7 +197,7 @@ def _expand(office: str):
     spec = OFFICES[office]
 
     def f(spark, sf_dir):
-        leaves, _ = leaves_of(spec, Replay(materialize(render.site(spark, sf_dir, office), "site")), ResumeSpec({"post": START_POST}))
+        leaves, *_ = leaves_of(spec, Replay(materialize(render.site(spark, sf_dir, office), "site")), ResumeSpec({"post": START_POST}))
         return expand.named(leaves, spec.levels).select(*spec.ancestors, "number", "reservation_status")
 
     source = render.LEAF_ROWS[render.CHAINS[office][-1]][0]
@@ -233,7 +235,7 @@ def _latched(start_region: str, start_nation: str):
 
     def f(spark, sf_dir):
         site = materialize(render.site(spark, sf_dir, "mu"), "site")
-        leaves, _ = leaves_of(OFFICES["mu"], Replay(site), ResumeSpec({"post": START_POST, "district": start_region, "block": start_nation}))
+        leaves, *_ = leaves_of(OFFICES["mu"], Replay(site), ResumeSpec({"post": START_POST, "district": start_region, "block": start_nation}))
         return expand.named(leaves, OFFICES["mu"].levels).select("post", "district", "block", "panchayat")
 
     sql = f"""
@@ -255,7 +257,7 @@ QUERIES["resume_cross_parent"], ORACLES["resume_cross_parent"] = _latched("00 -
 @query(f"SELECT c_mktsegment AS post, {_REGION} AS district, {_NATION} AS block, {render.NODES['customer'][1]} AS panchayat FROM {_MU_NODES} WHERE c_mktsegment = (SELECT min(c_mktsegment) FROM customer JOIN orders ON o_custkey = c_custkey)")
 def first_post(spark, sf_dir):
     """Leaves of a run without a start: those of the first post only."""
-    leaves, _ = leaves_of(OFFICES["mu"], Replay(materialize(render.site(spark, sf_dir, "mu"), "site")), ResumeSpec())
+    leaves, *_ = leaves_of(OFFICES["mu"], Replay(materialize(render.site(spark, sf_dir, "mu"), "site")), ResumeSpec())
     return expand.named(leaves, OFFICES["mu"].levels).select("post", "district", "block", "panchayat")
 
 
@@ -331,6 +333,94 @@ def resume_append(spark, sf_dir):
     return csv.read(spark, spec, path)
 
 
+_AGAIN = f"SELECT *, '2' AS run FROM ({_records_sql('ps')}) AS again WHERE district >= '02 - ASIA'"
+
+
+def _two_runs(spark, sf_dir) -> str:
+    """The folder of a full run, which was repeated, and of one that resumes at a district."""
+    path, spec = new_path(spark, "runs"), OFFICES["ps"]
+    whole, again = ResumeSpec({"post": START_POST}), ResumeSpec({"post": START_POST, "district": "02 - ASIA"})
+    site = Replay(materialize(render.site(spark, sf_dir, "ps"), "site"))
+    for run, resume in (("1", whole), ("2", again)):
+        records = materialize(crawl(spec, site, resume).records, "records")
+        for _ in range(2):
+            runs.write(records, spec, path, run, resume)
+    return path
+
+
+@query(f"SELECT *, '1' AS run FROM ({_records_sql('ps')}) AS once UNION ALL {_AGAIN}")
+def runs_raw(spark, sf_dir):
+    """Rows of two runs, each of which was written twice and counts once."""
+    return runs.raw(spark, OFFICES["ps"], _two_runs(spark, sf_dir)).select(*OFFICES["ps"].columns, "run")
+
+
+@query(f"SELECT *, '1' AS run FROM ({_records_sql('ps')}) AS once WHERE district < '02 - ASIA' UNION ALL {_AGAIN}")
+def runs_current(spark, sf_dir):
+    """The last reading of each page that one of two runs read, or both."""
+    return runs.current(spark, OFFICES["ps"], _two_runs(spark, sf_dir)).select(*OFFICES["ps"].columns, "run")
+
+
+@query(
+    f"""
+    SELECT CAST(row_number() OVER (ORDER BY r_regionkey, n_nationkey, c_custkey, rn) AS BIGINT) AS row_no, {_REGION} AS district, {_NATION} AS block, {render.NODES['customer'][1]} AS panchayat, CAST(rn AS STRING) AS sr_no
+    FROM {render.LEAF_ROWS['customer'][0]} WHERE c_mktsegment = '{START_POST}'
+    """
+)
+def record_order(spark, sf_dir):
+    """Each record's place in the order of the pages."""
+    return with_row_number(_crawled(spark, sf_dir, "mu")).select("row_no", "district", "block", "panchayat", "sr_no")
+
+
+@query(f"SELECT * FROM ({_records_sql('zp')}) AS r WHERE district IN ('01 - AMERICA', '03 - EUROPE') AND reservation_status <> 'S1'")
+def pages_filtered(spark, sf_dir):
+    """Records of two districts and of some labels, by a source that fetches nothing of the others."""
+    path = new_path(spark, "landed")
+    pages.land(render.site(spark, sf_dir, "zp"), path)
+    pages.register(spark)
+    found = spark.read.format(pages.FORMAT).option("office", "zp").option("pages", path).option("start_post", START_POST).load()
+    wanted = found.where("district in ('01 - AMERICA', '03 - EUROPE') and reservation_status <> 'S1'")
+    return pages.records(wanted, OFFICES["zp"]).select(*OFFICES["zp"].columns)
+
+
+_MU_LEVELS = (("post", "c_mktsegment"), ("district", "c_mktsegment, r_regionkey"), ("block", "c_mktsegment, n_nationkey"), ("panchayat", "c_custkey"))
+_FAILED_CUSTOMER = "c_custkey % 13 = 0"
+
+
+@query(
+    "SELECT 'landing' AS level, CAST(1 AS BIGINT) AS asked, CAST(0 AS BIGINT) AS failed"
+    + "".join(f" UNION ALL SELECT '{level}', count(DISTINCT ({key})), {f'count(DISTINCT CASE WHEN {_FAILED_CUSTOMER} THEN c_custkey END)' if level == 'panchayat' else '0'} FROM {_MU_NODES} WHERE c_mktsegment = '{START_POST}'" for level, key in _MU_LEVELS)
+)
+def crawl_progress(spark, sf_dir):
+    """How many pages of each level a run asked for, and how many failed, as it tells of them."""
+    key = F.try_element_at("values", F.lit(4))
+    site = materialize(render.site(spark, sf_dir, "mu"), "site").withColumn("status", F.when((F.col("page_no") == 0) & (F.substr(key, F.lit(2)).cast("long") % 13 == 0), 500).otherwise(F.col("status")))
+    told = []
+    leaves_of(OFFICES["mu"], Replay(site), ResumeSpec({"post": START_POST}), progress=Progress(lambda level, n: told.append((level, n["asked"], n["failed"]))))
+    return spark.createDataFrame(told, "level string, asked long, failed long")
+
+
+@query(
+    f"""
+    WITH s AS (SELECT o_custkey, page_no, {_FAILS} AS status FROM {_PAGED}),
+    b AS (SELECT o_custkey, min(page_no) FILTER (status <> 200) AS bad, max(page_no) AS pages FROM s GROUP BY 1)
+    SELECT 'c' || CAST(o_custkey AS STRING) AS leaf, CAST(coalesce(bad - 1, pages) AS BIGINT) AS pages_read, bad IS NULL AS complete FROM b
+    """
+)
+def leaf_stream_outcomes(spark, sf_dir):
+    """What came of each leaf whose pages landed on a stream in no order, some twice; the last landing of all lies days behind, so that leaves
+    with a failed page are given up."""
+    landed = _with_failures(spark, sf_dir).select("values", "page_no", "status", "html", (F.lit(1_700_000_000) + F.pmod(F.xxhash64("values", "page_no"), F.lit(3000))).cast("timestamp").alias("landed"))
+    again = landed.where("page_no % 3 = 1").withColumn("landed", F.col("landed") + F.expr("interval 5 minutes"))
+    path, out, mark = (new_path(spark, x) for x in ("stream-in", "stream-out", "stream-mark"))
+    landed.unionByName(again).repartition(4, F.xxhash64("page_no", "landed")).write.parquet(path)
+    leaf_stream.start(spark, path, out, mark).awaitTermination()
+    late = spark.range(1).select(F.array(F.lit("last")).alias("values"), F.lit(2).alias("page_no"), F.lit(200).alias("status"), F.lit("").alias("html"), F.lit(1_700_900_000).cast("timestamp").alias("landed"))
+    late.write.mode("append").parquet(path)
+    leaf_stream.start(spark, path, out, mark).awaitTermination()
+    got = leaf_stream.outcomes_of(spark.read.schema(leaf_stream.RELEASED).parquet(out))
+    return got.select(F.try_element_at("values", F.lit(-1)).alias("leaf"), "pages_read", "complete")
+
+
 def _combined_sql() -> str:
     every = OFFICES["pa"].columns
     part = lambda o: f"SELECT '{o}' AS office, " + ", ".join(c if c in OFFICES[o].columns else f"CAST(NULL AS STRING) AS {c}" for c in every) + f" FROM ({_records_sql(o)}) AS {o}"

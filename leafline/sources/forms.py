@@ -12,10 +12,15 @@ from http.cookiejar import CookieJar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from leafline.functions import html as H
 from leafline.plans.specs import GRID_ID, SELECT_IDS, STATE_FIELDS, TAIL, OfficeSpec
 
+class FetchFailed(RuntimeError):
+    """A fetch above the grids that failed, in a run that is to end then."""
+
+
 Sender = Callable[[dict[str, str] | None], tuple[int, str]]
 
 
@@ -84,8 +89,8 @@ def shown(html: str, tbody: bool = False) -> tuple[list[list[str | None]], bool,
     return [r["cells"] for r in found if r["cells"][0] is not None], bool(pagers), pagers[0].strip() if pagers else ""
 
 
-def grid_pages(spec: OfficeSpec, send: Sender, state: dict[str, str], values: list[str], strict: bool = True, tbody: bool = False):
-    """(page_no, status, html) of a leaf's pages. Each page is asked for with the state of the one before,
+def grid_pages(spec: OfficeSpec, send: Sender, state: dict[str, str], values: list[str], strict: bool = True, tbody: bool = False, last: int | None = None):
+    """(page_no, status, html) of a leaf's pages, none behind the page last. Each page is asked for with the state of the one before,
     so they come one after another; the first that fails is the last.
 
     The first pager says how many there are. Where it has no number, a strict run raises; any other goes on
@@ -94,21 +99,21 @@ def grid_pages(spec: OfficeSpec, send: Sender, state: dict[str, str], values: li
     the state of the one before is sent again if not strict.
     """
     count, number, before = 0, 1, None
-    while not count or number <= count:
+    while (not count or number <= count) and (last is None or number <= last):
         sent = submit(spec, state, values) if number == 1 else postback(spec, state, values, GRID_ID, f"Page${number}")
         status, html = send(sent)
         if status != 200:
             yield number, status, html
             return
-        rows, has_pager, last = shown(html, tbody)
+        rows, has_pager, shows = shown(html, tbody)
         if not count and number > 1 and rows == before:
             return
         yield number, status, html
         if not count:
-            if not has_pager or last.isdecimal():
-                count = max(number, int(last)) if has_pager else number
+            if not has_pager or shows.isdecimal():
+                count = max(number, int(shows)) if has_pager else number
             elif strict:
-                raise ValueError(f"the pager of {'/'.join(values)} ends with {last!r}, which is no number")
+                raise ValueError(f"the pager of {'/'.join(values)} ends with {shows!r}, which is no number")
         own = page_state(html)
         if own is None and strict:
             raise ValueError(f"page {number} of {'/'.join(values)} has no form state")
@@ -117,7 +122,10 @@ def grid_pages(spec: OfficeSpec, send: Sender, state: dict[str, str], values: li
 
 class Live:
     """Fetches by an open session in each task. parallel bounds how many sessions there are at once; pages
-    that a task has fetched are written before they are used, so a later failure doesn't fetch them again."""
+    that a task has fetched are written before they are used, so a later failure doesn't fetch them again. States are
+    joined to what is about to be fetched, by their digests, and go no further."""
+
+    stateful = True
 
     def __init__(self, spark: SparkSession, session: Callable[[], Sender], parallel: int = 4):
         self.spark, self.session, self.parallel = spark, session, parallel
@@ -132,18 +140,22 @@ class Live:
 
         return self.spark.range(0, 1, 1, 1).mapInArrow(run, "status int, html string")
 
-    def choose(self, frontier: DataFrame, spec: OfficeSpec, depth: int) -> DataFrame:
+    def _sent(self, nodes: DataFrame, states: DataFrame) -> DataFrame:
+        """nodes dealt to as many tasks as there may be sessions, each with the state that it sends as _state."""
+        return nodes.join(states.withColumnRenamed("state", "_state"), "state_id").select(*nodes.columns, "_state").repartition(self.parallel)
+
+    def choose(self, frontier: DataFrame, spec: OfficeSpec, depth: int, states: DataFrame) -> DataFrame:
         session = self.session
 
         def run(batches):
             send = session()
             for batch in batches:
-                got = [send(postback(spec, state, values, spec.targets[depth])) for state, values in zip(batch.column("state").to_pylist(), batch.column("values").to_pylist(), strict=True)]
-                yield batch.append_column("status", pa.array([s for s, _ in got], pa.int32())).append_column("html", pa.array([h for _, h in got], pa.string()))
+                got = [send(postback(spec, state, values, spec.targets[depth])) for state, values in zip(batch.column("_state").to_pylist(), batch.column("values").to_pylist(), strict=True)]
+                yield batch.drop_columns(["_state"]).append_column("status", pa.array([s for s, _ in got], pa.int32())).append_column("html", pa.array([h for _, h in got], pa.string()))
 
-        return frontier.repartition(self.parallel).mapInArrow(run, frontier.schema.add("status", "integer").add("html", "string"))
+        return self._sent(frontier, states).mapInArrow(run, T.StructType([*frontier.schema, T.StructField("status", T.IntegerType()), T.StructField("html", T.StringType())]))
 
-    def grid(self, leaves: DataFrame, spec: OfficeSpec, strict: bool = True, tbody: bool = False) -> DataFrame:
+    def grid(self, leaves: DataFrame, spec: OfficeSpec, strict: bool, tbody: bool, states: DataFrame) -> DataFrame:
         from leafline.operators.extract import parse
         from leafline.sources.storage import materialize
 
@@ -152,12 +164,13 @@ class Live:
         def run(batches):
             send = session()
             for batch in batches:
-                for k, (state, values) in enumerate(zip(batch.column("state").to_pylist(), batch.column("values").to_pylist(), strict=True)):
+                nodes = batch.drop_columns(["_state"])
+                for k, (state, values) in enumerate(zip(batch.column("_state").to_pylist(), batch.column("values").to_pylist(), strict=True)):
                     got = list(grid_pages(spec, send, state, values, strict, tbody))
-                    own = batch.take(pa.array([k] * len(got)))
+                    own = nodes.take(pa.array([k] * len(got)))
                     for name, kind, at in (("page_no", pa.int32(), 0), ("status", pa.int32(), 1), ("html", pa.string(), 2)):
                         own = own.append_column(name, pa.array([g[at] for g in got], kind))
                     yield own
 
-        schema = leaves.schema.add("page_no", "integer").add("status", "integer").add("html", "string")
-        return materialize(leaves.repartition(self.parallel).mapInArrow(run, schema), "grid-pages").withColumn("page", parse("html", tbody))
+        more = [T.StructField("page_no", T.IntegerType()), T.StructField("status", T.IntegerType()), T.StructField("html", T.StringType())]
+        return materialize(self._sent(leaves, states).mapInArrow(run, T.StructType([*leaves.schema, *more])), "grid-pages").withColumn("page", parse("html", tbody))

@@ -23,6 +23,9 @@ class Replay:
     follow). A request that was never landed has no status, one that was landed several times the last answer.
     The planner broadcasts the frontier where it is small and shuffles both by the key where it isn't."""
 
+    #: Whether requests send form states.
+    stateful = False
+
     def __init__(self, pages: DataFrame):
         # Looked for in the keys alone, so that pages without repeats, the usual case, aren't shuffled for it.
         repeated = not pages.groupBy("values", "page_no").count().where("count > 1").isEmpty()
@@ -32,13 +35,13 @@ class Replay:
         """One row, without a status where no landing page is there."""
         return self.pages.where("size(values) = 0 and page_no = 0").agg(F.first("status").alias("status"), F.first("html").alias("html"))
 
-    def choose(self, frontier: DataFrame, spec, depth: int) -> DataFrame:
+    def choose(self, frontier: DataFrame, spec, depth: int, states: DataFrame | None = None) -> DataFrame:
         """frontier with status and html of the page that choosing each node gives."""
         found = self.pages.where(f"page_no = 0 and size(values) = {depth + 1}").drop("page_no")
         return frontier.join(found, "values", "left")
 
-    def grid(self, leaves: DataFrame, spec, strict: bool = True, tbody: bool = False) -> DataFrame:
-        """leaves with page_no, status and html of their pages up to the first that failed."""
+    def grid(self, leaves: DataFrame, spec, strict: bool = True, tbody: bool = False, states: DataFrame | None = None) -> DataFrame:
+        """leaves with page_no, status and page of their pages up to the first that failed."""
         from leafline.operators.paginate import follow
 
         return follow(leaves, self.pages.where("page_no > 0"), strict, tbody)

@@ -11,9 +11,10 @@ from pyspark import cloudpickle
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from leafline.operators import grid
+from leafline.operators import expand, grid
 from leafline.operators.extract import parse
-from leafline.plans.crawl import crawl, in_page_order
+from leafline.operators.paginate import follow
+from leafline.plans.crawl import FetchFailed, Progress, crawl, in_page_order
 from leafline.plans.specs import GRID_ID, NUMBER_LABEL, OFFICES, REQUIRED_LABEL, SELECT_IDS, STATUS_LABEL, TAIL, ResumeSpec
 from leafline.sources import csv, forms, storage
 from leafline.sources.replay import SCHEMA, Replay
@@ -232,6 +233,56 @@ def test_leaves_of_equal_values_have_outcomes_of_their_own(spark):
     assert sorted((r.path, r.pages_read) for r in found.leaves.collect()) == [([0, 0, 0], 1), ([0, 0, 1], 1)]
 
 
+def test_nodes_hold_a_digest_of_their_state(spark, site, monkeypatch):
+    """16 bytes in every node table; the states stand once each and are joined before a fetch."""
+    written = {}
+    keep = lambda df, what="table": written.setdefault(what, storage.materialize(df, what))
+    for module in ("crawl", "expand"):
+        monkeypatch.setattr(f"leafline.{'plans' if module == 'crawl' else 'operators'}.{module}.materialize", keep, raising=False)
+    big = {k: (s, h) for k, (s, h) in SITE.items()}
+    live = crawl(OFFICES["zp"], forms.Live(spark, Site(big), parallel=2), ResumeSpec({"post": "Zila", "district": "D1"}))
+    assert sorted(live.records.collect()) == sorted(crawl(OFFICES["zp"], site).records.collect())
+    nodes = {k: df for k, df in written.items() if k.startswith(("nodes-", "pages-")) and k != "pages-landing"}
+    assert {"nodes-post", "nodes-district", "pages-pradesik"} <= nodes.keys()
+    for df in nodes.values():
+        assert "state" not in df.columns and {len(r.state_id) for r in df.select("state_id").collect()} == {16}
+    opened = written["parsed-post"]
+    assert opened.count() == 1 and written["parsed-district"].select("state_id").distinct().count() == 2
+    assert [r.state.view_state for r in expand.states(opened.union(opened)).collect()] == ["vzila"]
+
+
+def test_a_failed_fetch_ends_a_run_that_is_to_abort(spark, site):
+    with pytest.raises(FetchFailed, match="zila/d1/c2 has status 500"):
+        crawl(OFFICES["zp"], site, abort=True)
+    assert crawl(OFFICES["zp"], site, ResumeSpec({"district": "D2"}), abort=True).records.count() == 1
+    with pytest.raises(FetchFailed, match="landing has status 503"):
+        crawl(OFFICES["zp"], replayed(spark, SITE | {((), 0): (503, "")}), abort=True)
+    # A grid page that fails ends its leaf and not the run.
+    pages = one_leaf(table(person(1), PAGER.format(2))) | {(("zila", "d1", "c1"), 2): (500, "")}
+    assert numbers(crawl(OFFICES["zp"], replayed(spark, pages), abort=True)) == ["sr_no1"]
+
+
+def test_progress_is_told_by_the_jobs_that_fetch(spark, site):
+    told = []
+    found = crawl(OFFICES["zp"], site, progress=Progress(lambda level, n: told.append((level, n["asked"], n["failed"]))))
+    assert told == [("landing", 1, 0), ("post", 1, 0), ("district", 2, 0), ("pradesik", 3, 1)]
+    spark.sparkContext.setJobGroup("counts", "")
+    assert found.records.count() == 5
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("counts"))
+    assert found.seen["records"].get == {"rows": 5} and found.seen["grid"].get == {"asked": 3, "failed": 0}
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("counts")) == jobs  # read without a job
+
+
+def test_every_page_behind_a_dotted_pager_is_parsed_once(spark):
+    site = one_leaf(*[table(person(k), dotted(k, 25)) for k in range(1, 26)])
+    pages = replayed(spark, site).pages.where("page_no > 0")
+    with storage.scratch(spark):
+        found = follow(pages.where("page_no = 1").select("values"), pages, strict=False)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1  # of leaves whose first pager has a number; those with dots are parsed already
+        assert found.count() == 25
+
+
 def test_a_cluster_needs_a_shared_folder():
     none = SimpleNamespace(isDefined=lambda: False)
     spark = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="spark://host:7077", _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: none))))

@@ -15,7 +15,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from leafline.llm import features, graph, jpeg, op1_tokens, op2_sharding, op3_pii, op4_mixing, op5_simhash, op6_quality, op7_packing, op8_rules, op9_media, op10_licenses, words
+from leafline.llm import features, graph, jpeg, near_copies, op1_tokens, op2_sharding, op3_pii, op4_mixing, op5_simhash, op6_quality, op7_packing, op8_rules, op9_media, op10_licenses, words
 from leafline.llm.common import materialize, new_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h string, w string, slot string, label string, grade string"
@@ -426,6 +426,48 @@ def test_near_copies_are_those_of_similar_shingles(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(label))
 
 
+def _closure(sets):
+    label = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if label[i] != label[j] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    return label
+
+
+@pytest.mark.parametrize("block", [6, 512])
+def test_a_family_of_copies_that_are_less_and_less_alike(spark, monkeypatch, block):
+    """Copies of one text and copies of those, so that some are linked to the text, some to each other and some to none."""
+    monkeypatch.setattr(near_copies, "BLOCK", block)
+    rng = random.Random(31)
+    first = [f"w{rng.randrange(5000)}" for _ in range(150)]
+    texts = [first]
+    for _ in range(90):
+        own = list(texts[0] if rng.random() < 0.5 else rng.choice(texts))
+        for i in rng.sample(range(len(own)), rng.choice([1, 2, 4, 5, 6, 8])):
+            own[i] = f"x{rng.randrange(10**6)}"
+        texts.append(own)
+    texts = [" ".join(t) for t in texts]
+    label = _closure([_five(t) for t in texts])
+    assert 10 < len(set(label)) < 85
+    met = []
+    monkeypatch.setattr(near_copies, "across", lambda *a, f=near_copies.across: met.append(f(*a)) or met[-1])
+    kept = op5_simhash.keep_one(table(spark, texts).repartition(5))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(label)) and len(met) == 1 and met[0].count() < len(texts)
+
+
+def test_links_of_a_cell_join_components_and_no_more():
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 1 << 63, 60_000).astype(np.int64)
+    cut = lambda n, extra: np.sort(np.concatenate((base[n:], rng.integers(0, 1 << 63, extra))))
+    own, other = [cut(0, 0), cut(4_000, 0), cut(30_000, 0)], [cut(0, 6_000), cut(4_000, 100), cut(40_000, 5)]
+    got = near_copies.cell_links(own, other, np.array([1, 2, 3]), np.array([4, 5, 6]))
+    near = [(i, j) for i, a in enumerate(own) for j, b in enumerate(other) if 5 * len(np.intersect1d(a, b)) >= 4 * len(np.union1d(a, b))]
+    assert set(got) <= set(near) and len(near) > len(got) == 3  # four components become one
+    assert near_copies.cell_links(own, other, np.array([1, 1, 1]), np.array([1, 1, 1])) == []
+
+
 def test_rows_of_repeated_or_null_doc_ids_stay_or_go_by_their_text(spark):
     rng = random.Random(12)
     one, two, three, four = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(40)) for _ in range(4))

@@ -33,3 +33,16 @@ def rows(batch: pa.RecordBatch, step: int = 512):
 
 def arrow_batch(columns: dict[str, tuple[list | np.ndarray | pa.Array, pa.DataType]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in columns.values()], names=list(columns))
+
+
+def sampled_texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """chosen(_id, ...) with text, the text of docs(doc_id, text) of that doc_id: no more rows than chosen has, which must be
+    bounded, since its ids go to all tasks.
+
+    Of rows that share a doc_id one text counts, that of the least hash, so a doc_id of very many rows brings one; each task
+    keeps one text of a doc_id before any moves.
+    """
+    ids = chosen.select("_id").distinct()
+    found = text_or_empty(docs).join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))
+    one = found.groupBy("_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    return chosen.join(one, "_id")

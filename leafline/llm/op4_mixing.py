@@ -14,7 +14,8 @@ the projection has cut. If targets can't be met exactly the least-squares fit is
 Tokens are those of a byte-level tokenizer, the one that packing uses, without an end id.
 
 Null texts are empty, have no tokens and the classifier's prior as posterior. Repeated rows count as often
-as they come. Without labelled documents, or with one domain only, all rates are one.
+as they come. Without labelled documents, or with one domain only, all rates are one. A text of any length is
+counted and classified whole; texts are encoded in bounded groups. Other columns, of any name, pass through mix().
 """
 
 from __future__ import annotations
@@ -24,11 +25,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafline.llm import features
-from leafline.llm.common import arrow_batch, materialize, read, text_or_empty
+from leafline.llm.common import arrow_batch, materialize, read, sampled_texts, text_or_empty
 from leafline.llm.op7_packing import token_ids
 from leafline.llm.optimise import minimise
 
@@ -37,8 +38,8 @@ TARGETS = {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}
 #: Labelled rows that the classifier is fitted on, at most.
 SAMPLE = 4000
 RIDGE, SCALE = 1e-5, 30.0
-#: Texts of a batch that are encoded together, and bytes of text that a mixed batch holds, or one row.
-TEXTS, BATCH_BYTES = 512, 1 << 24
+#: Bytes of texts that are encoded together, and that a mixed batch holds, or one row.
+TEXT_BYTES, BATCH_BYTES = 1 << 20, 1 << 24
 #: Passes at most, and the relative residual at which the search ends.
 PASSES, CLOSE = 40, 1e-6
 
@@ -81,10 +82,12 @@ def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def classify(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], sample: int = SAMPLE) -> tuple[tuple[str, ...], np.ndarray, np.ndarray]:
-    """(domains, weights, biases). At most sample vectors meet in one task; labelled rows of domains without
-    a target aren't used."""
-    chosen = labelled.where(F.col("domain").isin(*targets)).select(F.col("doc_id").alias("_id"), "domain").orderBy(F.xxhash64("_id"), "_id", "domain").limit(sample)
-    docs = text_or_empty(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("domain", "text")
+    """(domains, weights, biases). At most sample vectors meet in one task: a doc_id has one for each domain that it is labelled
+    with, however often it is repeated. Labelled rows of domains without a target aren't used."""
+    once = labelled.where(F.col("domain").isin(*targets)).select(F.col("doc_id").alias("_id"), "domain").distinct()
+    # Written, so that it is chosen once.
+    chosen = materialize(once.orderBy(F.xxhash64("_id"), "_id", "domain").limit(sample), "mixing-labels")
+    docs = sampled_texts(docs, chosen).select("domain", "text")
 
     def vectors(batches):
         for batch in batches:
@@ -143,18 +146,24 @@ def memberships(docs: DataFrame, weights: np.ndarray, biases: np.ndarray, tokeni
     def run(batches):
         for batch in batches:
             p, n = posteriors(batch.column("text"), weights, biases), []
-            for at in range(0, batch.num_rows, TEXTS):
-                n += [len(ids) for ids in token_ids(batch.column("text").slice(at, TEXTS).to_pylist(), tokenizer)]
+            ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False))
+            cuts = np.flatnonzero(np.diff(ends // TEXT_BYTES, prepend=-1))
+            for at, end in zip(cuts.tolist(), [*cuts[1:].tolist(), batch.num_rows]):
+                n += [len(ids) for ids in token_ids(batch.column("text").slice(at, end - at).to_pylist(), tokenizer)]
             yield arrow_batch({"doc_id": (batch.column("doc_id"), pa.int64()), "n_tokens": (n, pa.int64())} | {c: (p[:, k], pa.float64()) for k, c in enumerate(names)})
 
     return text_or_empty(docs).mapInArrow(run, f"doc_id long, n_tokens long, {', '.join(f'{c} double' for c in names)}")
 
 
-def rate(start: float, steps: tuple[tuple[float, ...], ...]) -> Column:
-    r = F.lit(start)
-    for step in steps:
-        r = F.greatest(F.lit(0.0), r - sum((F.col(f"p{k}") * y for k, y in enumerate(step)), F.lit(0.0)))
-    return r
+def rated(member: DataFrame, mixture: Mixture) -> DataFrame:
+    """member with the rate of each row, folded in the task, so that many steps make no deep expression."""
+
+    def run(batches):
+        for batch in batches:
+            p = np.stack([batch.column(f"p{k}").to_numpy(zero_copy_only=False) for k in range(len(mixture.biases))], axis=1)
+            yield batch.append_column("rate", pa.array(mixture.rates(p), pa.float64()))
+
+    return member.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in member.dtypes) + ", rate double")
 
 
 def solve(member: DataFrame, shares: np.ndarray, total: float | None = None) -> tuple[float, tuple[tuple[float, ...], ...]]:
@@ -259,4 +268,4 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     mixture, member = fit(docs, labelled_domains(docs, read(spark, sf_dir, "labels")), public_tokenizers.path("byte_bpe_50k.json"))
     out = [F.round(f"p{k}", 6).alias(f"share_{d}") for k, d in enumerate(mixture.domains)]
-    return member.select("doc_id", "n_tokens", *out, rate(mixture.start, mixture.steps).alias("rate"))
+    return rated(member, mixture).select("doc_id", "n_tokens", *out, "rate")

@@ -5,10 +5,12 @@ hashed text features is shared by all grades, and ordered thresholds cut it: P(g
 function of score - threshold k. That gives an expected grade and the tail probability of the best grade,
 by which documents are selected.
 
-The model is fitted in one task on a bounded sample of labelled documents, those of the lowest hashes
-of doc_id; their whole texts count. Scoring runs over every row where it lies, without a shuffle. Labels
-without quality are left out, a missing toxic mark counts as none, and of a doc_id's labels all count.
-Where there are no labelled documents, or all have one grade, nothing is rejected. Null texts are empty.
+The model is fitted in one task on a bounded sample of label rows, those of the lowest hashes of doc_id, and the text
+of each one's doc_id: sample vectors at most, however often an id is repeated in either table. Their whole texts count;
+of rows that share a doc_id one. Scoring runs over every row where it lies, without a shuffle. Labels without quality are
+left out, a missing toxic mark counts as none, and of a doc_id's labels all count. Where there are no labelled
+documents, or all have one grade, nothing is rejected. Null texts are empty. A text of any length is scored whole, a
+slice of its words at a time. Only doc_id and text are read of documents, so other columns, of any name, pass through.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafline.llm import features
-from leafline.llm.common import arrow_batch, materialize, read, text_or_empty
+from leafline.llm.common import arrow_batch, materialize, read, sampled_texts, text_or_empty
 from leafline.llm.optimise import minimise
 
 GRADES = 3
@@ -40,8 +42,7 @@ def graded(labels: DataFrame) -> DataFrame:
 
 
 def sample_vectors(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """grade, numbers, shares of each document that has one of the sampled labels: sample rows at most
-    on the broadcast side."""
+    """grade, numbers, shares of the document of each sampled label: sample rows at most."""
     chosen = graded(labels).orderBy(F.xxhash64("_id"), "_id", "grade").limit(sample)
 
     def run(batches):
@@ -49,7 +50,8 @@ def sample_vectors(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
             pairs = features.vectors(batch.column("text"))
             yield arrow_batch({"grade": (batch.column("grade").to_pylist(), pa.int32()), "numbers": ([n.astype(np.int32) for n, _ in pairs], pa.list_(pa.int32())), "shares": ([s.astype(np.float32) for _, s in pairs], pa.list_(pa.float32()))})
 
-    joined = text_or_empty(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("grade", "text")
+    # Written, so that it is chosen once.
+    joined = sampled_texts(docs, materialize(chosen, "quality-labels")).select("grade", "text")
     return joined.mapInArrow(run, "grade int, numbers array<int>, shares array<float>")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from leafline.functions import canonical
 from leafline.functions import html as H
 from leafline.functions.scalars import require
 from leafline.plans.specs import GRID_ID, STATE_FIELDS, TAIL
@@ -67,15 +68,29 @@ def _parser(tbody: bool):
 
     @F.arrow_udf(PAGE)
     def parse(pages: pa.Array) -> pa.Array:
-        return pa.array([_page(p, tbody) for p in pages.to_pylist()], kind)
+        return pa.array([None if p is None else _page(p, tbody) for p in pages.to_pylist()], kind)
 
     # Not to be evaluated again by filters that are pushed below it.
     return parse.asNondeterministic()
 
 
 def parse(html: Column | str, tbody: bool = False) -> Column:
-    """The page struct. tbody: rows within a tbody count as rows of the grid."""
-    return _parser(tbody)(html)
+    """The page struct. tbody: rows within a tbody count as rows of the grid.
+
+    Canonical pages are read by the JVM; the tree parser in Python gets those alone that aren't, and nulls for the others.
+    """
+    html = F.col(html) if isinstance(html, str) else html
+    tree = _parser(tbody)(F.when(~is_native(html), F.coalesce(html, F.lit(""))))
+    native, none = canonical.parts(html), F.lit(None).cast("string")
+    maps = [F.map_from_entries(native[k]).alias(k) for k in ("inputs", "selects", "spans")]
+    own = F.struct(*maps, native["grid"].alias("grid"), none.alias("title"), none.alias("h1"), F.array().cast(T.ArrayType(OPTION)).alias("nav"))
+    # The tree stands in it once: an expression that isn't deterministic is evaluated wherever it stands.
+    return F.coalesce(tree, own.cast(PAGE))
+
+
+def is_native(html: Column | str) -> Column:
+    """Whether a page is read without Python: its share among a table's pages tells what parsing costs."""
+    return F.coalesce(canonical.is_canonical(F.col(html) if isinstance(html, str) else html), F.lit(False))
 
 
 def form_state(page: str = "page", strict: bool = True) -> Column:

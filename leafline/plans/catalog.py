@@ -68,6 +68,14 @@ def option_list_rendered(spark, sf_dir):
     return extract.explode_options(parsed, extract.options(SELECT_IDS["block"])).select("n_regionkey", "pos", "value", "name")
 
 
+@query("SELECT 'raw' AS kind, count(*) AS pages, CAST(0 AS BIGINT) AS without_python FROM pages UNION ALL SELECT 'rendered', count(*), count(*) FROM customer")
+def parser_share(spark, sf_dir):
+    """How many pages of a kind the JVM reads alone: rendered ones all, raw ones with lists and headings none."""
+    raw = _table(spark, sf_dir, "pages").select(F.lit("raw").alias("kind"), "html")
+    rendered = _table(spark, sf_dir, "customer").select(F.lit("rendered").alias("kind"), render.page(F.lit("text"), F.col("c_name")).alias("html"))
+    return raw.union(rendered).groupBy("kind").agg(F.count("*").alias("pages"), F.count_if(extract.is_native("html")).alias("without_python"))
+
+
 @query("SELECT c_custkey, c_custkey % 2 = 0 AS has_block, c_custkey % 3 = 0 AS has_ward FROM customer")
 def select_presence(spark, sf_dir):
     """Which dropdowns a page has."""

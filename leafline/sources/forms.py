@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 from leafline.functions import html as H
 from leafline.plans.specs import GRID_ID, SELECT_IDS, STATE_FIELDS, TAIL, OfficeSpec
+from leafline.sources.pace import Breaker, Pace
+
 
 class FetchFailed(RuntimeError):
     """A fetch above the grids that failed, in a run that is to end then."""
@@ -27,7 +29,9 @@ Sender = Callable[[dict[str, str] | None], tuple[int, str]]
 @dataclass(frozen=True)
 class HttpOptions:
     """url has no default: a live run names its site. retries apply to any scheme; a request that stalls
-    ends after timeout seconds. proxy: for both schemes."""
+    ends after timeout seconds. proxy: for both schemes. pace: when each request may be sent, retries included. failures: after so
+    many requests in a row without an answer or with a server's error, a session sends none for cool seconds at
+    a time and gives status 0 instead, as for a page that can't be had; 0: never."""
 
     url: str
     retries: int = 4
@@ -36,6 +40,9 @@ class HttpOptions:
     encoding: str = "utf-8"
     proxy: str = ""
     headers: dict[str, str] = field(default_factory=dict)
+    pace: Pace | None = None
+    failures: int = 0
+    cool: float = 30.0
 
     def session(self) -> Sender:
         """A function of the parameters (none: a GET) that keeps cookies between its calls."""
@@ -43,17 +50,27 @@ class HttpOptions:
         if self.proxy:
             handlers.append(urllib.request.ProxyHandler({"http": self.proxy, "https": self.proxy}))
         opener = urllib.request.build_opener(*handlers)
+        wait = self.pace.gate() if self.pace else None
+        breaker = Breaker(self.failures, self.cool)
 
         def send(parameters: dict[str, str] | None) -> tuple[int, str]:
             data = None if parameters is None else urllib.parse.urlencode(parameters).encode()
             for attempt in range(self.retries + 1):
+                if not breaker.closed():
+                    return 0, ""
+                if wait:
+                    wait()
                 try:
                     with opener.open(urllib.request.Request(self.url, data, self.headers), timeout=self.timeout) as answer:
-                        return answer.status, answer.read().decode(answer.headers.get_content_charset() or self.encoding, "replace")
+                        got = answer.status, answer.read().decode(answer.headers.get_content_charset() or self.encoding, "replace")
+                    breaker.tell(True)
+                    return got
                 except urllib.error.HTTPError as e:
+                    breaker.tell(e.code < 500)
                     if e.code < 500 or attempt == self.retries:
                         return e.code, ""
                 except OSError:
+                    breaker.tell(False)
                     if attempt == self.retries:
                         return 0, ""
                 time.sleep(self.backoff * 2**attempt)
@@ -123,11 +140,15 @@ def grid_pages(spec: OfficeSpec, send: Sender, state: dict[str, str], values: li
 class Live:
     """Fetches by an open session in each task. parallel bounds how many sessions there are at once; pages
     that a task has fetched are written before they are used, so a later failure doesn't fetch them again. States are
-    joined to what is about to be fetched, by their digests, and go no further."""
+    joined to what is about to be fetched, by their digests, and go no further. Sessions of HttpOptions with a pace need
+    one for as many tasks as parallel, or more."""
 
     stateful = True
 
     def __init__(self, spark: SparkSession, session: Callable[[], Sender], parallel: int = 4):
+        pace = getattr(getattr(session, "__self__", None), "pace", None)
+        if pace and pace.tasks < parallel:
+            raise ValueError(f"the pace is for {pace.tasks} tasks, and {parallel} fetch")
         self.spark, self.session, self.parallel = spark, session, parallel
 
     def landing(self, spec: OfficeSpec) -> DataFrame:

@@ -70,9 +70,8 @@ def _stems(placed: np.ndarray, starts: np.ndarray, size: np.ndarray) -> tuple[np
     return np.concatenate([t for t, _ in found]), np.concatenate([s for _, s in found])
 
 
-def token_features(texts: pa.Array, stems: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(text, hashed, shape, repeats) of each token: its text's number and its features' numbers; then
-    (text, stem) of each stem, none if they aren't asked for."""
+def _tokens(texts: pa.Array) -> Iterator[tuple[np.ndarray, ...]]:
+    """(text, hash, place of the text in the group, start, kind, bytes, placed) of the tokens of each group of texts."""
     texts = texts.cast(pa.large_string())
     offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
     if not len(texts) or offsets[-1] == offsets[0]:
@@ -92,16 +91,29 @@ def token_features(texts: pa.Array, stems: bool = True) -> Iterator[tuple[np.nda
         placed = _PLACED[place & 63, _LOWER[part]]
         hashed = np.add.reduceat(placed, starts)
         hashed ^= hashed >> np.uint64(29)
+        at = np.searchsorted(edges, starts, "right") - 1
+        text = np.array([t for t, _, _ in group], np.int64)[at]
+        yield text, hashed, at, starts, kind, part, placed
+
+
+def hashed_tokens(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(text, hashed) of each token, as token_features gives them, without what that makes besides."""
+    for text, hashed, *_ in _tokens(texts):
+        yield text, (hashed % np.uint64(HASHED)).astype(np.int64)
+
+
+def token_features(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(text, hashed, shape, repeats) of each token: its text's number and its features' numbers; then
+    (text, stem) of each stem."""
+    for text, hashed, at, starts, kind, part, placed in _tokens(texts):
         size = np.add.reduceat((kind > 0).view(np.uint8), starts, dtype=np.int32)
         upper = np.add.reduceat(_UPPER[part].view(np.uint8), starts, dtype=np.int32)
         digits = np.add.reduceat(_DIGIT[part].view(np.uint8), starts, dtype=np.int32)
         three = lambda n: (n > 0).astype(np.int32) + (n == size)
         shape = ((kind[starts] - 1) * 16 + np.minimum(size, 15)) * 9 + three(upper) * 3 + three(digits)
-        at = np.searchsorted(edges, starts, "right") - 1
-        text = np.array([t for t, _, _ in group], np.int64)[at]
         again = np.zeros(len(starts), bool)
         again[1:] = (hashed[1:] == hashed[:-1]) & (at[1:] == at[:-1])
-        token, stem = _stems(placed, starts, size) if stems else (np.zeros(0, np.int64),) * 2
+        token, stem = _stems(placed, starts, size)
         yield text, (hashed % np.uint64(HASHED)).astype(np.int64), HASHED + shape.astype(np.int64), again, text[token], stem
 
 

@@ -65,7 +65,7 @@ def posteriors(texts: pa.Array, weights: np.ndarray, biases: np.ndarray) -> np.n
     """Posterior by domain of each text."""
     tokens = np.zeros(len(texts), np.int64)
     total = np.zeros((len(texts), weights.shape[1]))
-    for text, hashed, *_ in features.token_features(texts, stems=False):
+    for text, hashed in features.hashed_tokens(texts):
         tokens += np.bincount(text, minlength=len(texts))
         for c in range(weights.shape[1]):
             total[:, c] += np.bincount(text, weights[hashed, c], len(texts))

@@ -33,3 +33,10 @@ def present(values: Column | str) -> Column:
 def require(value: Column, what: str) -> Column:
     """value, or an error that names what is missing."""
     return F.when(value.isNotNull(), value).otherwise(F.raise_error(F.lit(f"missing {what}")))
+
+
+def markup_decoded(text: Column) -> Column:
+    """Text of a page with the three references of markup signs decoded; all others, and those that are cut short, stay as they stand."""
+    for code, sign in (("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        text = F.replace(text, F.lit(code), F.lit(sign))
+    return text

@@ -88,6 +88,17 @@ def parse(html: Column | str, tbody: bool = False) -> Column:
     return F.coalesce(tree, own.cast(PAGE))
 
 
+def heading(html: Column | str) -> Column:
+    """A page's first h1 that has text of its own: its first text node, with character references as they stand in the page."""
+
+    @F.arrow_udf(T.StringType())
+    def read(pages: pa.Array) -> pa.Array:
+        found = (H.first(texts[0] for e in H.tree(p, decode=str).walk() if e.tag == "h1" and (texts := e.texts())) for p in pages.to_pylist())
+        return pa.array(list(found), pa.string())
+
+    return read.asNondeterministic()(F.col(html) if isinstance(html, str) else html)
+
+
 def is_native(html: Column | str) -> Column:
     """Whether a page is read without Python: its share among a table's pages tells what parsing costs."""
     return F.coalesce(canonical.is_canonical(F.col(html) if isinstance(html, str) else html), F.lit(False))

@@ -32,6 +32,16 @@ def test_query(spark, sql, name):
     assert rows or name == "resume_cross_parent"
 
 
+def test_headings_keep_references_that_the_sql_keeps(spark, tmp_path):
+    heads = ["a &quot;b&quot; &#x27;c&#x27;", "cut &amp;&amp", "cut &am", "&amp;lt; &lt;b&gt;", "plain", "&eacute; &ltx"]
+    pages = spark.createDataFrame([(k, f"<html><head></head><body><h1>{h}</h1><p>x</p></body></html>") for k, h in enumerate(heads)], "page_id long, html string")
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = con.sql(f"SELECT page_id, heading FROM ({catalog.ORACLES['label_required']}) ORDER BY 1").fetchall()
+    assert [tuple(r) for r in catalog.QUERIES["label_required"](spark, str(tmp_path)).orderBy("page_id").collect()] == want
+
+
 def test_entry_has_rows(spark):
     import __spark_entry__
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +42,9 @@ class Leaf(StatefulProcessor):
         self.ahead = handle.getMapState("ahead", "page_no int", "status int, landed long, pages int, rows string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        next_, pages, wake, ended = self.place.get() if self.place.exists() else (1, None, None, False)
+        # A leaf that is new holds nothing: each question to the state is a message to the JVM, so it is asked none.
+        place = self.place.get()
+        next_, pages, wake, ended = place or (1, None, None, False)
         latest, came, was_complete = 0, {}, pages is not None and next_ > pages
         for frame in rows:
             for r in frame.itertuples(index=False):
@@ -50,28 +53,43 @@ class Leaf(StatefulProcessor):
                 new = (int(r.status), landed, None if pd.isna(r.pages) else int(r.pages), r.rows)
                 if r.page_no >= next_ and (r.page_no not in came or self._before(came[r.page_no], new)):
                     came[int(r.page_no)] = new
-        for page_no, new in came.items():
-            held = self.ahead.getValue((page_no,))
-            if held is None or self._before(tuple(held), new):
-                self.ahead.updateValue((page_no,), new)
+        arrived, stored = bool(came), set()
+        if place:
+            for page_no, new in came.items():
+                if (held := self.ahead.getValue((page_no,))) is not None:
+                    stored.add(page_no)
+                    if not self._before(tuple(held), new):
+                        came[page_no] = tuple(held)
         out = []
-        while (pages is None or next_ <= pages) and (held := self.ahead.getValue((next_,))) is not None and held[0] == 200:
-            pages = held[2] if next_ == 1 else pages
-            out.append((key[0], next_, held[3], None, None, latest))
-            self.ahead.removeKey((next_,))
+        while pages is None or next_ <= pages:
+            page = came.get(next_)
+            if page is None and place and (held := self.ahead.getValue((next_,))) is not None:
+                stored.add(next_)
+                page = tuple(held)
+            if page is None or page[0] != 200:
+                break
+            pages = page[2] if next_ == 1 else pages
+            out.append((key[0], next_, page[3], None, None, latest))
+            came.pop(next_, None)
+            if next_ in stored:
+                self.ahead.removeKey((next_,))
             next_ += 1
+        # Only what lands ahead of its turn is kept.
+        for page_no, page in came.items():
+            self.ahead.updateValue((page_no,), page)
         complete = pages is not None and next_ > pages
         if complete and not was_complete:
             out.append((key[0], None, None, pages, True, latest))
         # Pages that change nothing, of a leaf that has ended, don't put off that it is forgotten.
-        if came or not ended:
+        if arrived or not ended:
             ended = complete
             if wake is not None:
                 self.handle.deleteTimer(wake)
             wake = latest + (self.forget if ended else self.give_up)
             self.handle.registerTimer(wake)
             self.place.update((next_, pages, wake, ended))
-        yield self._frame(out)
+        if out:
+            yield self._frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         next_, pages, wake, ended = self.place.get()
@@ -83,7 +101,8 @@ class Leaf(StatefulProcessor):
             out.append((key[0], None, None, next_ - 1, False, wake))
             self.handle.registerTimer(wake + self.forget)
             self.place.update((next_, pages, wake + self.forget, True))
-        yield self._frame(out)
+        if out:
+            yield self._frame(out)
 
     def close(self) -> None:
         pass
@@ -95,8 +114,9 @@ class Leaf(StatefulProcessor):
 
     @staticmethod
     def _frame(out: list[tuple]) -> pd.DataFrame:
-        frame = pd.DataFrame(out, columns=["leaf", "page_no", "rows", "pages_read", "complete", "at"])
-        return frame.astype({"page_no": "Int32", "pages_read": "Int64", "complete": "boolean"}).assign(at=pd.to_datetime(frame["at"].astype("int64"), unit="ms"))
+        leaf, page_no, rows, pages_read, complete, at = zip(*out, strict=True)
+        typed = {"page_no": pd.array(page_no, "Int32"), "pages_read": pd.array(pages_read, "Int64"), "complete": pd.array(complete, "boolean")}
+        return pd.DataFrame({"leaf": leaf, "page_no": typed["page_no"], "rows": rows, "pages_read": typed["pages_read"], "complete": typed["complete"], "at": np.array(at, "datetime64[ms]")})
 
 
 def pages_of(landed: DataFrame, tbody: bool = False) -> DataFrame:

@@ -366,3 +366,14 @@ def test_landing_pages_as_a_data_source(spark):
     assert [(r.status, r.html) for r in got] == [(0, "")] * 2
     with pytest.raises(ValueError, match="url"):
         FormPageReader({})
+
+
+def test_pages_are_never_broadcast_however_small_they_are_written(spark):
+    pages = spark.createDataFrame([(["a"], n, 200, table(person(n))) for n in (1, 2)], "values array<string>, page_no int, status int, html string")
+    leaves = pages.where("page_no = 1").select("values")
+    from leafline.operators import paginate
+
+    for joined in (paginate._later(leaves.withColumn("_pages", F.lit(2)), pages), paginate.page_by_page(leaves, pages)[0], paginate.follow(leaves, pages)):
+        joins = [line for line in joined._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line and "page_no" in line]
+        assert all("strategy=merge" in line for line in joins)
+    assert "strategy=merge" in paginate._later(leaves.withColumn("_pages", F.lit(2)), pages)._jdf.queryExecution().optimizedPlan().toString()

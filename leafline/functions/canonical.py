@@ -1,13 +1,13 @@
 """Pages of canonical markup read by the JVM alone: proof that a page is canonical, and its struct.
 
-A page is canonical if nothing is left of it but text and wrapper tags once the constructs below have been taken out, each
-of which is closed in itself and holds nothing else: cells, options, rows, the pager, the grid's table, hidden inputs, spans
-and dropdowns. Tags and attributes are then in lower case with double quotes, no element is left open and none is repaired,
+A page is canonical if it is a run of text, wrapper tags and the constructs below, each of which is closed in itself and holds
+nothing else: the grid's table with rows of cells and a pager, hidden inputs, spans and dropdowns of options. Tags and attributes
+are then in lower case with double quotes, no element is left open and none is repaired,
 so that patterns and a tree can't differ. Character references other than the four of ENTITIES, a second grid, an id that two elements have, other
 elements (paragraphs, lists, scripts, comments, ...) and rows of very many cells make a page uncanonical: a tree is for those.
 
-Constructs that may be repeated without bound are replaced one by one and then counted as single signs, since Java's patterns recurse
-where a group is repeated.
+One pattern is the proof, in one pass. What may be repeated without bound is repeated possessively: Java's patterns recurse where a
+group may be given back, and loop where it may not.
 """
 
 from __future__ import annotations
@@ -18,45 +18,32 @@ from pyspark.sql import functions as F
 from leafline.plans.specs import GRID_ID, TAIL
 
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&"))
+#: Text, and what stands between the quotes of an attribute: no control signs, and no references but ENTITIES.
+TEXT = r"[^<&\x01-\x06]*+(?:&(?:amp|lt|gt|quot);[^<&\x01-\x06]*+)*+"
+VALUE = r'[^"<>&\x01-\x06]*+(?:&(?:amp|lt|gt|quot);[^"<>&\x01-\x06]*+)*+'
 #: Attributes of a tag; without an id.
-A = r'(?:\s[a-z-]+="[^"<>]*")*'
-B = r'(?:\s(?!id=)[a-z-]+="[^"<>]*")*'
-CELL = rf"<td{A}>(?:<font{A}>([^<]*)</font>)?</td>"
-LINK = rf"<td{A}>(?:<a{A}><font{A}>[^<]*</font></a>|<span{B}><font{A}>[^<]*</font></span>)</td>"
-HEADING = rf"<th{A}>[^<]*</th>"
-OPTION = rf"<option{A}>[^<]*</option>"
+A = rf'(?:\s[a-z-]++="{VALUE}")*+'
+B = rf'(?:\s(?!id=)[a-z-]++="{VALUE}")*+'
+CELL = rf"<td{A}>(?:<font{A}>({TEXT})</font>)?+</td>"
+LINK = rf"<td{A}>(?:<a{A}><font{A}>{TEXT}</font></a>|<span{B}><font{A}>{TEXT}</font></span>)</td>"
+HEADING = rf"<th{A}>{TEXT}</th>"
+OPTION = rf"<option{A}>{TEXT}</option>"
 INPUT = rf"<input{A}\s?/?>"
-SPAN = rf"<span{A}>[^<]*</span>"
+SPAN = rf"<span{A}>{TEXT}</span>"
 TABLE = rf'<table{B} id="{GRID_ID}"{B}>'
-WRAPPER = rf"</?(?:html|body|form|div|center){A}>|<!DOCTYPE [^<>]*>"
-#: Signs that stand for a cell, a link of the pager, a heading, an option, a row, a pager. Pages that have them are uncanonical.
-CELL_, LINK_, HEADING_, OPTION_, ROW_, PAGER_ = "\x01", "\x02", "\x03", "\x04", "\x05", "\x06"
+WRAPPER = rf"</?(?:html|body|form|div|center){A}>|<!DOCTYPE [^<>&\x01-\x06]*+>"
 #: Cells and white space of a row at most.
 WIDTH = 400
-
-
-def _without(text: Column, *steps: tuple[str, str]) -> Column:
-    for pattern, sign in steps:
-        text = F.regexp_replace(text, F.lit(pattern), F.lit(sign))
-    return text
+ROW = rf"<tr{A}>(?:\s|{CELL}){{0,{WIDTH}}}+</tr>"
+PAGER = rf"<tr{A}>\s*+<td{A}>\s*+<table{B}>\s*+<tr{A}>(?:\s|{LINK}){{1,{WIDTH}}}+</tr>\s*+</table>\s*+</td>\s*+</tr>"
+GRID = rf"{TABLE}\s*+(?:<tr{A}>(?:\s|{HEADING}){{1,{WIDTH}}}+</tr>)?+(?:\s|{ROW}|{PAGER})*+</table>"
+SELECT = rf"<select{A}>(?:\s|{OPTION})*+</select>"
+OTHERS = rf"(?:[^<&\x01-\x06]++|&(?:amp|lt|gt|quot);|{SELECT}|{SPAN}|{INPUT}|{WRAPPER})*+"
+CANONICAL = rf"\A{OTHERS}(?:{GRID}{OTHERS})?+\z"
 
 
 def is_canonical(html: Column) -> Column:
-    rest = _without(
-        html,
-        (CELL, CELL_),
-        (LINK, LINK_),
-        (HEADING, HEADING_),
-        (OPTION, OPTION_),
-        (rf"<tr{A}>[\s{CELL_}]{{0,{WIDTH}}}</tr>", ROW_),
-        (rf"<tr{A}>\s*<td{A}>\s*<table{B}>\s*<tr{A}>[\s{LINK_}]{{1,{WIDTH}}}</tr>\s*</table>\s*</td>\s*</tr>", PAGER_),
-        (rf"{TABLE}\s*(?:<tr{A}>[\s{HEADING_}]{{1,{WIDTH}}}</tr>)?[\s{ROW_}{PAGER_}]*</table>", ""),
-        (rf"<select{A}>[\s{OPTION_}]*</select>|{SPAN}|{INPUT}|{WRAPPER}", ""),
-    )
-    plain = ~F.rlike(html, F.lit("[\x01-\x06]")) & (F.regexp_count(html, F.lit(f'id="{GRID_ID}"')) <= 1)
-    known = F.regexp_count(html, F.lit("&")) == F.regexp_count(html, F.lit("&(?:amp|lt|gt|quot);"))
-    # A sign that is left is a row or an option in no table or dropdown.
-    return html.isNotNull() & plain & known & ~F.rlike(rest, F.lit("[<\x01-\x06]")) & _unique_ids(html)
+    return html.isNotNull() & F.rlike(html, F.lit(CANONICAL)) & _unique_ids(html)
 
 
 def _let(value: Column, use) -> Column:
@@ -70,9 +57,10 @@ def _unique_ids(html: Column) -> Column:
 
 
 def _decoded(text: Column) -> Column:
+    out = text
     for code, sign in ENTITIES:
-        text = F.replace(text, F.lit(code), F.lit(sign))
-    return text
+        out = F.replace(out, F.lit(code), F.lit(sign))
+    return F.when(text.contains("&"), out).otherwise(text)
 
 
 def _text(text: Column) -> Column:
@@ -82,8 +70,8 @@ def _text(text: Column) -> Column:
 
 def _attribute(tag: Column, name: str) -> Column:
     """Of the first tag in it, null where there is none."""
-    pattern = F.lit(rf'^<[a-z]+{A}\s{name}="')
-    return F.when(F.rlike(tag, pattern), _decoded(F.regexp_extract(tag, rf'^<[a-z]+(?:\s(?!{name}=)[a-z-]+="[^"<>]*")*\s{name}="([^"]*)"', 1)))
+    pattern = F.lit(rf'^<[a-z]+(?:\s(?!{name}=)[a-z-]++="[^"<>]*+")*+\s{name}="')
+    return F.when(F.rlike(tag, pattern), _decoded(F.regexp_extract(tag, rf'^<[a-z]+(?:\s(?!{name}=)[a-z-]++="[^"<>]*+")*+\s{name}="([^"]*)"', 1)))
 
 
 def _inner(element: Column) -> Column:
@@ -114,8 +102,7 @@ def parts(html: Column) -> dict[str, Column]:
     """Of a canonical page: entries of inputs, spans and selects, and the grid."""
     find = lambda pattern: F.regexp_extract_all(html, F.lit(pattern), F.lit(0))
     table = F.regexp_extract(html, rf"(?s){TABLE}(.*)</table>", 1)
-    pager = rf"\s*<td{A}>\s*<table{B}>\s*<tr{A}>(?:\s*{LINK})+\s*</tr>\s*</table>\s*</td>\s*"
-    row = rf"<tr{A}>(?:{pager}|(?:\s*{HEADING})+\s*|(?:\s*{CELL})*\s*)</tr>"
+    row = rf"{ROW}|{PAGER}|<tr{A}>(?:\s|{HEADING})++</tr>"
     rows = F.regexp_extract_all(table, F.lit(row), F.lit(0))
     return {
         "inputs": _entries(find(INPUT), lambda e: _attribute(e, "value")),

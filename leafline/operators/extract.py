@@ -74,15 +74,16 @@ def _parser(tbody: bool):
     return parse.asNondeterministic()
 
 
-def parse(html: Column | str, tbody: bool = False) -> Column:
-    """The page struct. tbody: rows within a tbody count as rows of the grid.
+def parse(html: Column | str, tbody: bool = False, only_grid: bool = False) -> Column:
+    """The page struct. tbody: rows within a tbody count as rows of the grid. only_grid: nothing but the grid is asked for, and
+    what else a page has may be missing.
 
     Canonical pages are read by the JVM; the tree parser in Python gets those alone that aren't, and nulls for the others.
     """
     html = F.col(html) if isinstance(html, str) else html
     tree = _parser(tbody)(F.when(~is_native(html), F.coalesce(html, F.lit(""))))
     native, none = canonical.parts(html), F.lit(None).cast("string")
-    maps = [F.map_from_entries(native[k]).alias(k) for k in ("inputs", "selects", "spans")]
+    maps = [(F.lit(None) if only_grid else F.map_from_entries(native[k])).alias(k) for k in ("inputs", "selects", "spans")]
     own = F.struct(*maps, native["grid"].alias("grid"), none.alias("title"), none.alias("h1"), F.array().cast(T.ArrayType(OPTION)).alias("nav"))
     # The tree stands in it once: an expression that isn't deterministic is evaluated wherever it stands.
     return F.coalesce(tree, own.cast(PAGE))

@@ -16,7 +16,7 @@ SHUFFLED = "merge"
 
 def _parsed(pages: DataFrame, tbody: bool) -> DataFrame:
     """pages with page, null where the fetch failed, in the place of html."""
-    return pages.withColumn("page", F.when(F.col("status") == 200, parse("html", tbody))).drop("html")
+    return pages.withColumn("page", F.when(F.col("status") == 200, parse("html", tbody, only_grid=True))).drop("html")
 
 
 def page_by_page(leaves: DataFrame, pages: DataFrame, tbody: bool = False) -> tuple[DataFrame, DataFrame]:

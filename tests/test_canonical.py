@@ -138,3 +138,17 @@ def test_pagers_stay_short_and_the_site_is_written_once(spark, tmp_path):
     assert sorted(r.page_no for r in grids) == list(range(1, 151)) and max(r.links for r in grids) <= 11 and {r["last"] for r in grids} == {"150"}
     assert site.where("page_no = 0").count() == 4  # a list for each of three levels, and the labels
     assert all(f.endswith(".parquet") for f in site.inputFiles())
+
+
+def test_a_tag_that_is_cut_by_a_grid_is_left_to_the_tree(spark):
+    """What stands on both sides of a construct is never put together to a tag."""
+    page = f'<html><body><sp<table id="{GRID_ID}"></table>an id="a">x</span></body></html>'
+    got = spark.createDataFrame([(page,)], "html string").select(extract.is_native("html").alias("native"), extract.parse("html").alias("page")).first()
+    assert not got.native and plain(got.page) == as_tree(page)
+
+
+def test_a_page_that_is_asked_for_its_grid_alone_gives_the_same_grid(spark):
+    pages = [f'<div><span id="s">x</span><table id="{GRID_ID}"><tr><th>h</th></tr><tr><td><font>a &amp; b</font></td><td></td></tr></table></div>', f'<p><table id="{GRID_ID}"><tr><th>h</th></tr><tr><td><font>a</font></td></tr></table>']
+    got = spark.createDataFrame([(p,) for p in pages], "html string").select("html", extract.parse("html", only_grid=True).alias("page")).collect()
+    assert [plain(r.page)["grid"] for r in got] == [as_tree(r.html)["grid"] for r in got]
+    assert [plain(r.page)["spans"] for r in got if "<p>" not in r.html] == [None]

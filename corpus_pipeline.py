@@ -18,7 +18,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8), the one of the smallest doc_id."""
+    """One document of each group of near copies (five-word shingles, similarity 0.8), the one of the smallest doc_id: op5's links of
+    fingerprints propose them, bands of min-wise hashes those that are further apart, and shingle sets decide."""
     return op5_simhash.keep_one(docs)
 
 

@@ -23,7 +23,7 @@ STEM_BYTES = (4, 5, 6)
 SIZE = STEMS + HASHED
 DAMP = 50
 #: Bytes of text that are looked at together.
-STEP = 1 << 20
+STEP = 1 << 18
 
 _BYTES = np.arange(256)
 _SPACE = ((_BYTES >= 9) & (_BYTES <= 13)) | (_BYTES == 32)

@@ -1,9 +1,10 @@
 """One row of each group of near copies: five-word shingles with a Jaccard similarity of 0.8 or more.
 
-Texts of equal shingle sets are one node. Min-wise hashes in bands of a few rows propose pairs of nodes,
-and only pairs whose shingle sets have the similarity are linked. Two sets of similarity s share no band
-with probability (1 - s ** ROWS) ** BANDS, 3e-5 at 0.8. (Single bits of a SimHash tell too little
-there: such pairs are up to 12 of 64 bits apart, and a covering family of that radius has 8191 tables.)
+Texts of equal shingle sets are one node. The caller's fingerprints propose pairs of nodes: texts that its links put into one
+component meet in a bucket. Pairs of similarity 0.8 can be up to 12 of a SimHash's 64 bits apart, where a covering family has 8191
+tables; so min-wise hashes in bands of a few rows propose those that fingerprints leave apart. Two sets of similarity s share no
+band with probability (1 - s ** ROWS) ** BANDS, 3e-5 at 0.8. Whoever proposes a pair, only one whose shingle sets have the
+similarity is linked.
 
 A bucket of at most CROWD nodes proposes all its pairs. In a larger one every node first meets the bucket's centre,
 the node whose bands are the most frequent ones: copies of one text have that text or a close copy as the centre of all
@@ -19,6 +20,8 @@ number, so that repeated or null doc_ids name no row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -63,18 +66,19 @@ def _text(df: DataFrame) -> DataFrame:
     return df.select(F.col("_row").alias("doc_id"), F.coalesce("doc.text", F.lit("")).alias("text"))
 
 
-def _prints(df: DataFrame) -> DataFrame:
+def _prints(df: DataFrame, fingerprint: Callable[[bytes], int]) -> DataFrame:
     def run(batches):
         for batch in batches:
-            ids, sets, keys = [], [], []
+            ids, sets, keys, fps = [], [], [], []
             for row, text in rows(batch):
                 own = shingles(text)
                 ids.append(row)
                 sets.append(xxhash.xxh3_128_digest(own.tobytes()))
                 keys.append(bands(own).view(np.int64) if len(own) else np.zeros(0, np.int64))
-            yield arrow_batch({"row": (ids, pa.int64()), "same": (sets, pa.binary()), "bands": (keys, pa.list_(pa.int64()))})
+                fps.append(fingerprint(text))
+            yield arrow_batch({"row": (ids, pa.int64()), "same": (sets, pa.binary()), "bands": (keys, pa.list_(pa.int64())), "fp": (np.array(fps, np.uint64).view(np.int64), pa.int64())})
 
-    return _text(df).mapInArrow(run, "row long, same binary, bands array<long>")
+    return _text(df).mapInArrow(run, "row long, same binary, bands array<long>, fp long")
 
 
 def _sets(df: DataFrame) -> DataFrame:
@@ -161,9 +165,15 @@ def across(crowded: DataFrame, label: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.unionByName(columns).groupBy("centre", "r", "c").applyInArrow(meet, "u long, v long")
 
 
-def links(nodes: DataFrame, numbered: DataFrame) -> DataFrame:
-    """Pairs of nodes whose closure is that of all pairs that share a band and have the similarity."""
-    keyed = nodes.select("node", F.posexplode("bands").alias("t", "key"))
+def _fingerprinted(prints: DataFrame, nodes: DataFrame, grouped: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """node, t, key: of each node with words, the components of its texts' fingerprints, as one more table of buckets."""
+    own = prints.where("size(bands) > 0").select("same", "fp").distinct()
+    label = grouped(own.select("fp").distinct()).select("fp", "label")
+    return own.join(label, "fp").join(nodes.select("same", "node"), "same").select("node", F.lit(BANDS).alias("t"), F.col("label").alias("key")).distinct()
+
+
+def links(keyed: DataFrame, numbered: DataFrame) -> DataFrame:
+    """Pairs of nodes of keyed(node, t, key) whose closure is that of all pairs that share a bucket (t, key) and have the similarity."""
     buckets = materialize(keyed.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1"), "copies-buckets")
     met = materialize(keyed.join(buckets, ["t", "key"]), "copies-met")
     few = met.where(f"n <= {CROWD}").groupBy("t", "key").agg(F.collect_list("node").alias("all"))
@@ -183,13 +193,15 @@ def links(nodes: DataFrame, numbered: DataFrame) -> DataFrame:
     return found.union(materialize(across(crowded, components(found), sets), "copies-across"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """Of each group of near copies the row of the smallest doc_id, all columns kept; null doc_ids come last."""
+def keep_one(docs: DataFrame, fingerprint: Callable[[bytes], int], grouped: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Of each group of near copies the row of the smallest doc_id, all columns kept; null doc_ids come last.
+    fingerprint: 64 bits of a text. grouped: fp and label of each of distinct fingerprints (fp), equal for those that it links."""
     # The row in one struct, so that its columns clash with no others.
     numbered = materialize(docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")), "copies-rows")
-    prints = materialize(_prints(numbered), "copies-prints")
+    prints = materialize(_prints(numbered, fingerprint), "copies-prints")
     nodes = materialize(prints.groupBy("same").agg(F.min("row").alias("node"), F.first("bands").alias("bands")), "copies-nodes")
-    label = components(links(nodes, numbered))
+    marked = materialize(_fingerprinted(prints, nodes, grouped), "copies-fingerprints")
+    label = components(links(nodes.select("node", F.posexplode("bands").alias("t", "key")).union(marked), numbered))
     named = materialize(nodes.select("same", "node").join(label, "node", "left").select("same", F.coalesce("label", "node").alias("label")), "copies-labels")
     ids = numbered.select(F.col("_row").alias("row"), F.col("doc.doc_id").cast("long").alias("id"))
     chosen = prints.select("row", "same").join(named, "same").join(ids, "row").groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).getField("row").alias("_row"))

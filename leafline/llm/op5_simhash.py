@@ -18,9 +18,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leafline.llm import near_copies
 from leafline.llm.common import arrow_batch, materialize, read, rows, text_or_empty
 from leafline.llm.graph import components
-from leafline.llm.near_copies import keep_one  # noqa: F401
 
 RADIUS = 2
 SEED = 42
@@ -87,13 +87,23 @@ def links(distinct: DataFrame) -> DataFrame:
     return pairs.union(stars).distinct()
 
 
+def grouped(distinct: DataFrame) -> DataFrame:
+    """distinct(fp, ...), each fingerprint once, with label: equal for those that links within the radius lead to."""
+    label = components(links(distinct))
+    return distinct.join(label, distinct.fp == label.node, "left").select(*distinct.columns, F.coalesce("label", "fp").alias("label"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """Of each group of near copies the row of the smallest doc_id. Components of fingerprints are checked by the texts' shingle
+    sets, and min-wise bands bring together what differs in more bits than the radius."""
+    return near_copies.keep_one(docs, simhash, grouped)
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fp, component_id of every row. Equal fingerprints are grouped before anything is compared."""
     prints = materialize(fingerprints(docs), "simhash-prints")
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
-    label = components(links(distinct))
-    named = distinct.join(label, distinct.fp == label.node, "left").select("fp", "first_id", F.coalesce("label", "fp").alias("label"))
-    named = materialize(named, "simhash-labels")
+    named = materialize(grouped(distinct), "simhash-labels")
     ids = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
     return prints.join(named.join(ids, "label").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 

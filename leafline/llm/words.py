@@ -20,8 +20,8 @@ _SIGNS = {b: b for b in _SHOWN} | {b: 256 + k for k, b in enumerate(b for b in r
 SPACE = chr(_SIGNS[32])
 #: A word of Latin letters and the punctuation behind it: a piece each for the merges, in any version of Unicode.
 _WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ſ]+)([.,;:!?]*)")
-#: Parts and their length that are kept in a worker at most: about 300 MB.
-KEPT, KEPT_LENGTH = 1 << 20, 64
+#: Parts and their length that are kept in a worker at most: about 150 MB.
+KEPT, KEPT_LENGTH = 1 << 19, 64
 #: Signs that some version of Unicode counted as white space are never cut at.
 _CUT = re.compile(" (?=[^\\s᠎​⁠﻿])(?<=[^\\s᠎​⁠﻿] )")
 

@@ -477,6 +477,18 @@ def test_a_family_of_copies_that_are_less_and_less_alike(spark, monkeypatch, blo
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(label)) and len(met) == 1 and met[0].count() < len(texts)
 
 
+def test_fingerprints_propose_near_copies_and_shingles_decide(spark, monkeypatch):
+    """Without any band: texts whose fingerprints are within the radius are linked, if their shingle sets are alike."""
+    monkeypatch.setattr(near_copies, "bands", lambda own: np.array([len(own)], np.uint64))  # sets of different sizes share no bucket
+    rng = random.Random(5)
+    words = [f"w{rng.randrange(5000)}" for _ in range(6000)]
+    texts = [" ".join(words), " ".join(["x1", *words]), "one two three", " ".join(rng.sample(words, 3000))]
+    prints = [op5_simhash.simhash(t.encode()) for t in texts]
+    assert (prints[0] ^ prints[1]).bit_count() <= op5_simhash.RADIUS < (prints[0] ^ prints[3]).bit_count()
+    kept = op5_simhash.keep_one(table(spark, texts).repartition(3))
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 2, 3]
+
+
 def test_links_of_a_cell_join_components_and_no_more():
     rng = np.random.default_rng(2)
     base = rng.integers(0, 1 << 63, 60_000).astype(np.int64)

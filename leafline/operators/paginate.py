@@ -12,6 +12,8 @@ from leafline.sources.storage import materialize
 #: Pages repeat each other and are a tenth or a hundredth of their size when written, which is what the planner goes by: it would
 #: send gigabytes of them through the driver to all tasks.
 SHUFFLED = "merge"
+#: For the side without pages: it is held by its keys, and pages pass by it one by one, where a merge would sort a task's whole share of them.
+HELD = "shuffle_hash"
 
 
 def _parsed(pages: DataFrame, tbody: bool) -> DataFrame:
@@ -27,11 +29,11 @@ def page_by_page(leaves: DataFrame, pages: DataFrame, tbody: bool = False) -> tu
     else a page is missing behind it, and counted. Pages are parsed once and written: the search reads
     two small columns of theirs.
     """
-    landed = pages.where("page_no > 1").join(leaves.select("values").distinct().hint(SHUFFLED), "values", "left_semi")
+    landed = pages.where("page_no > 1").join(leaves.select("values").distinct().hint(HELD), "values", "left_semi")
     order = Window.partitionBy("values").orderBy("page_no")
     # Numbered by the slim keys, so that no page is sorted.
     run = landed.select("values", "page_no").withColumn("_k", F.row_number().over(order)).where("_k = page_no - 1").drop("_k")
-    read = _parsed(landed.join(run.hint(SHUFFLED), ["values", "page_no"], "left_semi").select("values", "page_no", "status", "html"), tbody)
+    read = _parsed(landed.join(run.hint(HELD), ["values", "page_no"], "left_semi").select("values", "page_no", "status", "html"), tbody)
     seen = materialize(read.withColumns({"_number": pager_number("page"), "_has_pager": pager_row("page").isNotNull()}), "dotted-pages")
     first = F.min_by(F.greatest("page_no", "_number"), F.when(F.col("_number").isNotNull(), F.col("page_no")))
     ends = seen.groupBy("values").agg(first.alias("_first"), F.max("page_no").alias("_last"), F.max_by("_has_pager", "page_no").alias("_more"))
@@ -43,9 +45,11 @@ def page_by_page(leaves: DataFrame, pages: DataFrame, tbody: bool = False) -> tu
 def _later(counted: DataFrame, pages: DataFrame) -> DataFrame:
     """counted(_pages, ...) with page_no from 2 and what pages(values, page_no, status, ...) have, up to the first that fails."""
     more = counted.where("_pages > 1").withColumn("page_no", F.explode(F.sequence(F.lit(2), "_pages"))).drop("_pages")
-    later = more.join(pages.hint(SHUFFLED), ["values", "page_no"], "left")
-    bad = later.where("status is null or status <> 200").groupBy("values").agg(F.min("page_no").alias("_bad"))
-    return later.join(bad, "values", "left").where("_bad is null or page_no <= _bad").drop("_bad")
+    # Where a leaf ends is found by the slim columns, so that pages move once.
+    asked = more.join(pages.select("values", "page_no", "status").hint(SHUFFLED), ["values", "page_no"], "left")
+    bad = asked.where("status is null or status <> 200").groupBy("values").agg(F.min("page_no").alias("_bad"))
+    read = more.join(bad, "values", "left").where("_bad is null or page_no <= _bad").drop("_bad")
+    return read.join(pages.hint(SHUFFLED), ["values", "page_no"], "left")
 
 
 def follow(leaves: DataFrame, pages: DataFrame, strict: bool = True, tbody: bool = False) -> DataFrame:
@@ -56,7 +60,7 @@ def follow(leaves: DataFrame, pages: DataFrame, strict: bool = True, tbody: bool
     number (links for a part of the pages and dots) raises if strict, else the leaf is followed page by page.
     Every page is parsed once.
     """
-    got = pages.where("page_no = 1").select("values", "status", "html").hint(SHUFFLED).join(leaves, "values", "right").withColumn("page_no", F.lit(1))
+    got = pages.where("page_no = 1").select("values", "status", "html").join(leaves.hint(HELD), "values", "right").withColumn("page_no", F.lit(1))
     # Written, since it is read twice and its pages are to be parsed once.
     wanted = materialize(_parsed(got, tbody).withColumn("_pages", F.when(F.col("status") == 200, pages_of("page", strict)).otherwise(1)), "first-pages")
     counted, columns = wanted.drop("page_no", "status", "page"), wanted.drop("_pages").columns

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leafline.operators.paginate import HELD, follow
 from leafline.sources.storage import materialize
 
 #: page_no 0: the answer to choosing the last of values; 1 and on: grid pages of that leaf.
@@ -21,7 +22,7 @@ def latest(pages: DataFrame) -> DataFrame:
 class Replay:
     """Answers each request by an equi-join with a table of landed pages (see SCHEMA; a column landed may
     follow). A request that was never landed has no status, one that was landed several times the last answer.
-    The planner broadcasts the frontier where it is small and shuffles both by the key where it isn't."""
+    Both are shuffled by the key; the frontier is held by it, and pages pass by."""
 
     #: Whether requests send form states.
     stateful = False
@@ -38,10 +39,8 @@ class Replay:
     def choose(self, frontier: DataFrame, spec, depth: int, states: DataFrame | None = None) -> DataFrame:
         """frontier with status and html of the page that choosing each node gives."""
         found = self.pages.where(f"page_no = 0 and size(values) = {depth + 1}").drop("page_no")
-        return frontier.join(found, "values", "left")
+        return frontier.hint(HELD).join(found, "values", "left")
 
     def grid(self, leaves: DataFrame, spec, strict: bool = True, tbody: bool = False, states: DataFrame | None = None) -> DataFrame:
         """leaves with page_no, status and page of their pages up to the first that failed."""
-        from leafline.operators.paginate import follow
-
         return follow(leaves, self.pages.where("page_no > 0"), strict, tbody)

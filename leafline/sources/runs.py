@@ -24,7 +24,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
@@ -201,9 +201,11 @@ def current(spark: SparkSession, spec: OfficeSpec, path: str) -> DataFrame:
         return rows
     inside = _within(ranges)
     orders = spark.createDataFrame([(m["run"], m["order"]) for m in counted], "run string, _order long")
-    last = F.max("_order").over(Window.partitionBy("path", "page_no"))
-    contested = rows.where(inside).join(orders, "run").withColumn("_last", last).where("_order = _last").drop("_order", "_last")
-    return rows.where(~inside).unionByName(contested)
+    contested = rows.where(inside).join(F.broadcast(orders), "run")
+    # Found by the slim columns and held by page, so that no record is sorted.
+    last = contested.groupBy(F.col("path").alias("_path"), F.col("page_no").alias("_page_no")).agg(F.max("_order").alias("_last"))
+    same = F.col("path").eqNullSafe(F.col("_path")) & F.col("page_no").eqNullSafe(F.col("_page_no")) & (F.col("_order") == F.col("_last"))
+    return rows.where(~inside).unionByName(contested.join(last.hint("shuffle_hash"), same, "left_semi").drop("_order"))
 
 
 def resume_after(spark: SparkSession, spec: OfficeSpec, path: str) -> ResumeSpec:

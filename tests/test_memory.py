@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from leafline.operators import paginate
 from leafline.plans import render
 from leafline.plans.specs import OFFICES
+from leafline.sources import runs
 from leafline.sources.replay import SCHEMA, Replay
 
 SF = "/root/testdata/sf0.001"
@@ -51,3 +52,13 @@ def test_the_first_page_that_fails_ends_a_leaf(spark):
     pages = spark.createDataFrame([([v], k, 500 if (v, k) == ("a", 3) else 200, f"{v}{k}") for v in "abc" for k in range(2, 6) if (v, k) != ("b", 2)], SCHEMA)
     later = paginate._later(spark.createDataFrame([([v], n, 4) for n, v in enumerate("aabc")], "values array<string>, leaf int, _pages int"), pages)
     assert sorted((r.leaf, r.page_no, r.html) for r in later.collect()) == [(0, 2, "a2"), (0, 3, "a3"), (1, 2, "a2"), (1, 3, "a3"), (2, 2, None), (3, 2, "c2"), (3, 3, "c3"), (3, 4, "c4")]
+
+def test_records_are_not_sorted_to_find_their_last_reading(spark, tmp_path):
+    spec, at = OFFICES["zp"], str(tmp_path)
+    schema = ", ".join(f"{c} string" for c in spec.columns) + ", path array<int>, page_no int, row_ord int"
+    made = lambda name, paths: spark.createDataFrame([(*[name] * len(spec.columns), [0, p], k, 0) for p in paths for k in (1, 2)], schema)
+    runs.write(made("old", (0, 1, 2)), spec, at, "r1")
+    runs.write(made("new", (1, 2, 3)), spec, at, "r2", runs.ResumeSpec({"district": "D2"}))
+    current = runs.current(spark, spec, at)
+    assert "Window" not in plan(current) and "Sort " not in plan(current)
+    assert sorted((r.path[1], r.page_no, r.post) for r in current.collect()) == sorted((p, k, "old" if p == 0 else "new") for p in range(4) for k in (1, 2))

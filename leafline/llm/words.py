@@ -3,7 +3,7 @@
 The byte-level tokenizer never joins what stands on both sides of a single space between two signs that
 aren't white space: a token takes at most the space before it. So a text is cut before such spaces, and
 ids of the parts, put together, are those of the whole. A part's ids are kept for the texts to come, within a
-bound; what lies beyond the bound is encoded again, not left out.
+bound: those that no recent text had go first, and are encoded again when they come again.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from array import array
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
+
 #: What byte-level vocabularies write for a byte: itself where that shows as a sign of Latin-1, else a sign from 256 on.
 _SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _SIGNS = {b: b for b in _SHOWN} | {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
@@ -22,8 +24,19 @@ SPACE = chr(_SIGNS[32])
 _WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ſ]+)([.,;:!?]*)")
 #: Parts and their length that are kept in a worker at most: about 150 MB.
 KEPT, KEPT_LENGTH = 1 << 19, 64
+#: Parts that are put together again for the tokenizer, since a call of its own costs more than a short part.
+TOGETHER = 64
 #: Signs that some version of Unicode counted as white space are never cut at.
 _CUT = re.compile(" (?=[^\\s᠎​⁠﻿])(?<=[^\\s᠎​⁠﻿] )")
+#: White space that isn't a space or a line's end, and signs that some version took for it.
+_UNUSUAL = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
+
+
+def cut(text: str) -> list[str]:
+    """The parts of a text. Where all its spaces are single ones between other signs, which is soon seen, it is cut at each."""
+    if "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " " or _UNUSUAL.search(text):
+        return _CUT.split(text)
+    return text.split(" ")
 
 
 class Encoder:
@@ -35,8 +48,14 @@ class Encoder:
         # Spark runs a worker for each core; threads of its own would only compete.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.whole = Tokenizer.from_file(path)
-        #: Ids of a space and the part behind it, by the part.
+        #: Ids of a space and the part behind it, by the part; and those of the texts before, of which what comes again is taken over.
         self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        #: Ids of runs of punctuation behind words.
+        self.closing: dict[str, bytes] = {}
+        vocabulary = self.whole.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.opens[[number for token, number in vocabulary.items() if token.startswith(SPACE)]] = True
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out = []
@@ -44,30 +63,52 @@ class Encoder:
             out += [array("I", e.ids).tobytes() for e in self.whole.encode_batch(texts[at : at + 4096], add_special_tokens=False)]
         return out
 
+    def together(self, parts: list[str]) -> list[bytes]:
+        """Ids of a space and each part. In a text that is put together of parts without spaces, each begins at a token with a space."""
+        out: list[bytes] = []
+        groups = [parts[at : at + TOGETHER] for at in range(0, len(parts), TOGETHER)]
+        for group, found in zip(groups, self.whole.encode_batch_fast([f" {' '.join(g)}" for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, "<u4")
+            first = (np.flatnonzero(self.opens[ids]) * 4).tolist()
+            if len(first) == len(group):
+                held = ids.tobytes()
+                out += [held[a:b] for a, b in zip(first, [*first[1:], len(held)])]
+            else:
+                out += self.encode([f" {p}" for p in group])
+        return out
+
     def merged(self, piece: str) -> bytes:
         return array("I", [t.id for t in self.whole.model.tokenize(piece)]).tobytes()
 
     def parts(self, new: list[str]) -> dict[str, bytes]:
         """Ids of a space and each part. A word and its punctuation are pieces that the library's merges take as
         they are; other parts go through all of the tokenizer."""
-        known, out, others = self.kept, {}, []
+        known, closing, out, others, spaced = self.kept, self.closing, {}, [], []
         for part in new:
             if not (word := _WORD.fullmatch(part)):
-                others.append(part)
+                (spaced if " " in part else others).append(part)
             elif not word[2]:
                 out[part] = self.merged(SPACE + part.encode().decode("latin-1").translate(_SIGNS))
             else:
                 ids = known.get(word[1]) or out.get(word[1]) or self.merged(SPACE + word[1].encode().decode("latin-1").translate(_SIGNS))
-                out[part] = ids + self.merged(word[2])
-        return out | dict(zip(others, self.encode([f" {p}" for p in others]), strict=True))
+                if (end := closing.get(word[2])) is None:
+                    end = self.merged(word[2])
+                    if len(closing) < 4096 and len(word[2]) <= KEPT_LENGTH:
+                        closing[word[2]] = end
+                out[part] = ids + end
+        out.update(zip(others, self.together(others), strict=True))
+        out.update(zip(spaced, self.encode([f" {p}" for p in spaced]), strict=True))
+        return out
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        heads, rests = zip(*[(head, rest) for head, *rest in map(_CUT.split, texts)]) if texts else ((), ())
+        heads, rests = zip(*[(head, rest) for head, *rest in map(cut, texts)]) if texts else ((), ())
         new = set(chain.from_iterable(rests)).difference(self.kept)
-        if len(self.kept) + len(new) > KEPT:
-            self.kept.clear()
+        if len(self.kept) + len(new) > KEPT // 2:
+            self.older, self.kept = self.kept, {}
             new = set(chain.from_iterable(rests))
-        new = list(new)
+        again = new.intersection(self.older)
+        self.kept.update(zip(again, map(self.older.__getitem__, again)))
+        new = list(new.difference(again))
         self.kept.update(self.parts(new))
         ids = self.kept.__getitem__
         out = [head + b"".join(map(ids, rest)) for head, rest in zip(self.encode(list(heads)), rests, strict=True)]

@@ -27,6 +27,7 @@ SIZE = 1024
 #: Pieces that one task packs together.
 GROUP = 8192
 END_ID = 2
+END = END_ID.to_bytes(4, "little")
 PIECE = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64()}
 #: Texts and characters that are encoded together, or a single text where that is longer.
 TEXTS, CHARACTERS = 512, 1 << 22
@@ -56,10 +57,12 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = SIZE) -> DataFrame:
             for a, b in _portions(texts):
                 out = []
                 for doc_id, ids in zip(ids_of[a:b], token_ids(texts[a:b], tokenizer), strict=True):
-                    ids = np.append(ids, END_ID).astype("<u4")
-                    first = len(ids) % size or size
-                    bounds = [0, *range(first, len(ids), size), len(ids)]
-                    out += [(doc_id, k, x, y - x, zlib.crc32(ids[x:y].tobytes())) for k, (x, y) in enumerate(zip(bounds, bounds[1:]))]
+                    n = len(ids) + 1
+                    first = n % size or size
+                    bounds = [0, *range(first, n, size), n]
+                    sums = [zlib.crc32(ids[x:y]) for x, y in zip(bounds, bounds[1:])]
+                    sums[-1] = zlib.crc32(END, sums[-1])
+                    out += [(doc_id, k, x, y - x, crc) for k, (x, y, crc) in enumerate(zip(bounds, bounds[1:], sums))]
                 yield arrow_batch({n: (list(v), t) for (n, t), v in zip(PIECE.items(), zip(*out), strict=True)})
 
     return text_or_empty(docs).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
@@ -104,11 +107,16 @@ class Search:
         self.home = np.array([b for b in open_ for _ in bins[b]] + open_.tolist(), np.int64)
         self.least = -(-int(self.fill.sum()) // size)
         self.full = len(bins) - len(open_)
+        #: What held since the last move: entries by their number of items, and bins that had no exchange.
+        self.seen: dict[int, tuple] = {}
+        self.stuck: set[int] = set()
 
     def count(self) -> int:
         return int((self.fill > 0).sum())
 
     def put(self, x: int, b: int) -> None:
+        self.seen.clear()
+        self.stuck.clear()
         k = self.at[x]
         self.bins[self.home[k]].remove(x)
         self.fill[self.home[k]] -= self.length[k]
@@ -128,21 +136,37 @@ class Search:
             two.append(order[near + apart])
         return (np.concatenate(one), np.concatenate(two)) if one else (np.zeros(0, np.int64),) * 2
 
+    def entries(self, items: int) -> tuple[np.ndarray, ...]:
+        """What a group can be changed for, of one item (or none) or of two: length, home, the home's fill, the length of a group that takes
+        its place at most, and a key by length, that and number; and the numbers of two items."""
+        if items not in self.seen:
+            first, second = self.pairs() if items == 2 else (None, None)
+            length = self.length if items == 1 else self.length[first] + self.length[second]
+            home = self.home if items == 1 else self.home[first]
+            fill = self.fill[home]
+            most = np.minimum(length + self.size - fill, self.size)
+            key = (length * (self.size + 1) + most) * len(length) + np.arange(len(length))
+            self.seen[items] = length, home, fill, most, key, first, second
+        return self.seen[items]
+
     def improve(self, b: int) -> bool:
         """The exchange that takes most out of bin b for a bin at least as full: a group of one or two goes where it
         then fits, and what comes back is nothing or one, or two for one where there is no such exchange."""
+        if b in self.stuck:
+            return False
         own = self.bins[b]
         at = np.array([self.at[x] for x in own])
         one, two = np.triu_indices(len(own), 1)
         groups = np.concatenate([self.length[at], self.length[at[one]] + self.length[at[two]]])
-        if found := self.best(b, groups, self.length, self.home):
+        if found := self.best(b, groups, 1):
             g, entry = found
             back = [entry] if entry < len(self.at) else []
         else:
-            first, second = self.pairs()
-            if not (found := self.best(b, groups[: len(own)], self.length[first] + self.length[second], self.home[first])):
+            if not (found := self.best(b, groups[: len(own)], 2)):
+                self.stuck.add(b)
                 return False
             g, entry = found
+            *_, first, second = self.entries(2)
             back = [first[entry], second[entry]]
         to = int(self.home[back[0]] if back else self.home[entry])
         for k in back:
@@ -151,27 +175,25 @@ class Search:
             self.put(int(self.item[k]), to)
         return True
 
-    def best(self, b: int, groups: np.ndarray, length: np.ndarray, home: np.ndarray) -> tuple[int, int] | None:
+    def best(self, b: int, groups: np.ndarray, items: int) -> tuple[int, int] | None:
         """(group, entry) of the exchange of one of groups, given by their lengths, for an entry of another bin
         that takes most out of b."""
-        fill = self.fill[home]
-        most = np.minimum(length + self.size - fill, self.size)  # length of a group that this entry can be changed for
+        length, home, fill, most, key, *_ = self.entries(items)
         able = np.flatnonzero((home != b) & (fill >= self.fill[b]) & (most > length))
         if not len(able) or not len(groups):
-            return self.overtaking(b, groups, length, home)
+            return self.overtaking(b, groups, items)
         # By length of a group: least (length back, length that fits, entry) among those that take it.
-        key = (length[able] * (self.size + 1) + most[able]) * len(length) + able
         least = np.full(self.size + 2, np.iinfo(np.int64).max)
-        np.minimum.at(least, most[able], key)
+        np.minimum.at(least, most[able], key[able])
         least = np.minimum.accumulate(least[::-1])[::-1]
         back = least[np.minimum(groups, self.size + 1)]
         gain = np.where(back < np.iinfo(np.int64).max, groups - back // len(length) // (self.size + 1), 0)
         g = int(gain.argmax())
-        return (g, int(back[g] % len(length))) if gain[g] > 0 else self.overtaking(b, groups, length, home)
+        return (g, int(back[g] % len(length))) if gain[g] > 0 else self.overtaking(b, groups, items)
 
-    def overtaking(self, b: int, groups: np.ndarray, length: np.ndarray, home: np.ndarray) -> tuple[int, int] | None:
+    def overtaking(self, b: int, groups: np.ndarray, items: int) -> tuple[int, int] | None:
         """As best(), for bins less full than b that become fuller than b was."""
-        fill = self.fill[home]
+        length, home, fill, *_ = self.entries(items)
         able = np.flatnonzero((home != b) & (fill > 0) & (fill < self.fill[b]))
         if not len(able) or not len(groups):
             return None

@@ -11,6 +11,8 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from codecs import charmap_decode
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -19,13 +21,17 @@ import numpy as np
 #: What byte-level vocabularies write for a byte: itself where that shows as a sign of Latin-1, else a sign from 256 on.
 _SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _SIGNS = {b: b for b in _SHOWN} | {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
-SPACE = chr(_SIGNS[32])
-#: A word of Latin letters and the punctuation behind it: a piece each for the merges, in any version of Unicode.
-_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ſ]+)([.,;:!?]*)")
+SPACE, LINE = chr(_SIGNS[32]), chr(_SIGNS[10])
+_TABLE = "".join(chr(_SIGNS[b]) for b in range(256))
+#: A word of Latin letters and the punctuation behind it, and the like on the next line: a piece each for the merges, as is the
+#: line's end, in any version of Unicode.
+_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ſ]+)([.,;:!?]*)(?:\n([A-Za-zÀ-ÖØ-öø-ſ]+)([.,;:!?]*))?")
 #: Parts and their length that are kept in a worker at most: about 150 MB.
 KEPT, KEPT_LENGTH = 1 << 19, 64
-#: Parts that are put together again for the tokenizer, since a call of its own costs more than a short part.
-TOGETHER = 64
+#: Parts that are put together again for the tokenizer, since a call of its own costs more than a short part; and words for the merges.
+TOGETHER, WORDS = 64, 512
+#: Pieces without a space in front whose ids are kept in a worker at most.
+BARE = 1 << 14
 #: Signs that some version of Unicode counted as white space are never cut at.
 _CUT = re.compile(" (?=[^\\s᠎​⁠﻿])(?<=[^\\s᠎​⁠﻿] )")
 #: White space that isn't a space or a line's end, and signs that some version took for it.
@@ -39,20 +45,30 @@ def cut(text: str) -> list[str]:
     return text.split(" ")
 
 
+def shown(text: str) -> str:
+    """The signs that byte-level vocabularies write for the bytes of a text."""
+    return charmap_decode(text.encode(), "strict", _TABLE)[0]
+
+
 class Encoder:
     """Ids of texts as little-endian 32-bit numbers. A special string in a text is its own id; none are added."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
 
         # Spark runs a worker for each core; threads of its own would only compete.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.whole = Tokenizer.from_file(path)
+        #: The merges alone, for pieces between spaces.
+        self.merges = Tokenizer(self.whole.model)
+        self.merges.pre_tokenizer = CharDelimiterSplit(" ")
         #: Ids of a space and the part behind it, by the part; and those of the texts before, of which what comes again is taken over.
         self.kept: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        #: Ids of runs of punctuation behind words.
-        self.closing: dict[str, bytes] = {}
+        #: Ids of runs of punctuation behind words, and of words that begin a line.
+        self.bare: dict[str, bytes] = {}
+        self.line = self.merged(LINE)
         vocabulary = self.whole.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
         self.opens[[number for token, number in vocabulary.items() if token.startswith(SPACE)]] = True
@@ -65,9 +81,18 @@ class Encoder:
 
     def together(self, parts: list[str]) -> list[bytes]:
         """Ids of a space and each part. In a text that is put together of parts without spaces, each begins at a token with a space."""
-        out: list[bytes] = []
         groups = [parts[at : at + TOGETHER] for at in range(0, len(parts), TOGETHER)]
-        for group, found in zip(groups, self.whole.encode_batch_fast([f" {' '.join(g)}" for g in groups], add_special_tokens=False), strict=True):
+        return self.apart(self.whole, groups, [f" {' '.join(g)}" for g in groups])
+
+    def words(self, words: list[str]) -> list[bytes]:
+        """Ids of a space and each word of letters."""
+        groups = [words[at : at + WORDS] for at in range(0, len(words), WORDS)]
+        return self.apart(self.merges, groups, [shown(f" {' '.join(g)}").replace(SPACE, f" {SPACE}") for g in groups])
+
+    def apart(self, tokenizer, groups: list[list[str]], texts: list[str]) -> list[bytes]:
+        """Ids of the members of each group, whose text is given, where each begins at a token with a space and no other token has one."""
+        out: list[bytes] = []
+        for group, found in zip(groups, tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
             ids = np.array(found.ids, "<u4")
             first = (np.flatnonzero(self.opens[ids]) * 4).tolist()
             if len(first) == len(group):
@@ -80,42 +105,68 @@ class Encoder:
     def merged(self, piece: str) -> bytes:
         return array("I", [t.id for t in self.whole.model.tokenize(piece)]).tobytes()
 
+    def piece(self, text: str) -> bytes:
+        """Ids of a piece without a space, which most texts have."""
+        if (ids := self.bare.get(text)) is None:
+            ids = self.merged(shown(text))
+            if len(self.bare) < BARE and len(text) <= KEPT_LENGTH:
+                self.bare[text] = ids
+        return ids
+
     def parts(self, new: list[str]) -> dict[str, bytes]:
-        """Ids of a space and each part. A word and its punctuation are pieces that the library's merges take as
+        """Ids of a space and each part. Words and punctuation are pieces that the library's merges take as
         they are; other parts go through all of the tokenizer."""
-        known, closing, out, others, spaced = self.kept, self.closing, {}, [], []
+        known, plain, closed, others, spaced = self.kept, [], [], [], []
         for part in new:
-            if not (word := _WORD.fullmatch(part)):
+            if part.isascii() and part.isalpha():
+                plain.append(part)
+            elif not (word := _WORD.fullmatch(part)):
                 (spaced if " " in part else others).append(part)
-            elif not word[2]:
-                out[part] = self.merged(SPACE + part.encode().decode("latin-1").translate(_SIGNS))
+            elif len(word[1]) == len(part):
+                plain.append(part)
             else:
-                ids = known.get(word[1]) or out.get(word[1]) or self.merged(SPACE + word[1].encode().decode("latin-1").translate(_SIGNS))
-                if (end := closing.get(word[2])) is None:
-                    end = self.merged(word[2])
-                    if len(closing) < 4096 and len(word[2]) <= KEPT_LENGTH:
-                        closing[word[2]] = end
-                out[part] = ids + end
+                closed.append((part, *word.groups()))
+        out = dict(zip(plain, self.words(plain), strict=True))
+        bases = list({base for _, base, *_ in closed if base not in known and base not in out})
+        more, piece = dict(zip(bases, self.words(bases), strict=True)), self.piece
+        for part, base, end, line, closing in closed:
+            ids = known.get(base) or out.get(base) or more[base]
+            if end:
+                ids += piece(end)
+            if line:
+                ids += self.line + piece(line)
+                if closing:
+                    ids += piece(closing)
+            out[part] = ids
         out.update(zip(others, self.together(others), strict=True))
         out.update(zip(spaced, self.encode([f" {p}" for p in spaced]), strict=True))
         return out
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
+    def over(self, texts: list[str], put: Callable[[bytes, Iterator[bytes]], object]) -> list:
+        """put(ids of the first part, those of the others) of each text."""
         heads, rests = zip(*[(head, rest) for head, *rest in map(cut, texts)]) if texts else ((), ())
         new = set(chain.from_iterable(rests)).difference(self.kept)
         if len(self.kept) + len(new) > KEPT // 2:
             self.older, self.kept = self.kept, {}
             new = set(chain.from_iterable(rests))
-        again = new.intersection(self.older)
-        self.kept.update(zip(again, map(self.older.__getitem__, again)))
+        older = self.older
+        again = {part: older[part] for part in new if part in older}
+        self.kept.update(again)
         new = list(new.difference(again))
         self.kept.update(self.parts(new))
         ids = self.kept.__getitem__
-        out = [head + b"".join(map(ids, rest)) for head, rest in zip(self.encode(list(heads)), rests, strict=True)]
+        out = [put(head, map(ids, rest)) for head, rest in zip(self.encode(list(heads)), rests, strict=True)]
         for part in (p for p in new if len(p) > KEPT_LENGTH):
             del self.kept[part]
         return out
 
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        return self.over(texts, lambda head, rest: head + b"".join(rest))
+
+    def counts(self, texts: list[str]) -> list[int]:
+        """Numbers of ids, which aren't put together for it."""
+        return self.over(texts, lambda head, rest: (len(head) + sum(map(len, rest))) // 4)
+
 
 @lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:

@@ -641,6 +641,20 @@ def stuck(bins, lengths, size):
     return True
 
 
+def test_what_holds_between_moves_is_found_once(monkeypatch):
+    rng = random.Random(12)
+    lengths = [rng.randint(1, 40) for _ in range(300)]
+    search = op7_packing.Search(op7_packing.start_bins(list(range(300)), lengths, 64), lengths, 64)
+    moves, pairs, put = [0], [], search.put
+    monkeypatch.setattr(search, "put", lambda x, b: moves.append(moves.pop() + 1) or put(x, b))
+    monkeypatch.setattr(search, "pairs", lambda found=search.pairs: pairs.append(moves[0]) or found())
+    bins = search.run()
+    assert pairs and len(pairs) == len(set(pairs))
+    # Found anew, no bin has an exchange, unless the bins are as few as can be.
+    last = op7_packing.Search(bins, lengths, 64)
+    assert last.count() == last.least or not any(last.improve(b) for b in np.flatnonzero(last.fill < 64).tolist())
+
+
 def test_local_search_empties_bins_until_none_can_be():
     # 6 + 4, 6 + 4, 5 + 5 fill three bins of ten; a poor start has four
     lengths = [6, 6, 5, 5, 4, 4]

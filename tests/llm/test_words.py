@@ -36,3 +36,19 @@ def test_parts_together_are_those_of_each():
     parts = ["end.\nNext", "a\n\nb", "&&&", "<|endoftext|>", "x<|endoftext|>y", "1,2", "é é", "don't", "'s", "Ġ", "٣", "漢字"] * 20
     want = [whole.encode(f" {p}", add_special_tokens=False).ids for p in parts]
     assert [np.frombuffer(x, "<u4").tolist() for x in words.Encoder(BYTES).together(parts)] == want
+
+
+def test_words_and_lines_are_those_of_the_whole_tokenizer(monkeypatch):
+    monkeypatch.setattr(words, "WORDS", 3)
+    rng = random.Random(5)
+    ends = ["", ".", "...", ",", "!?", "\n", ".\n", "\n\n", ".\r\n", "’s", "'s", "1", "ı", "ſ", "Ā", "×", "ß"]
+    parts = ["".join(rng.choice(["Und", "é", "naïve", "tionou", "ÿ", "ĿŁ", "ab", "a b"]) + rng.choice(ends) for _ in range(rng.randint(1, 4))) for _ in range(2000)]
+    texts = [" ".join(rng.choices(parts, k=40)) for _ in range(100)] + ["", " ", "a"]
+    whole, own, asked = Tokenizer.from_file(BYTES), words.Encoder(BYTES), []
+    monkeypatch.setattr(own, "together", lambda parts, together=own.together: asked.extend(parts) or together(parts))
+    want = [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own(texts)] == want
+    assert words.Encoder(BYTES).counts(texts) == [len(ids) for ids in want]
+    # Lines of two words go to the merges, not through the tokenizer's patterns.
+    assert asked and not any(words._WORD.fullmatch(p) for p in asked) and words._WORD.fullmatch("dos.\nTrès,")
+    assert [shown for shown in map(words.shown, ["é a", "Ab"])] == ["Ã©Ġa", "Ab"]

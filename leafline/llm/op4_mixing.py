@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from leafline.llm import features
 from leafline.llm.common import arrow_batch, materialize, read, sampled_texts, text_or_empty
-from leafline.llm.op7_packing import token_ids
 from leafline.llm.optimise import minimise
+from leafline.llm.words import encoder
 
 #: Shares of tokens that the mixture should have.
 TARGETS = {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}
@@ -149,7 +149,7 @@ def memberships(docs: DataFrame, weights: np.ndarray, biases: np.ndarray, tokeni
             ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False))
             cuts = np.flatnonzero(np.diff(ends // TEXT_BYTES, prepend=-1))
             for at, end in zip(cuts.tolist(), [*cuts[1:].tolist(), batch.num_rows]):
-                n += [len(ids) for ids in token_ids(batch.column("text").slice(at, end - at).to_pylist(), tokenizer)]
+                n += encoder(tokenizer).counts(batch.column("text").slice(at, end - at).to_pylist())
             yield arrow_batch({"doc_id": (batch.column("doc_id"), pa.int64()), "n_tokens": (n, pa.int64())} | {c: (p[:, k], pa.float64()) for k, c in enumerate(names)})
 
     return text_or_empty(docs).mapInArrow(run, f"doc_id long, n_tokens long, {', '.join(f'{c} double' for c in names)}")

@@ -25,6 +25,8 @@ VALUE = r'[^"<>&\x01-\x06]*+(?:&(?:amp|lt|gt|quot);[^"<>&\x01-\x06]*+)*+'
 A = rf'(?:\s[a-z-]++="{VALUE}")*+'
 B = rf'(?:\s(?!id=)[a-z-]++="{VALUE}")*+'
 CELL = rf"<td{A}>(?:<font{A}>({TEXT})</font>)?+</td>"
+#: A cell and its text in a page that is proven, where the first '>' ends a tag.
+PROVEN_CELL = r"<td[^>]*+>(?:<font[^>]*+>([^<]*+))?+"
 LINK = rf"<td{A}>(?:<a{A}><font{A}>{TEXT}</font></a>|<span{B}><font{A}>{TEXT}</font></span>)</td>"
 HEADING = rf"<th{A}>{TEXT}</th>"
 OPTION = rf"<option{A}>{TEXT}</option>"
@@ -42,8 +44,10 @@ OTHERS = rf"(?:[^<&\x01-\x06]++|&(?:amp|lt|gt|quot);|{SELECT}|{SPAN}|{INPUT}|{WR
 CANONICAL = rf"\A{OTHERS}(?:{GRID}{OTHERS})?+\z"
 
 
-def is_canonical(html: Column) -> Column:
-    return html.isNotNull() & F.rlike(html, F.lit(CANONICAL)) & _unique_ids(html)
+def is_canonical(html: Column, only_grid: bool = False) -> Column:
+    """only_grid: of a page that is asked for its grid alone, whose ids but the grid's tell nothing."""
+    proven = html.isNotNull() & F.rlike(html, F.lit(CANONICAL))
+    return proven if only_grid else proven & _unique_ids(html)
 
 
 def _let(value: Column, use) -> Column:
@@ -90,23 +94,28 @@ def _option_array(element: Column) -> Column:
 
 
 def _row(row: Column, k: Column) -> Column:
+    """row: of a page that is proven, from behind the row before to the row's end tag, which is left out."""
     none = F.array_repeat(F.lit(None).cast("string"), len(TAIL))
-    cells = F.transform(F.regexp_extract_all(row, F.lit(CELL), F.lit(1)), _text)
+    cells = F.transform(F.regexp_extract_all(row, F.lit(PROVEN_CELL), F.lit(1)), _text)
     plain = F.struct(k.alias("row_ord"), F.slice(F.concat(cells, none), 1, len(TAIL)).alias("cells"), F.lit(False).alias("has_table"), F.lit(None).cast("string").alias("pager"))
     last = F.try_element_at(F.regexp_extract_all(row, F.lit(rf"<font{A}>([^<]*)</font>"), F.lit(1)), F.lit(-1))
     pager = F.struct(k.alias("row_ord"), none.alias("cells"), F.lit(True).alias("has_table"), _text(last).alias("pager"))
     return F.when(row.contains("<table"), pager).otherwise(plain)
 
 
+def grid(html: Column) -> Column:
+    """The grid of a canonical page. No text and no attribute holds a '<', so a row ends where its end tag stands: what such tags cut
+    the page into is one piece for each row, and pieces in which a table ends, behind the last row and behind a pager's own."""
+    rows = F.filter(F.split(html, "</tr>"), lambda piece: ~piece.contains("</table"))
+    return F.transform(F.slice(rows, F.lit(2), F.lit(1 << 30)), lambda r, k: _row(r, k + 1))
+
+
 def parts(html: Column) -> dict[str, Column]:
     """Of a canonical page: entries of inputs, spans and selects, and the grid."""
     find = lambda pattern: F.regexp_extract_all(html, F.lit(pattern), F.lit(0))
-    table = F.regexp_extract(html, rf"(?s){TABLE}(.*)</table>", 1)
-    row = rf"{ROW}|{PAGER}|<tr{A}>(?:\s|{HEADING})++</tr>"
-    rows = F.regexp_extract_all(table, F.lit(row), F.lit(0))
     return {
         "inputs": _entries(find(INPUT), lambda e: _attribute(e, "value")),
         "spans": _entries(find(SPAN), lambda e: _text(_inner(e))),
         "selects": _entries(F.transform(F.split(html, "(?=<select)"), lambda s: F.regexp_extract(s, r"(?s)^<select.*</select>", 0)), _option_array),
-        "grid": F.transform(F.slice(rows, F.lit(2), F.lit(1 << 30)), lambda r, k: _row(r, k + 1)),
+        "grid": grid(html),
     }

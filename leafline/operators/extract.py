@@ -81,7 +81,7 @@ def parse(html: Column | str, tbody: bool = False, only_grid: bool = False) -> C
     Canonical pages are read by the JVM; the tree parser in Python gets those alone that aren't, and nulls for the others.
     """
     html = F.col(html) if isinstance(html, str) else html
-    tree = _parser(tbody)(F.when(~is_native(html), F.coalesce(html, F.lit(""))))
+    tree = _parser(tbody)(F.when(~is_native(html, only_grid), F.coalesce(html, F.lit(""))))
     native, none = canonical.parts(html), F.lit(None).cast("string")
     maps = [(F.lit(None) if only_grid else F.map_from_entries(native[k])).alias(k) for k in ("inputs", "selects", "spans")]
     own = F.struct(*maps, native["grid"].alias("grid"), none.alias("title"), none.alias("h1"), F.array().cast(T.ArrayType(OPTION)).alias("nav"))
@@ -100,9 +100,9 @@ def heading(html: Column | str) -> Column:
     return read.asNondeterministic()(F.col(html) if isinstance(html, str) else html)
 
 
-def is_native(html: Column | str) -> Column:
+def is_native(html: Column | str, only_grid: bool = False) -> Column:
     """Whether a page is read without Python: its share among a table's pages tells what parsing costs."""
-    return F.coalesce(canonical.is_canonical(F.col(html) if isinstance(html, str) else html), F.lit(False))
+    return F.coalesce(canonical.is_canonical(F.col(html) if isinstance(html, str) else html, only_grid), F.lit(False))
 
 
 def form_state(page: str = "page", strict: bool = True) -> Column:

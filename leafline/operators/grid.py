@@ -16,7 +16,8 @@ def rows(pages: DataFrame) -> DataFrame:
     (only the first such row, and no row behind it counts); any other is ignored.
     """
     pager = F.array_min(F.transform(F.filter("page.grid", lambda r: F.get(r["cells"], F.lit(0)).isNull() & r["has_table"]), lambda r: r["row_ord"]))
-    out = pages.withColumn("_pager", F.when(F.col("page_no") == 1, pager)).select("*", F.explode("page.grid").alias("row")).where("_pager is null or row.row_ord <= _pager")
+    # Outer: of a plain explode the planner makes a filter on the array's size, which parses each page once more to be asked.
+    out = pages.withColumn("_pager", F.when(F.col("page_no") == 1, pager)).select("*", F.explode_outer("page.grid").alias("row")).where("row is not null and (_pager is null or row.row_ord <= _pager)")
     kind = F.when(F.get("row.cells", F.lit(0)).isNotNull(), "data").when(F.col("row.row_ord") == F.col("_pager"), "pager").otherwise("ignored")
     return out.withColumn("kind", kind).drop("_pager", "page")
 

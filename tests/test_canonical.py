@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from leafline.operators import extract
+from leafline.operators import extract, grid
 from leafline.plans import catalog, render
 from leafline.plans.specs import GRID_ID
 
@@ -152,3 +152,37 @@ def test_a_page_that_is_asked_for_its_grid_alone_gives_the_same_grid(spark):
     got = spark.createDataFrame([(p,) for p in pages], "html string").select("html", extract.parse("html", only_grid=True).alias("page")).collect()
     assert [plain(r.page)["grid"] for r in got] == [as_tree(r.html)["grid"] for r in got]
     assert [plain(r.page)["spans"] for r in got if "<p>" not in r.html] == [None]
+
+
+@pytest.mark.parametrize(("seed", "odd"), [(4, 0), (5, 1), (6, 4)])
+def test_fuzzed_grids_are_read_as_the_tree_reads_them(spark, seed, odd):
+    make = Pages(seed, odd)
+    pages = [make.page() for _ in range(700)] + [f'<table id="{GRID_ID}">{x}</table>' for x in ("", "<tr></tr>", make.pager(), make.row() + make.pager() * 2 + make.row())]
+    got = spark.createDataFrame(list(enumerate(pages)), "i int, html string").select("i", extract.parse("html", only_grid=True).alias("page")).collect()
+    for r in got:
+        assert plain(r.page)["grid"] == as_tree(pages[r.i])["grid"], pages[r.i]
+
+
+def test_ids_of_other_elements_send_no_grid_to_the_tree(spark):
+    page = f'<form><input id="a" value="1"><input id="a" value="2"><table id="{GRID_ID}"><tr></tr><tr><td><font>x</font></td></tr></table></form>'
+    df = spark.createDataFrame([(page,)], "html string")
+    assert df.select(extract.is_native("html").alias("whole"), extract.is_native("html", only_grid=True).alias("grid")).first() == (False, True)
+    assert plain(df.select(extract.parse("html", only_grid=True).alias("page")).first().page)["grid"] == as_tree(page)["grid"]
+
+
+def test_rows_of_a_grid_are_read_once(spark, tmp_path):
+    """No filter of the planner's reads a page to see whether it has rows."""
+    made = spark.createDataFrame([(1, f'<table id="{GRID_ID}"><tr></tr><tr><td><font>x</font></td></tr></table>'), (2, "<p>"), (3, f'<table id="{GRID_ID}"></table>')], "page_no int, html string")
+    made.write.parquet(str(tmp_path / "pages"))
+    pages = spark.read.parquet(str(tmp_path / "pages"))
+    rows = grid.rows(pages.withColumn("page", extract.parse("html", only_grid=True)).drop("html"))
+    assert [(r.page_no, r.kind, r.row["cells"][0]) for r in rows.collect()] == [(1, "data", "x")]
+    assert rows._jdf.queryExecution().executedPlan().toString().count("split(html") == 1
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="no tables")
+def test_grids_alone_are_those_of_the_site(spark):
+    """A query of grids renders no list of nodes."""
+    site, grids = render.site(spark, str(DATA), "zp").where("page_no > 0"), render.grids(spark, str(DATA), "zp")
+    assert grids.columns == site.columns and grids.where("page_no = 0").isEmpty()
+    assert site.exceptAll(grids).isEmpty() and grids.exceptAll(site).isEmpty()
